@@ -52,6 +52,10 @@ def service_members(
     return na_join(events, flags, "fcode", "left")
 
 
+# Marks the roster's own rows among the sign-ups.
+ROSTER = "roster"
+
+
 def _is(service: str) -> Column:
     return F.col("service") == service
 
@@ -126,23 +130,21 @@ def icb_scorecard(
     limited to roster providers, so a percentage may exceed 100.
     """
     keys = roster_keys(roster)
-    totals = (
-        keys.groupBy("stp")
-        .agg(
-            F.count(F.lit(1)).alias("total_contractors"),
-            F.sum(F.when(F.col("is_100_hour"), F.lit(1).cast("long"))).alias("total_100_hour"),
-        )
-        .withColumnRenamed("stp", "icb_code")
-    )
-    if not keep_all_areas:
-        totals = totals.where(F.col("total_100_hour").isNotNull())
-
     members = service_members(pharm1st, contraception, bp, keys, since, ["icb_code"])
-    one = F.lit(1).cast("long")
-    counted = members.groupBy("icb_code").agg(
-        *[F.sum(F.when(rule, one)).alias(name) for name, rule in _measures().items()]
+    # Roster rows and sign-up rows meet in one aggregate by area instead of a chain of joins.
+    rows = members.drop("fcode").unionByName(
+        keys.select(F.lit(ROSTER).alias("service"), F.col("stp").alias("icb_code"), "is_100_hour"),
+        allowMissingColumns=True,
     )
-    card = na_join(na_join(totals, with_area_label(icb), "icb_code"), counted, "icb_code")
+    one = F.lit(1).cast("long")
+    rules = {
+        "total_contractors": _is(ROSTER),
+        "total_100_hour": _is(ROSTER) & F.col("is_100_hour"),
+        **_measures(),
+    }
+    counted = rows.groupBy("icb_code").agg(*[F.sum(F.when(rule, one)).alias(name) for name, rule in rules.items()])
+    known = F.col("total_contractors" if keep_all_areas else "total_100_hour").isNotNull()
+    card = na_join(counted.where(known), with_area_label(icb), "icb_code")
     card = na_join(card, region_map(contractor), "icb_code")
     return card.select(
         "icb_code",

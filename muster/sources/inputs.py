@@ -2,15 +2,25 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
 from muster.sources.readers import read_boundaries, read_landed, read_postcodes, read_sheet, read_table
 
+# The registers, then the weekly sheets, then the lookups.
+STORED = ("ref_contractor", "pharm_list", "icb_short", "service_registrations", "service_deregistrations")
+SHEETS = ("pharm1st", "contraception_opt", "contraception_reg", "contraception_dereg", "bp_reg")
+LOOKUPS = ("hundred_hour", "postcodes", "boundaries")
+
 
-@dataclass(frozen=True)
 class Inputs:
+    """Inputs by name, each given as a DataFrame or as a function that opens it on first use.
+
+    A report that needs three inputs thus never lists or opens the files of the others.
+    """
+
     ref_contractor: DataFrame
     pharm_list: DataFrame
     hundred_hour: DataFrame
@@ -25,29 +35,35 @@ class Inputs:
     postcodes: DataFrame
     boundaries: DataFrame
 
+    def __init__(self, **sources: DataFrame | Callable[[], DataFrame]):
+        unknown = set(sources) - {*STORED, *SHEETS, *LOOKUPS}
+        if unknown:
+            raise ValueError(f"unknown inputs {sorted(unknown)}")
+        self._sources = sources
+
+    def __getattr__(self, name: str) -> DataFrame:
+        if name.startswith("_") or name not in self._sources:
+            raise AttributeError(f"input {name!r} was not given")
+        source = self._sources[name]
+        df = source if isinstance(source, DataFrame) else source()
+        setattr(self, name, df)
+        return df
+
     @classmethod
     def from_landing(
         cls, spark: SparkSession, tables: str, sheets: str, hundred_hour: str, postcodes: str, boundaries: str
     ) -> Inputs:
-        """Read everything from landing folders.
+        """Read from landing folders.
 
         ``tables`` holds the register tables as Parquet, one folder each (the provider list best stored
         ``partitionBy("snapshot_month")``); ``sheets`` holds the weekly sheets; the rest are paths.
         """
-        stored = {
-            n: read_table(spark, n, f"{tables}/{n}")
-            for n in (
-                "ref_contractor", "pharm_list", "icb_short", "service_registrations", "service_deregistrations",
-            )
-        }
-        landed = {
-            n: read_landed(spark, sheets, n)
-            for n in ("pharm1st", "contraception_opt", "contraception_reg", "contraception_dereg", "bp_reg")
-        }
+        stored = {n: partial(read_table, spark, n, f"{tables}/{n}") for n in STORED}
+        landed = {n: partial(read_landed, spark, sheets, n) for n in SHEETS}
         return cls(
             **stored,
             **landed,
-            hundred_hour=read_sheet(spark, hundred_hour, "hundred_hour"),
-            postcodes=read_postcodes(spark, postcodes),
-            boundaries=read_boundaries(spark, boundaries),
+            hundred_hour=partial(read_sheet, spark, hundred_hour, "hundred_hour"),
+            postcodes=partial(read_postcodes, spark, postcodes),
+            boundaries=partial(read_boundaries, spark, boundaries),
         )

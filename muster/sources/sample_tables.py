@@ -9,11 +9,12 @@ values; no row is left out to make a table smaller.
 from __future__ import annotations
 
 from datetime import date
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from muster.sources.inputs import Inputs
+from muster.sources.inputs import LOOKUPS, SHEETS, STORED, Inputs
 
 AS_OF = date(2024, 1, 31)
 SINCE = date(2024, 1, 15)
@@ -35,143 +36,200 @@ def _year(day: str) -> Column:
     return F.trunc(F.col(day).cast("date"), "year")
 
 
-def sample_inputs(spark: SparkSession, sf_dir: str) -> Inputs:
-    def table(name: str) -> DataFrame:
-        return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-    nation = F.col("n_nationkey")
-    has_region = nation != 7
-    region_text = F.element_at(F.array(*[F.lit(r) for r in _REGION_NAMES]), F.col("r_regionkey") + 1)
-    geo = (
-        table("nation")
-        .join(table("region"), F.col("n_regionkey") == F.col("r_regionkey"))
-        .select(
-            nation,
-            "n_name",
-            F.when(nation == 24, "Q62").when(nation == 23, "QRV").otherwise(_code("Q", nation, 2)).alias("stp"),
-            F.when(has_region, F.concat(F.lit("Y"), F.col("r_regionkey"))).alias("region_code"),
-            F.when(has_region, region_text).alias("region_name"),
+_SCHEMAS = {
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "region": "r_regionkey int, r_name string",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
+
+
+def _area(nation: Column) -> Column:
+    return F.when(nation == 24, "Q62").when(nation == 23, "QRV").otherwise(_code("Q", nation, 2))
+
+
+class _Tables:
+    """The registers, each built on first use."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self._spark, self._dir = spark, sf_dir
+
+    def table(self, name: str) -> DataFrame:
+        # With the schema given, no file is opened before the query runs.
+        return self._spark.read.schema(_SCHEMAS[name]).parquet(f"{self._dir}/{name}.parquet")
+
+    @cached_property
+    def geo(self) -> DataFrame:
+        nation = F.col("n_nationkey")
+        region = F.element_at(F.array(*[F.lit(r) for r in _REGION_NAMES]), F.col("n_regionkey") + 1)
+        return (
+            self.table("nation")
+            .join(self.table("region"), F.col("n_regionkey") == F.col("r_regionkey"))
+            .select(
+                nation,
+                "n_name",
+                _area(nation).alias("stp"),
+                F.when(nation != 7, F.concat(F.lit("Y"), F.col("n_regionkey"))).alias("region_code"),
+                F.when(nation != 7, region).alias("region_name"),
+            )
+        )
+
+    def ref_contractor(self) -> DataFrame:
+        balance, nation = F.col("c_acctbal"), F.col("n_nationkey")
+        # One area lies in two regions.
+        moved = (nation == 12) & (balance < 2000)
+        return (
+            self.table("customer")
+            .join(self.geo, F.col("c_nationkey") == nation)
+            .select(
+                _code("F", F.col("c_custkey")).alias("fcode"),
+                F.when(balance < -500, "Appliance").otherwise("Pharmacy").alias("contractor_type"),
+                F.when(F.col("c_mktsegment") == "MACHINERY", "DAC")
+                .otherwise(_null_if(balance.between(0, 300), F.lit("Community")))
+                .alias("contract_type"),
+                "stp",
+                F.when(moved, "Y0").otherwise(F.col("region_code")).alias("region_code"),
+                F.when(moved, LONDON).otherwise(F.col("region_name")).alias("region_name"),
+                F.when(balance > 9200, F.lit(date(2001, 1, 1))).alias("end_date"),
+            )
+        )
+
+    def pharm_list(self) -> DataFrame:
+        nation = F.col("c_nationkey")
+        snapshots = self.table("orders").select("o_custkey", _year("o_orderdate").alias("snapshot_month")).distinct()
+        shared_postcode = _code("PC", F.floor(F.col("c_custkey") / 2) * 22)
+        return snapshots.join(self.table("customer"), F.col("o_custkey") == F.col("c_custkey")).select(
+            _code("F", F.col("c_custkey")).alias("fcode"),
+            "snapshot_month",
+            _null_if(F.col("c_acctbal") < -400, shared_postcode).alias("postcode"),
+            _null_if(nation == 11, _area(nation)).alias("stp_code"),
+            F.concat(F.lit("Area "), nation.cast("string")).alias("icb_name"),
+            F.col("c_mktsegment").alias("hwb"),
+            F.col("c_name").alias("trading_name"),
+            F.concat(F.lit("Group "), F.col("c_mktsegment")).alias("organisation_name"),
+        )
+
+    def hundred_hour(self) -> DataFrame:
+        yes = (F.col("c_mktsegment") == "HOUSEHOLD") & (F.col("c_nationkey") != 15)
+        return self.table("customer").select(
+            _code("F", F.col("c_custkey")).alias("fcode"),
+            F.when(yes, "Yes").otherwise("No").alias("hundred_hour"),
+        )
+
+    def icb_short(self) -> DataFrame:
+        nation = F.col("n_nationkey")
+        return self.table("nation").select(
+            _null_if(nation == 5, _area(nation)).alias("icb_code"),
+            _null_if(nation == 14, F.col("n_name")).alias("short_icb_name"),
+        )
+
+    def boundaries(self) -> DataFrame:
+        nation = F.col("n_nationkey")
+        return self.table("nation").select(
+            _null_if(nation == 9, _area(nation)).alias("icb_code"),
+            _null_if(nation == 16, F.col("n_name")).alias("icb_name"),
+            F.lit('{"type":"MultiPolygon","coordinates":[]}').alias("geometry"),
+        )
+
+    def _events(self, kind: str) -> DataFrame:
+        return (
+            self.table("events")
+            .where(F.col("event_type") == kind)
+            .select(
+                "event_id",
+                "value",
+                F.col("ts").cast("date").alias("d"),
+                F.regexp_extract("props", r"([0-9]+)", 1).cast("int").alias("k"),
+                (F.col("user_id") * 10 + F.col("event_id") % 10).alias("ckey"),
+            )
+        )
+
+    def _signups(self, kind: str) -> DataFrame:
+        return self._events(kind).join(self.table("customer"), F.col("ckey") == F.col("c_custkey"))
+
+    # Columns of a sign-up row; ``k`` is the number carried by the event.
+    _k = property(lambda self: F.col("k"))
+    _fcode = property(lambda self: _code("F", F.col("ckey")))
+    _opted_in = property(lambda self: _null_if(self._k == 40, F.col("value") > 15).alias("opted_in"))
+    _day = property(lambda self: _null_if(self._k.between(50, 52), F.col("d")))
+    _icb = property(lambda self: _null_if(self._k >= 97, _area(F.col("c_nationkey"))).alias("icb_code"))
+
+    @property
+    def _contact(self) -> list[Column]:
+        return [
+            self._icb,
+            _null_if(self._k.between(60, 69), F.col("c_name")).alias("name"),
+            F.concat(F.lit("0"), F.col("event_id").cast("string")).alias("phone"),
+            _code("L", F.col("c_nationkey"), 2).alias("lpc_code"),
+            _null_if(F.col("c_nationkey") == 3, F.col("c_mktsegment")).alias("lpc_name"),
+        ]
+
+    def pharm1st(self) -> DataFrame:
+        return self._signups("signup").select(
+            _null_if(self._k == 41, self._fcode).alias("ods_code"),
+            self._opted_in,
+            self._day.alias("opt_in_date"),
+            _null_if(self._k < 10, self._k < 70).alias("registered_for_cpcs"),
+            *self._contact,
+        )
+
+    def contraception_opt(self) -> DataFrame:
+        return self._signups("purchase").select(
+            _null_if(self._k == 41, self._fcode).alias("ods_code"),
+            self._opted_in,
+            F.col("d").alias("opt_in_date"),
+            *self._contact,
+        )
+
+    def contraception_reg(self) -> DataFrame:
+        return self._signups("click").select(
+            self._fcode.alias("fcode"), self._day.alias("reg_date"), *self._contact
+        )
+
+    def contraception_dereg(self) -> DataFrame:
+        return self._events("error").select(
+            self._fcode.alias("ods_code"),
+            F.col("d").alias("date_dereg"),
+            F.date_sub("d", 30).alias("date_notice"),
+            _null_if(self._k >= 95, F.date_add("d", self._k)).alias("service_end"),
+            F.lit(None).cast("string").alias("icb"),
+            F.lit(None).cast("string").alias("area"),
+        )
+
+    def bp_reg(self) -> DataFrame:
+        return self._signups("view").select(
+            _null_if(self._k == 42, self._fcode).alias("fcode"), self._day.alias("reg_date"), self._icb
+        )
+
+    def _reports(self, *extra: Column, status: str | None = None) -> DataFrame:
+        orders = self.table("orders")
+        rows = orders if status is None else orders.where(F.col("o_orderstatus") == status)
+        return rows.select(
+            _code("F", F.col("o_custkey")).alias("fcode"),
+            F.col("o_orderpriority").alias("service"),
+            _year("o_orderdate").alias("date_reported"),
+            *extra,
+        )
+
+    def service_registrations(self) -> DataFrame:
+        day = _null_if(F.col("o_totalprice") < 20000, F.col("o_orderdate").cast("date"))
+        return self._reports(day.alias("registration_date"))
+
+    def service_deregistrations(self) -> DataFrame:
+        day = F.when(F.col("o_totalprice") > 250000, F.col("o_orderdate").cast("date"))
+        return self._reports(day.alias("re_registration_date"), status="F")
+
+    def postcodes(self) -> DataFrame:
+        price, key = F.col("o_totalprice"), F.col("o_orderkey")
+        return self.table("orders").select(
+            _code("PC", key).alias("postcode"),
+            _null_if(price < 15000, F.floor(100000 + price).cast("double")).alias("easting"),
+            _null_if(price < 15000, (50000 + key * 6007 % 900000).cast("double")).alias("northing"),
         )
-    )
-    balance, segment = F.col("c_acctbal"), F.col("c_mktsegment")
-    provider = table("customer").join(geo, F.col("c_nationkey") == nation)
-    orders = table("orders")
-    price = F.col("o_totalprice")
-
-    # One area lies in two regions.
-    moved = (nation == 12) & (balance < 2000)
-    ref_contractor = provider.select(
-        _code("F", F.col("c_custkey")).alias("fcode"),
-        F.when(balance < -500, "Appliance").otherwise("Pharmacy").alias("contractor_type"),
-        F.when(segment == "MACHINERY", "DAC")
-        .otherwise(_null_if(balance.between(0, 300), F.lit("Community")))
-        .alias("contract_type"),
-        "stp",
-        F.when(moved, "Y0").otherwise(F.col("region_code")).alias("region_code"),
-        F.when(moved, LONDON).otherwise(F.col("region_name")).alias("region_name"),
-        F.when(balance > 9200, F.lit(date(2001, 1, 1))).alias("end_date"),
-    )
-    snapshots = orders.select("o_custkey", _year("o_orderdate").alias("snapshot_month")).distinct()
-    shared_postcode = _code("PC", F.floor(F.col("c_custkey") / 2) * 22)
-    pharm_list = snapshots.join(provider, F.col("o_custkey") == F.col("c_custkey")).select(
-        _code("F", F.col("c_custkey")).alias("fcode"),
-        "snapshot_month",
-        _null_if(balance < -400, shared_postcode).alias("postcode"),
-        _null_if(nation == 11, F.col("stp")).alias("stp_code"),
-        F.col("n_name").alias("icb_name"),
-        F.col("c_mktsegment").alias("hwb"),
-        F.col("c_name").alias("trading_name"),
-        F.concat(F.lit("Group "), segment).alias("organisation_name"),
-    )
-    hundred_hour = table("customer").select(
-        _code("F", F.col("c_custkey")).alias("fcode"),
-        F.when((segment == "HOUSEHOLD") & (F.col("c_nationkey") != 15), "Yes").otherwise("No").alias("hundred_hour"),
-    )
-    icb_short = geo.select(
-        _null_if(nation == 5, F.col("stp")).alias("icb_code"),
-        _null_if(nation == 14, F.col("n_name")).alias("short_icb_name"),
-    )
-    boundaries = geo.select(
-        _null_if(nation == 9, F.col("stp")).alias("icb_code"),
-        _null_if(nation == 16, F.col("n_name")).alias("icb_name"),
-        F.lit('{"type":"MultiPolygon","coordinates":[]}').alias("geometry"),
-    )
-
-    k = F.regexp_extract("props", r"([0-9]+)", 1).cast("int")
-    event = table("events").select(
-        "event_id",
-        "event_type",
-        "value",
-        F.col("ts").cast("date").alias("d"),
-        k.alias("k"),
-        (F.col("user_id") * 10 + F.col("event_id") % 10).alias("ckey"),
-    )
-    k = F.col("k")
-    named = provider.select("c_custkey", "c_name", "stp", "n_nationkey", "n_name")
-
-    def signups(kind: str) -> DataFrame:
-        return event.where(F.col("event_type") == kind).join(named, F.col("ckey") == F.col("c_custkey"))
-
-    fcode = _code("F", F.col("ckey"))
-    opted_in = _null_if(k == 40, F.col("value") > 15).alias("opted_in")
-    day = _null_if(k.between(50, 52), F.col("d"))
-    contact = [
-        _null_if(k >= 97, F.col("stp")).alias("icb_code"),
-        _null_if(k.between(60, 69), F.col("c_name")).alias("name"),
-        F.concat(F.lit("0"), F.col("event_id").cast("string")).alias("phone"),
-        _code("L", nation, 2).alias("lpc_code"),
-        _null_if(nation == 3, F.col("n_name")).alias("lpc_name"),
-    ]
-    pharm1st = signups("signup").select(
-        _null_if(k == 41, fcode).alias("ods_code"),
-        opted_in,
-        day.alias("opt_in_date"),
-        _null_if(k < 10, k < 70).alias("registered_for_cpcs"),
-        *contact,
-    )
-    contraception_opt = signups("purchase").select(
-        _null_if(k == 41, fcode).alias("ods_code"), opted_in, F.col("d").alias("opt_in_date"), *contact
-    )
-    contraception_reg = signups("click").select(fcode.alias("fcode"), day.alias("reg_date"), *contact)
-    contraception_dereg = event.where(F.col("event_type") == "error").select(
-        fcode.alias("ods_code"),
-        F.col("d").alias("date_dereg"),
-        F.date_sub("d", 30).alias("date_notice"),
-        _null_if(k >= 95, F.date_add("d", k)).alias("service_end"),
-        F.lit(None).cast("string").alias("icb"),
-        F.lit(None).cast("string").alias("area"),
-    )
-    bp_reg = signups("view").select(
-        _null_if(k == 42, fcode).alias("fcode"), day.alias("reg_date"), _null_if(k >= 97, F.col("stp")).alias("icb_code")
-    )
-
-    reported = [
-        _code("F", F.col("o_custkey")).alias("fcode"),
-        F.col("o_orderpriority").alias("service"),
-        _year("o_orderdate").alias("date_reported"),
-    ]
-    order_day = F.col("o_orderdate").cast("date")
-    service_registrations = orders.select(*reported, _null_if(price < 20000, order_day).alias("registration_date"))
-    service_deregistrations = orders.where(F.col("o_orderstatus") == "F").select(
-        *reported, F.when(price > 250000, order_day).alias("re_registration_date")
-    )
-    postcodes = orders.select(
-        _code("PC", F.col("o_orderkey")).alias("postcode"),
-        _null_if(price < 15000, F.floor(100000 + price).cast("double")).alias("easting"),
-        _null_if(price < 15000, (50000 + F.col("o_orderkey") * 6007 % 900000).cast("double")).alias("northing"),
-    )
-    return Inputs(
-        ref_contractor=ref_contractor,
-        pharm_list=pharm_list,
-        hundred_hour=hundred_hour,
-        icb_short=icb_short,
-        pharm1st=pharm1st,
-        contraception_opt=contraception_opt,
-        contraception_reg=contraception_reg,
-        contraception_dereg=contraception_dereg,
-        bp_reg=bp_reg,
-        service_registrations=service_registrations,
-        service_deregistrations=service_deregistrations,
-        postcodes=postcodes,
-        boundaries=boundaries,
-    )
+
+
+def sample_inputs(spark: SparkSession, sf_dir: str) -> Inputs:
+    tables = _Tables(spark, sf_dir)
+    return Inputs(**{name: getattr(tables, name) for name in (*STORED, *SHEETS, *LOOKUPS)})

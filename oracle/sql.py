@@ -37,8 +37,8 @@ _CONTACT = f"""
   case when k >= 97 then null else stp end as icb_code,
   case when k between 60 and 69 then null else c_name end as name,
   concat('0', cast(event_id as varchar)) as phone,
-  {_code("L", "n_nationkey", 2)} as lpc_code,
-  case when n_nationkey = 3 then null else n_name end as lpc_name"""
+  {_code("L", "c_nationkey", 2)} as lpc_code,
+  case when c_nationkey = 3 then null else c_mktsegment end as lpc_name"""
 _DAY = "case when k between 50 and 52 then null else d end"
 _OPTED = "case when k = 40 then null else value > 15 end"
 
@@ -67,7 +67,7 @@ select distinct {_code("F", "c_custkey")} as fcode,
   cast(date_trunc('year', o_orderdate) as date) as snapshot_month,
   case when c_acctbal < -400 then null else {_code("PC", "(c_custkey // 2) * 22")} end as postcode,
   case when n_nationkey = 11 then null else stp end as stp_code,
-  n_name as icb_name, c_mktsegment as hwb, c_name as trading_name,
+  concat('Area ', cast(c_nationkey as varchar)) as icb_name, c_mktsegment as hwb, c_name as trading_name,
   concat('Group ', c_mktsegment) as organisation_name
 from orders join provider on o_custkey = c_custkey""",
     "hundred_hour": f"""
