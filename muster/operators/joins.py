@@ -45,9 +45,7 @@ def na_join(left: DataFrame, right: DataFrame, on: Keys, how: str = "left", hot_
     clash = (set(left.columns) & set(right.columns)) - right_keys
     clash |= {r for l, r in pairs if l != r and r in left.columns}
     if how in ("left_semi", "left_anti"):
-        keys = right.select(*[r for _, r in pairs]).distinct()
-        keyed, cond = _prepared(keys, pairs)
-        return left.join(keyed, cond, how)
+        return _membership(left, right, pairs, how)
     if clash:
         raise ValueError(f"columns on both sides of the join: {sorted(clash)}")
     if hot_keys and how in ("left", "full"):
@@ -62,6 +60,26 @@ def na_join(left: DataFrame, right: DataFrame, on: Keys, how: str = "left", hot_
     return joined.drop(*temp)
 
 
+def _membership(left: DataFrame, right: DataFrame, pairs: list[tuple[str, str]], how: str) -> DataFrame:
+    """Semi or anti join on (value, is NULL) pairs.
+
+    The right side folds to its distinct pairs, map side first, and the join reuses the partitioning of
+    that fold: the right rows are shuffled once, however often a key repeats.
+    """
+
+    def parts(name: str) -> list[Column]:
+        c = F.col(name)
+        return [F.coalesce(c.cast("string"), F.lit("")), c.isNull()]
+
+    names, cond = [], F.lit(True)
+    for l, r in pairs:
+        for i, (own, other) in enumerate(zip(parts(l), parts(r))):
+            alias = f"{_TMP}{r}_{i}"
+            names.append(other.alias(alias))
+            cond = cond & (own == F.col(alias))
+    return left.join(right.select(*names).distinct(), cond, how)
+
+
 def _split_outer(left: DataFrame, right: DataFrame, pairs: list[tuple[str, str]], how: str) -> DataFrame:
     parts = [
         na_join(left, right, pairs, "inner"),

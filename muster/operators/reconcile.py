@@ -29,10 +29,10 @@ def reconcile(opt_in: DataFrame, signups: DataFrame, roster: DataFrame) -> DataF
     ), roster)
 
 
-def reconcile_evidence(opt_in: DataFrame, signups: DataFrame, roster: DataFrame) -> DataFrame:
+def reconcile_evidence(opt_in: DataFrame, facts: DataFrame, roster: DataFrame) -> DataFrame:
     """What the counts need of :func:`reconcile`, without pairing repeated rows.
 
-    Both lists and the roster fold to their distinct facts per provider before they meet, so a provider
+    ``facts`` is the result of ``signup_facts``. Both lists and the roster fold to their distinct facts per provider before they meet, so a provider
     with millions of rows on both sides joins a handful of rows. Every combination of (provider, area,
     opt_in, check_reg, mismatch, roster details) of the row-level result is there, with its earliest
     registration date; a combination may repeat where a list's area equals the roster's.
@@ -43,10 +43,7 @@ def reconcile_evidence(opt_in: DataFrame, signups: DataFrame, roster: DataFrame)
         "registered_for_cpcs",
         "icb_code",
     ).distinct()
-    right = signups.groupBy("fcode", F.col("registration_date").isNotNull().alias("check_reg")).agg(
-        F.min("registration_date").alias("registration_date")
-    )
-    both = na_join(left, right, "fcode", "full").withColumns(
+    both = na_join(left, facts, "fcode", "full").withColumns(
         {"opt_in": F.coalesce("opt_in", F.lit(False)), "check_reg": F.coalesce("check_reg", F.lit(False))}
     )
     return _judge(both, roster.select("fcode", *_ROSTER_DETAIL).distinct())

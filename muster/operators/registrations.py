@@ -87,6 +87,18 @@ def signup_valid(regs: DataFrame, deregs: DataFrame, roster: DataFrame) -> DataF
     return na_join(current, roster, "fcode", "inner")
 
 
+def signup_facts(regs: DataFrame, deregs: DataFrame, roster: DataFrame) -> DataFrame:
+    """What reconciliation needs of :func:`signup_valid`: per provider its earliest date, and undated rows apart.
+
+    Registrations fold to at most two rows per provider before they meet the other lists.
+    """
+    facts = regs.groupBy("fcode", F.col("registration_date").isNotNull().alias("check_reg")).agg(
+        F.min("registration_date").alias("registration_date")
+    )
+    current = na_join(facts, deregs, "fcode", "left_anti")
+    return na_join(current, roster, "fcode", "left_semi")
+
+
 def last_dates(pharm1st: DataFrame, contraception: DataFrame, na_rm: bool = False) -> DataFrame:
     """Latest opt-in date of each list as text; NULL if a list has an undated row, unless ``na_rm``."""
 

@@ -59,12 +59,6 @@ def roster_latest(
     return na_join(recoded, with_area_label(icb), [("stp_code", "icb_code")], "left")
 
 
-def roster_keys(roster: DataFrame) -> DataFrame:
-    """One row per provider and area with ``is_100_hour``: all that the counts need of the roster."""
-    yes = F.coalesce(F.col("hundred_hour") == labels.HUNDRED_HOUR_YES, F.lit(False))
-    return roster.groupBy("fcode", "stp").agg(F.max(yes).alias("is_100_hour"))
-
-
 def total_contractors(roster: DataFrame) -> DataFrame:
     return distinct_counts(roster, [], "fcode", "total_contractors")
 

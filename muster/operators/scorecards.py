@@ -1,68 +1,84 @@
 """National, regional and area scorecards of service uptake.
 
-All sign-up lists are first folded to distinct (service, provider, group) rows and only then meet the
-roster, which is itself folded to one row per provider. Repeated sign-ups therefore never reach a join,
-and the counts that follow are plain sums with a map-side combine.
+Sign-ups of all lists and the roster's own rows are laid in one table and folded to one row per service,
+provider and group, map side first. Only then do the rows of a provider meet, to learn whether it is on
+the roster; by that time a provider holds a handful of rows however often it signed up. The counts that
+follow are plain sums.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from datetime import date
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from muster import labels
 from muster.functions import pct, short_label, sum_or_zero, week_floor
 from muster.operators.joins import na_join
-from muster.operators.roster import roster_keys, with_area_label
+from muster.operators.roster import with_area_label
+
+# Marks the roster's own rows among the sign-ups.
+ROSTER = "roster"
 
 
 def service_members(
     pharm1st: DataFrame,
     contraception: DataFrame,
     bp: DataFrame,
-    keys: DataFrame,
+    roster: DataFrame,
     since: date,
     by: Sequence[str] = (),
 ) -> DataFrame:
-    """Distinct (service, fcode, *by) rows of the three lists, flagged ``on_roster`` and ``is_100_hour``.
+    """One row per (service, provider, *by), the roster being a service of its own.
 
-    ``by`` may hold ``icb_code`` and ``week``. ``keys`` is the result of ``roster_keys``. Opt-in lists give
-    their opted-in rows, the blood-pressure list its rows since ``since``.
+    ``by`` may hold ``icb_code`` (the roster's area is its contract's) and ``week`` (NULL for the roster).
+    Opt-in lists give their opted-in rows, the blood-pressure list its rows since ``since``.
+    ``is_yes`` is the row's own 100-hour flag, ``on_roster`` and ``is_100_hour`` those of the provider.
+    A NULL provider is a provider like any other.
     """
 
-    def shaped(df: DataFrame, service: str, fcode: str, day: str) -> DataFrame:
+    def shaped(df: DataFrame, service: str, fcode: str, groups: Mapping[str, Column], yes: Column) -> DataFrame:
         return df.select(
             F.lit(service).alias("service"),
             F.col(fcode).alias("fcode"),
-            *[week_floor(day).alias("week") if c == "week" else F.col(c) for c in by],
+            *[groups[c].alias(c) for c in by],
+            yes.alias("is_yes"),
         )
 
-    events = (
-        shaped(pharm1st.where("opted_in"), labels.PHARM1ST, "ods_code", "opt_in_date")
-        .unionByName(shaped(contraception.where("opted_in"), labels.CONTRACEPTION, "ods_code", "opt_in_date"))
-        .unionByName(shaped(bp.where(F.col("reg_date") >= F.lit(since)), labels.BP, "fcode", "reg_date"))
-        .distinct()
-    )
-    flags = keys.groupBy("fcode").agg(
-        F.max("is_100_hour").alias("is_100_hour"), F.lit(True).alias("on_roster")
+    def signups(df: DataFrame, service: str, fcode: str, day: str) -> DataFrame:
+        groups = {"icb_code": F.col("icb_code"), "week": week_floor(day)}
+        return shaped(df, service, fcode, groups, F.lit(False))
+
+    own_groups = {"icb_code": F.col("stp"), "week": F.lit(None).cast("date")}
+    own_flag = F.coalesce(F.col("hundred_hour") == labels.HUNDRED_HOUR_YES, F.lit(False))
+    rows = [
+        signups(pharm1st.where("opted_in"), labels.PHARM1ST, "ods_code", "opt_in_date"),
+        signups(contraception.where("opted_in"), labels.CONTRACEPTION, "ods_code", "opt_in_date"),
+        signups(bp.where(F.col("reg_date") >= F.lit(since)), labels.BP, "fcode", "reg_date"),
+        shaped(roster, ROSTER, "fcode", own_groups, own_flag),
+    ]
+    folded = reduce(DataFrame.unionByName, rows).groupBy("service", "fcode", *by).agg(F.max("is_yes").alias("is_yes"))
+    provider = Window.partitionBy("fcode")
+    return folded.withColumns(
+        {
+            "on_roster": F.max(F.col("service") == ROSTER).over(provider),
+            "is_100_hour": F.max("is_yes").over(provider),
+        }
     )
-    return na_join(events, flags, "fcode", "left")
-
-
-# Marks the roster's own rows among the sign-ups.
-ROSTER = "roster"
 
 
 def _is(service: str) -> Column:
     return F.col("service") == service
 
 
-# How each measure picks its rows out of ``service_members``.
 def _measures() -> dict[str, Column]:
+    """How each count picks its rows out of ``service_members``."""
     return {
+        "total_contractors": _is(ROSTER),
+        "total_100_hour": _is(ROSTER) & F.col("is_yes"),
         "pharm1st_opted_in": _is(labels.PHARM1ST),
         "contraception_opted_in": _is(labels.CONTRACEPTION),
         "bp_new": _is(labels.BP) & F.col("on_roster"),
@@ -70,31 +86,36 @@ def _measures() -> dict[str, Column]:
     }
 
 
+def _rated(df: DataFrame) -> DataFrame:
+    return df.withColumns(
+        {
+            "pct_pharm1st": pct("pharm1st_opted_in", "total_contractors", 1),
+            "pct_contraception": pct("contraception_opted_in", "total_contractors", 1),
+            "pct_pharm1st_100_hour": pct("pharm1st_100_hour", "total_100_hour", 1),
+        }
+    )
+
+
+_CARD = [
+    "total_contractors",
+    "pharm1st_opted_in",
+    "pct_pharm1st",
+    "contraception_opted_in",
+    "pct_contraception",
+    "bp_new",
+    "total_100_hour",
+    "pharm1st_100_hour",
+    "pct_pharm1st_100_hour",
+]
+
+
 def national_scorecard(
     pharm1st: DataFrame, contraception: DataFrame, bp: DataFrame, roster: DataFrame, since: date
 ) -> DataFrame:
     """One row with the nine national measures."""
-    keys = roster_keys(roster)
-    members = service_members(pharm1st, contraception, bp, keys, since)
+    members = service_members(pharm1st, contraception, bp, roster, since)
     counted = members.agg(*[F.count_if(rule).alias(name) for name, rule in _measures().items()])
-    per_provider = keys.groupBy("fcode").agg(F.max("is_100_hour").alias("is_100_hour"))
-    base = per_provider.agg(
-        F.struct(
-            F.count(F.lit(1)).alias("total_contractors"), F.count_if("is_100_hour").alias("total_100_hour")
-        ).alias("base")
-    )
-    with_base = counted.withColumn("base", base.scalar()).select("*", "base.*")
-    return with_base.select(
-        "total_contractors",
-        "pharm1st_opted_in",
-        pct("pharm1st_opted_in", "total_contractors", 1).alias("pct_pharm1st"),
-        "contraception_opted_in",
-        pct("contraception_opted_in", "total_contractors", 1).alias("pct_contraception"),
-        "bp_new",
-        "total_100_hour",
-        "pharm1st_100_hour",
-        pct("pharm1st_100_hour", "total_100_hour", 1).alias("pct_pharm1st_100_hour"),
-    )
+    return _rated(counted).select(*_CARD)
 
 
 def headline_values(national: DataFrame) -> DataFrame:
@@ -129,52 +150,15 @@ def icb_scorecard(
     sign-up in an area is NULL there, not 0. Sign-ups count by the area on their list, and are not
     limited to roster providers, so a percentage may exceed 100.
     """
-    keys = roster_keys(roster)
-    members = service_members(pharm1st, contraception, bp, keys, since, ["icb_code"])
-    # Roster rows and sign-up rows meet in one aggregate by area instead of a chain of joins.
-    rows = members.drop("fcode").unionByName(
-        keys.select(F.lit(ROSTER).alias("service"), F.col("stp").alias("icb_code"), "is_100_hour"),
-        allowMissingColumns=True,
-    )
+    members = service_members(pharm1st, contraception, bp, roster, since, ["icb_code"])
     one = F.lit(1).cast("long")
-    rules = {
-        "total_contractors": _is(ROSTER),
-        "total_100_hour": _is(ROSTER) & F.col("is_100_hour"),
-        **_measures(),
-    }
-    counted = rows.groupBy("icb_code").agg(*[F.sum(F.when(rule, one)).alias(name) for name, rule in rules.items()])
+    counted = members.groupBy("icb_code").agg(
+        *[F.sum(F.when(rule, one)).alias(name) for name, rule in _measures().items()]
+    )
     known = F.col("total_contractors" if keep_all_areas else "total_100_hour").isNotNull()
     card = na_join(counted.where(known), with_area_label(icb), "icb_code")
     card = na_join(card, region_map(contractor), "icb_code")
-    return card.select(
-        "icb_code",
-        "short_icb_name",
-        "icb",
-        "region_code",
-        "region_name",
-        "total_contractors",
-        "pharm1st_opted_in",
-        pct("pharm1st_opted_in", "total_contractors", 1).alias("pct_pharm1st"),
-        "contraception_opted_in",
-        pct("contraception_opted_in", "total_contractors", 1).alias("pct_contraception"),
-        "bp_new",
-        "total_100_hour",
-        "pharm1st_100_hour",
-        pct("pharm1st_100_hour", "total_100_hour", 1).alias("pct_pharm1st_100_hour"),
-    )
-
-
-_CARD = [
-    "total_contractors",
-    "pharm1st_opted_in",
-    "pct_pharm1st",
-    "contraception_opted_in",
-    "pct_contraception",
-    "bp_new",
-    "total_100_hour",
-    "pharm1st_100_hour",
-    "pct_pharm1st_100_hour",
-]
+    return _rated(card).select("icb_code", "short_icb_name", "icb", "region_code", "region_name", *_CARD)
 
 
 def by_uptake(code: str) -> list[Column]:
@@ -202,14 +186,7 @@ def regional_scorecard(
         "pharm1st_100_hour",
     ]
     summed = icb_card.groupBy("region_name").agg(*[sum_or_zero(c).cast("long").alias(c) for c in sums])
-    rated = summed.withColumns(
-        {
-            "pct_pharm1st": pct("pharm1st_opted_in", "total_contractors", 1),
-            "pct_contraception": pct("contraception_opted_in", "total_contractors", 1),
-            "pct_pharm1st_100_hour": pct("pharm1st_100_hour", "total_100_hour", 1),
-        }
-    )
-    return rated.orderBy(*by_uptake("region_name")).select(
+    return _rated(summed).orderBy(*by_uptake("region_name")).select(
         short_label("region_name", region_labels, other).alias("region"), *_CARD
     )
 

@@ -10,8 +10,7 @@ from pyspark.sql import functions as F
 
 from muster import labels
 from muster.functions import date_text, max_na, min_na
-from muster.operators.roster import roster_keys
-from muster.operators.scorecards import service_members
+from muster.operators.scorecards import ROSTER, service_members
 
 _PCT = ["pct_pharm1st", "pct_pharm1st_100_hour", "pct_contraception"]
 
@@ -28,9 +27,8 @@ def weekly_trend(
 
     Not cumulative, and weeks without sign-ups are not filled in.
     """
-    members = service_members(pharm1st, contraception, bp, roster_keys(roster), since, ["week"])
-    bp_on_roster = (F.col("service") != labels.BP) | F.col("on_roster")
-    own = F.when(bp_on_roster, F.col("service"))
+    members = service_members(pharm1st, contraception, bp, roster, since, ["week"]).where(F.col("service") != ROSTER)
+    own = F.when((F.col("service") != labels.BP) | F.col("on_roster"), F.col("service"))
     hundred = F.when((F.col("service") == labels.PHARM1ST) & F.col("is_100_hour"), F.lit("pharm1st_100h"))
     keyed = members.select("week", F.explode(F.array_compact(F.array(own, hundred))).alias("key"))
     counted = keyed.groupBy("week", "key").agg(F.count(F.lit(1)).alias("optin"))

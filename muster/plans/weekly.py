@@ -77,15 +77,15 @@ class WeeklyPack:
         )
 
     @cached_property
-    def signup_keys(self) -> DataFrame:
-        """Valid sign-ups without the roster's columns or its repeats: what counts and evidence need."""
+    def signup_facts(self) -> DataFrame:
+        i = self.inputs
         return self._keep(
-            registrations.signup_valid(
-                registrations.latest_registrations(self.inputs.service_registrations, self.service),
-                registrations.latest_deregistrations(self.inputs.service_deregistrations, self.service),
-                self.roster.select("fcode").distinct(),
-            ).select("fcode", "registration_date"),
-            "signup_keys",
+            registrations.signup_facts(
+                registrations.latest_registrations(i.service_registrations, self.service),
+                registrations.latest_deregistrations(i.service_deregistrations, self.service),
+                self.roster,
+            ),
+            "signup_facts",
         )
 
     @cached_property
@@ -95,7 +95,7 @@ class WeeklyPack:
     @cached_property
     def evidence(self) -> DataFrame:
         return self._keep(
-            reconcile.reconcile_evidence(self.inputs.pharm1st, self.signup_keys, self.roster), "evidence"
+            reconcile.reconcile_evidence(self.inputs.pharm1st, self.signup_facts, self.roster), "evidence"
         )
 
     # Counts --------------------------------------------------------------------------------------
@@ -114,7 +114,7 @@ class WeeklyPack:
 
     @cached_property
     def signup_count(self) -> DataFrame:
-        return reconcile.signup_valid_count(self.signup_keys, self.evidence)
+        return reconcile.signup_valid_count(self.signup_facts, self.evidence)
 
     @cached_property
     def national(self) -> DataFrame:

@@ -9,10 +9,8 @@ values; no row is left out to make a table smaller.
 from __future__ import annotations
 
 from datetime import date
-from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from muster.sources.inputs import LOOKUPS, SHEETS, STORED, Inputs
 
@@ -21,21 +19,6 @@ SINCE = date(2024, 1, 15)
 SERVICE = "1-URGENT"
 LONDON = "London"
 
-_REGION_NAMES = ["London", "North West", "Midlands", "South East", "East Of England"]
-
-
-def _code(prefix: str, key: Column, width: int = 12) -> Column:
-    return F.concat(F.lit(prefix), F.lpad(key.cast("string"), width, "0"))
-
-
-def _null_if(cond: Column, value: Column) -> Column:
-    return F.when(~cond, value)
-
-
-def _year(day: str) -> Column:
-    return F.trunc(F.col(day).cast("date"), "year")
-
-
 _SCHEMAS = {
     "nation": "n_nationkey int, n_name string, n_regionkey int",
     "region": "r_regionkey int, r_name string",
@@ -46,8 +29,39 @@ _SCHEMAS = {
 }
 
 
-def _area(nation: Column) -> Column:
-    return F.when(nation == 24, "Q62").when(nation == 23, "QRV").otherwise(_code("Q", nation, 2))
+def _code(prefix: str, key: str, width: int = 12) -> str:
+    return f"concat('{prefix}', lpad(cast({key} as string), {width}, '0'))"
+
+
+def _area(nation: str) -> str:
+    return f"case {nation} when 24 then 'Q62' when 23 then 'QRV' else {_code('Q', nation, 2)} end"
+
+
+_REGION = (
+    "case r_regionkey when 0 then 'London' when 1 then 'North West' when 2 then 'Midlands' "
+    "when 3 then 'South East' when 4 then 'East Of England' end"
+)
+# One area lies in two regions.
+_MOVED = "n_nationkey = 12 and c_acctbal < 2000"
+_REPORTED = [
+    f"{_code('F', 'o_custkey')} as fcode",
+    "o_orderpriority as service",
+    "trunc(cast(o_orderdate as date), 'year') as date_reported",
+]
+
+# Parts of a sign-up row; ``k`` is the number carried by the event.
+_FCODE = _code("F", "ckey")
+_NAMED_CODE = f"case when k <> 41 then {_FCODE} end as ods_code"
+_OPTED = "case when k <> 40 then value > 15 end as opted_in"
+_DAY = "case when k not between 50 and 52 then d end"
+_ICB = f"case when k < 97 then {_area('c_nationkey')} end as icb_code"
+_CONTACT = [
+    _ICB,
+    "case when k not between 60 and 69 then c_name end as name",
+    "concat('0', cast(event_id as string)) as phone",
+    f"{_code('L', 'c_nationkey', 2)} as lpc_code",
+    "case when c_nationkey <> 3 then c_mktsegment end as lpc_name",
+]
 
 
 class _Tables:
@@ -56,177 +70,131 @@ class _Tables:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self._spark, self._dir = spark, sf_dir
 
-    def table(self, name: str) -> DataFrame:
+    def _table(self, name: str) -> DataFrame:
         # With the schema given, no file is opened before the query runs.
         return self._spark.read.schema(_SCHEMAS[name]).parquet(f"{self._dir}/{name}.parquet")
 
-    @cached_property
-    def geo(self) -> DataFrame:
-        nation = F.col("n_nationkey")
-        region = F.element_at(F.array(*[F.lit(r) for r in _REGION_NAMES]), F.col("n_regionkey") + 1)
-        return (
-            self.table("nation")
-            .join(self.table("region"), F.col("n_regionkey") == F.col("r_regionkey"))
-            .select(
-                nation,
-                "n_name",
-                _area(nation).alias("stp"),
-                F.when(nation != 7, F.concat(F.lit("Y"), F.col("n_regionkey"))).alias("region_code"),
-                F.when(nation != 7, region).alias("region_name"),
-            )
-        )
-
     def ref_contractor(self) -> DataFrame:
-        balance, nation = F.col("c_acctbal"), F.col("n_nationkey")
-        # One area lies in two regions.
-        moved = (nation == 12) & (balance < 2000)
-        return (
-            self.table("customer")
-            .join(self.geo, F.col("c_nationkey") == nation)
-            .select(
-                _code("F", F.col("c_custkey")).alias("fcode"),
-                F.when(balance < -500, "Appliance").otherwise("Pharmacy").alias("contractor_type"),
-                F.when(F.col("c_mktsegment") == "MACHINERY", "DAC")
-                .otherwise(_null_if(balance.between(0, 300), F.lit("Community")))
-                .alias("contract_type"),
-                "stp",
-                F.when(moved, "Y0").otherwise(F.col("region_code")).alias("region_code"),
-                F.when(moved, LONDON).otherwise(F.col("region_name")).alias("region_name"),
-                F.when(balance > 9200, F.lit(date(2001, 1, 1))).alias("end_date"),
-            )
+        providers = (
+            self._table("customer")
+            .join(self._table("nation").withColumnRenamed("n_nationkey", "c_nationkey"), "c_nationkey")
+            .withColumnsRenamed({"c_nationkey": "n_nationkey", "n_regionkey": "r_regionkey"})
+            .join(self._table("region"), "r_regionkey")
+        )
+        return providers.selectExpr(
+            f"{_code('F', 'c_custkey')} as fcode",
+            "case when c_acctbal < -500 then 'Appliance' else 'Pharmacy' end as contractor_type",
+            "case when c_mktsegment = 'MACHINERY' then 'DAC' when c_acctbal between 0 and 300 then null "
+            "else 'Community' end as contract_type",
+            f"{_area('n_nationkey')} as stp",
+            f"case when {_MOVED} then 'Y0' when n_nationkey <> 7 then concat('Y', r_regionkey) end as region_code",
+            f"case when {_MOVED} then '{LONDON}' when n_nationkey <> 7 then {_REGION} end as region_name",
+            "case when c_acctbal > 9200 then date'2001-01-01' end as end_date",
         )
 
     def pharm_list(self) -> DataFrame:
-        nation = F.col("c_nationkey")
-        snapshots = self.table("orders").select("o_custkey", _year("o_orderdate").alias("snapshot_month")).distinct()
-        shared_postcode = _code("PC", F.floor(F.col("c_custkey") / 2) * 22)
-        return snapshots.join(self.table("customer"), F.col("o_custkey") == F.col("c_custkey")).select(
-            _code("F", F.col("c_custkey")).alias("fcode"),
+        snapshots = (
+            self._table("orders")
+            .selectExpr("o_custkey as c_custkey", "trunc(cast(o_orderdate as date), 'year') as snapshot_month")
+            .distinct()
+        )
+        return snapshots.join(self._table("customer"), "c_custkey").selectExpr(
+            f"{_code('F', 'c_custkey')} as fcode",
             "snapshot_month",
-            _null_if(F.col("c_acctbal") < -400, shared_postcode).alias("postcode"),
-            _null_if(nation == 11, _area(nation)).alias("stp_code"),
-            F.concat(F.lit("Area "), nation.cast("string")).alias("icb_name"),
-            F.col("c_mktsegment").alias("hwb"),
-            F.col("c_name").alias("trading_name"),
-            F.concat(F.lit("Group "), F.col("c_mktsegment")).alias("organisation_name"),
+            f"case when c_acctbal >= -400 then {_code('PC', '(c_custkey div 2) * 22')} end as postcode",
+            f"case when c_nationkey <> 11 then {_area('c_nationkey')} end as stp_code",
+            "concat('Area ', c_nationkey) as icb_name",
+            "c_mktsegment as hwb",
+            "c_name as trading_name",
+            "concat('Group ', c_mktsegment) as organisation_name",
         )
 
     def hundred_hour(self) -> DataFrame:
-        yes = (F.col("c_mktsegment") == "HOUSEHOLD") & (F.col("c_nationkey") != 15)
-        return self.table("customer").select(
-            _code("F", F.col("c_custkey")).alias("fcode"),
-            F.when(yes, "Yes").otherwise("No").alias("hundred_hour"),
+        return self._table("customer").selectExpr(
+            f"{_code('F', 'c_custkey')} as fcode",
+            "case when c_mktsegment = 'HOUSEHOLD' and c_nationkey <> 15 then 'Yes' else 'No' end as hundred_hour",
         )
 
     def icb_short(self) -> DataFrame:
-        nation = F.col("n_nationkey")
-        return self.table("nation").select(
-            _null_if(nation == 5, _area(nation)).alias("icb_code"),
-            _null_if(nation == 14, F.col("n_name")).alias("short_icb_name"),
+        return self._table("nation").selectExpr(
+            f"case when n_nationkey <> 5 then {_area('n_nationkey')} end as icb_code",
+            "case when n_nationkey <> 14 then n_name end as short_icb_name",
         )
 
     def boundaries(self) -> DataFrame:
-        nation = F.col("n_nationkey")
-        return self.table("nation").select(
-            _null_if(nation == 9, _area(nation)).alias("icb_code"),
-            _null_if(nation == 16, F.col("n_name")).alias("icb_name"),
-            F.lit('{"type":"MultiPolygon","coordinates":[]}').alias("geometry"),
+        return self._table("nation").selectExpr(
+            f"case when n_nationkey <> 9 then {_area('n_nationkey')} end as icb_code",
+            "case when n_nationkey <> 16 then n_name end as icb_name",
+            """'{"type":"MultiPolygon","coordinates":[]}' as geometry""",
         )
 
     def _events(self, kind: str) -> DataFrame:
         return (
-            self.table("events")
-            .where(F.col("event_type") == kind)
-            .select(
+            self._table("events")
+            .where(f"event_type = '{kind}'")
+            .selectExpr(
                 "event_id",
                 "value",
-                F.col("ts").cast("date").alias("d"),
-                F.regexp_extract("props", r"([0-9]+)", 1).cast("int").alias("k"),
-                (F.col("user_id") * 10 + F.col("event_id") % 10).alias("ckey"),
+                "cast(ts as date) as d",
+                "cast(regexp_extract(props, '([0-9]+)', 1) as int) as k",
+                "user_id * 10 + event_id % 10 as ckey",
             )
         )
 
     def _signups(self, kind: str) -> DataFrame:
-        return self._events(kind).join(self.table("customer"), F.col("ckey") == F.col("c_custkey"))
-
-    # Columns of a sign-up row; ``k`` is the number carried by the event.
-    _k = property(lambda self: F.col("k"))
-    _fcode = property(lambda self: _code("F", F.col("ckey")))
-    _opted_in = property(lambda self: _null_if(self._k == 40, F.col("value") > 15).alias("opted_in"))
-    _day = property(lambda self: _null_if(self._k.between(50, 52), F.col("d")))
-    _icb = property(lambda self: _null_if(self._k >= 97, _area(F.col("c_nationkey"))).alias("icb_code"))
-
-    @property
-    def _contact(self) -> list[Column]:
-        return [
-            self._icb,
-            _null_if(self._k.between(60, 69), F.col("c_name")).alias("name"),
-            F.concat(F.lit("0"), F.col("event_id").cast("string")).alias("phone"),
-            _code("L", F.col("c_nationkey"), 2).alias("lpc_code"),
-            _null_if(F.col("c_nationkey") == 3, F.col("c_mktsegment")).alias("lpc_name"),
-        ]
+        providers = self._table("customer").withColumnRenamed("c_custkey", "ckey")
+        return self._events(kind).join(providers, "ckey")
 
     def pharm1st(self) -> DataFrame:
-        return self._signups("signup").select(
-            _null_if(self._k == 41, self._fcode).alias("ods_code"),
-            self._opted_in,
-            self._day.alias("opt_in_date"),
-            _null_if(self._k < 10, self._k < 70).alias("registered_for_cpcs"),
-            *self._contact,
+        return self._signups("signup").selectExpr(
+            _NAMED_CODE,
+            _OPTED,
+            f"{_DAY} as opt_in_date",
+            "case when k >= 10 then k < 70 end as registered_for_cpcs",
+            *_CONTACT,
         )
 
     def contraception_opt(self) -> DataFrame:
-        return self._signups("purchase").select(
-            _null_if(self._k == 41, self._fcode).alias("ods_code"),
-            self._opted_in,
-            F.col("d").alias("opt_in_date"),
-            *self._contact,
-        )
+        return self._signups("purchase").selectExpr(_NAMED_CODE, _OPTED, "d as opt_in_date", *_CONTACT)
 
     def contraception_reg(self) -> DataFrame:
-        return self._signups("click").select(
-            self._fcode.alias("fcode"), self._day.alias("reg_date"), *self._contact
-        )
+        return self._signups("click").selectExpr(f"{_FCODE} as fcode", f"{_DAY} as reg_date", *_CONTACT)
 
     def contraception_dereg(self) -> DataFrame:
-        return self._events("error").select(
-            self._fcode.alias("ods_code"),
-            F.col("d").alias("date_dereg"),
-            F.date_sub("d", 30).alias("date_notice"),
-            _null_if(self._k >= 95, F.date_add("d", self._k)).alias("service_end"),
-            F.lit(None).cast("string").alias("icb"),
-            F.lit(None).cast("string").alias("area"),
+        return self._events("error").selectExpr(
+            f"{_FCODE} as ods_code",
+            "d as date_dereg",
+            "date_sub(d, 30) as date_notice",
+            "case when k < 95 then date_add(d, k) end as service_end",
+            "cast(null as string) as icb",
+            "cast(null as string) as area",
         )
 
     def bp_reg(self) -> DataFrame:
-        return self._signups("view").select(
-            _null_if(self._k == 42, self._fcode).alias("fcode"), self._day.alias("reg_date"), self._icb
-        )
-
-    def _reports(self, *extra: Column, status: str | None = None) -> DataFrame:
-        orders = self.table("orders")
-        rows = orders if status is None else orders.where(F.col("o_orderstatus") == status)
-        return rows.select(
-            _code("F", F.col("o_custkey")).alias("fcode"),
-            F.col("o_orderpriority").alias("service"),
-            _year("o_orderdate").alias("date_reported"),
-            *extra,
+        return self._signups("view").selectExpr(
+            f"case when k <> 42 then {_FCODE} end as fcode", f"{_DAY} as reg_date", _ICB
         )
 
     def service_registrations(self) -> DataFrame:
-        day = _null_if(F.col("o_totalprice") < 20000, F.col("o_orderdate").cast("date"))
-        return self._reports(day.alias("registration_date"))
+        return self._table("orders").selectExpr(
+            *_REPORTED, "case when o_totalprice >= 20000 then cast(o_orderdate as date) end as registration_date"
+        )
 
     def service_deregistrations(self) -> DataFrame:
-        day = F.when(F.col("o_totalprice") > 250000, F.col("o_orderdate").cast("date"))
-        return self._reports(day.alias("re_registration_date"), status="F")
+        return (
+            self._table("orders")
+            .where("o_orderstatus = 'F'")
+            .selectExpr(
+                *_REPORTED,
+                "case when o_totalprice > 250000 then cast(o_orderdate as date) end as re_registration_date",
+            )
+        )
 
     def postcodes(self) -> DataFrame:
-        price, key = F.col("o_totalprice"), F.col("o_orderkey")
-        return self.table("orders").select(
-            _code("PC", key).alias("postcode"),
-            _null_if(price < 15000, F.floor(100000 + price).cast("double")).alias("easting"),
-            _null_if(price < 15000, (50000 + key * 6007 % 900000).cast("double")).alias("northing"),
+        return self._table("orders").selectExpr(
+            f"{_code('PC', 'o_orderkey')} as postcode",
+            "case when o_totalprice >= 15000 then cast(floor(100000 + o_totalprice) as double) end as easting",
+            "case when o_totalprice >= 15000 then cast(50000 + o_orderkey * 6007 % 900000 as double) end as northing",
         )
 
 
