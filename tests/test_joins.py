@@ -1,0 +1,101 @@
+"""Null-exact joins, split outer joins, membership, and keyed choices."""
+
+import random
+from collections import Counter
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from conftest import rows
+from muster.operators.joins import assert_unique, distinct_counts, duplicate_keys, first_by, na_join
+
+
+@pytest.fixture(scope="module")
+def sides(frame):
+    left = frame("k string, a int", ("x", 1), (None, 2), ("y", 3), ("", 4))
+    right = frame("k string, b int", ("x", 10), (None, 20), (None, 21), ("z", 30))
+    return left, right
+
+
+def test_null_matches_null(sides):
+    left, right = sides
+    assert rows(na_join(left, right, "k", "inner")) == [("x", 1, 10), (None, 2, 20), (None, 2, 21)]
+
+
+def test_outer_joins(sides):
+    left, right = sides
+    only_left = [("", 4, None), ("x", 1, 10), ("y", 3, None), (None, 2, 20), (None, 2, 21)]
+    assert rows(na_join(left, right, "k", "left")) == only_left
+    assert rows(na_join(left, right, "k", "right")) == [("x", 1, 10), ("z", None, 30), (None, 2, 20), (None, 2, 21)]
+    assert rows(na_join(left, right, "k", "full")) == sorted(only_left[:3]) + [("z", None, 30)] + only_left[3:]
+
+
+def test_membership_treats_null_as_a_value_and_not_as_empty_text(sides):
+    left, right = sides
+    assert rows(na_join(left, right, "k", "left_semi")) == [("x", 1), (None, 2)]
+    assert rows(na_join(left, right, "k", "left_anti")) == [("", 4), ("y", 3)]
+
+
+def test_differently_named_keys(frame):
+    left = frame("code string, a int", ("x", 1), (None, 2))
+    right = frame("k string, b int", ("x", 5),)
+    assert rows(na_join(left, right, [("code", "k")])) == [("x", 1, 5), (None, 2, None)]
+    assert na_join(left, right, [("code", "k")], "full").columns == ["code", "a", "b"]
+
+
+def test_clashing_columns_are_refused(frame):
+    df = frame("k string, a int", ("x", 1))
+    with pytest.raises(ValueError, match="both sides"):
+        na_join(df, df, "k")
+
+
+key = st.one_of(st.none(), st.sampled_from(["a", "b", "c"]))
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(ls=st.lists(key, min_size=1, max_size=6), rs=st.lists(key, min_size=1, max_size=6))
+@pytest.mark.parametrize("how", ["left", "full"])
+def test_split_outer_equals_plain(spark, how, ls, rs):
+    left = spark.createDataFrame([(k, i) for i, k in enumerate(ls)], "k string, a int")
+    right = spark.createDataFrame([(k, i) for i, k in enumerate(rs)], "k string, b int")
+    plain, split = (Counter(map(tuple, na_join(left, right, "k", how, hot_keys=h).collect())) for h in (False, True))
+    brute = Counter((l, i, j) for i, l in enumerate(ls) for j, r in enumerate(rs) if l == r)
+    brute += Counter((l, i, None) for i, l in enumerate(ls) if l not in rs)
+    if how == "full":
+        brute += Counter((r, None, j) for j, r in enumerate(rs) if r not in ls)
+    assert plain == split == brute
+
+
+def test_distinct_counts(frame):
+    df = frame("g string, m string", ("a", "1"), ("a", "1"), ("a", None), (None, "2"))
+    assert rows(distinct_counts(df, ["g"], "m", "n")) == [("a", 2), (None, 1)]
+    assert distinct_counts(df, [], "m", "n").first().n == 3
+    assert distinct_counts(df.where("false"), [], "m", "n").first().n == 0
+
+
+def test_first_by_orders_nulls_last(frame):
+    df = frame("k string, d int, v string", ("x", None, "late"), ("x", 2, "b"), ("x", 2, "a"), (None, 1, "n"))
+    assert rows(first_by(df, ["k"], ["d", "v"])) == [("x", 2, "a"), (None, 1, "n")]
+
+
+def test_first_by_trims_before_the_shuffle(frame):
+    df = frame("k string, d int", ("x", 1), ("x", 2))
+    plan = first_by(df, ["k"], ["d"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("WindowGroupLimit") == 2
+
+
+def test_unique_keys(frame):
+    df = frame("k string, v int", ("x", 1), ("x", 2), ("y", 3))
+    assert rows(duplicate_keys(df, ["k"])) == [("x", 2)]
+    with pytest.raises(ValueError, match="repeated keys"):
+        assert_unique(df, ["k"])
+    assert assert_unique(df, ["k", "v"]) is df
+
+
+def test_hot_key_on_both_sides_of_a_membership_join(spark):
+    random.seed(1)
+    hot = spark.range(30_000).select(F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("k"))
+    assert na_join(hot, hot, "k", "left_semi").count() == 30_000
+    assert na_join(hot, hot.where("k = 'hot'"), "k", "left_anti").count() == 20_000
