@@ -24,7 +24,7 @@ from muster.operators.roster import with_area_label
 ROSTER = "roster"
 
 
-def service_members(
+def service_facts(
     pharm1st: DataFrame,
     contraception: DataFrame,
     bp: DataFrame,
@@ -35,9 +35,8 @@ def service_members(
     """One row per (service, provider, *by), the roster being a service of its own.
 
     ``by`` may hold ``icb_code`` (the roster's area is its contract's) and ``week`` (NULL for the roster).
-    Opt-in lists give their opted-in rows, the blood-pressure list its rows since ``since``.
-    ``is_yes`` is the row's own 100-hour flag, ``on_roster`` and ``is_100_hour`` those of the provider.
-    A NULL provider is a provider like any other.
+    Opt-in lists give their opted-in rows, the blood-pressure list its rows since ``since``. ``is_yes`` is
+    the row's own 100-hour flag. A NULL provider is a provider like any other.
     """
 
     def shaped(df: DataFrame, service: str, fcode: str, groups: Mapping[str, Column], yes: Column) -> DataFrame:
@@ -60,9 +59,18 @@ def service_members(
         signups(bp.where(F.col("reg_date") >= F.lit(since)), labels.BP, "fcode", "reg_date"),
         shaped(roster, ROSTER, "fcode", own_groups, own_flag),
     ]
-    folded = reduce(DataFrame.unionByName, rows).groupBy("service", "fcode", *by).agg(F.max("is_yes").alias("is_yes"))
+    return refold(reduce(DataFrame.unionByName, rows), by)
+
+
+def refold(facts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Service facts at a coarser grain."""
+    return facts.groupBy("service", "fcode", *by).agg(F.max("is_yes").alias("is_yes"))
+
+
+def with_provider_flags(facts: DataFrame) -> DataFrame:
+    """Add to every fact whether its provider is ``on_roster`` and ``is_100_hour`` there."""
     provider = Window.partitionBy("fcode")
-    return folded.withColumns(
+    return facts.withColumns(
         {
             "on_roster": F.max(F.col("service") == ROSTER).over(provider),
             "is_100_hour": F.max("is_yes").over(provider),
@@ -75,7 +83,7 @@ def _is(service: str) -> Column:
 
 
 def _measures() -> dict[str, Column]:
-    """How each count picks its rows out of ``service_members``."""
+    """How each count picks its rows out of flagged service facts."""
     return {
         "total_contractors": _is(ROSTER),
         "total_100_hour": _is(ROSTER) & F.col("is_yes"),
@@ -113,8 +121,12 @@ def national_scorecard(
     pharm1st: DataFrame, contraception: DataFrame, bp: DataFrame, roster: DataFrame, since: date
 ) -> DataFrame:
     """One row with the nine national measures."""
-    members = service_members(pharm1st, contraception, bp, roster, since)
-    counted = members.agg(*[F.count_if(rule).alias(name) for name, rule in _measures().items()])
+    return national_from_facts(service_facts(pharm1st, contraception, bp, roster, since))
+
+
+def national_from_facts(facts: DataFrame) -> DataFrame:
+    """National measures from facts with one row per service and provider."""
+    counted = with_provider_flags(facts).agg(*[F.count_if(rule).alias(name) for name, rule in _measures().items()])
     return _rated(counted).select(*_CARD)
 
 
@@ -150,9 +162,16 @@ def icb_scorecard(
     sign-up in an area is NULL there, not 0. Sign-ups count by the area on their list, and are not
     limited to roster providers, so a percentage may exceed 100.
     """
-    members = service_members(pharm1st, contraception, bp, roster, since, ["icb_code"])
+    facts = service_facts(pharm1st, contraception, bp, roster, since, ["icb_code"])
+    return icb_from_facts(facts, icb, contractor, keep_all_areas)
+
+
+def icb_from_facts(
+    facts: DataFrame, icb: DataFrame, contractor: DataFrame, keep_all_areas: bool = False
+) -> DataFrame:
+    """Area scorecard from facts with one row per service, provider and area."""
     one = F.lit(1).cast("long")
-    counted = members.groupBy("icb_code").agg(
+    counted = with_provider_flags(facts).groupBy("icb_code").agg(
         *[F.sum(F.when(rule, one)).alias(name) for name, rule in _measures().items()]
     )
     known = F.col("total_contractors" if keep_all_areas else "total_100_hour").isNotNull()

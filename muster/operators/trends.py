@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from muster import labels
 from muster.functions import date_text, max_na, min_na
-from muster.operators.scorecards import ROSTER, service_members
+from muster.operators.scorecards import ROSTER, service_facts, with_provider_flags
 
 _PCT = ["pct_pharm1st", "pct_pharm1st_100_hour", "pct_contraception"]
 
@@ -27,7 +27,12 @@ def weekly_trend(
 
     Not cumulative, and weeks without sign-ups are not filled in.
     """
-    members = service_members(pharm1st, contraception, bp, roster, since, ["week"]).where(F.col("service") != ROSTER)
+    return trend_from_facts(service_facts(pharm1st, contraception, bp, roster, since, ["week"]), series)
+
+
+def trend_from_facts(facts: DataFrame, series: Mapping[str, str] = labels.SERIES_LABELS) -> DataFrame:
+    """Weekly series from facts with one row per service, provider and week."""
+    members = with_provider_flags(facts).where(F.col("service") != ROSTER)
     own = F.when((F.col("service") != labels.BP) | F.col("on_roster"), F.col("service"))
     hundred = F.when((F.col("service") == labels.PHARM1ST) & F.col("is_100_hour"), F.lit("pharm1st_100h"))
     keyed = members.select("week", F.explode(F.array_compact(F.array(own, hundred))).alias("key"))

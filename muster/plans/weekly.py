@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Mapping
 from datetime import date
 from functools import cached_property
 
@@ -23,8 +23,8 @@ DEFAULT_SINCE = date(2023, 12, 1)
 class WeeklyPack:
     """Lazy tables of one report run; nothing is computed until a table is used.
 
-    ``keep`` is called on the tables that many others are built from. The default leaves them lazy, which
-    suits single tables; :func:`weekly_report` passes ``Staging.keep`` so each is computed once.
+    ``staging`` holds the tables that many others are built from, so that each is computed once and the raw
+    lists are read once. Without it everything stays lazy, which suits single tables.
     """
 
     def __init__(
@@ -34,11 +34,14 @@ class WeeklyPack:
         since: date = DEFAULT_SINCE,
         service: str = labels.CPCS_SERVICE,
         region_labels: Mapping[str, str] = labels.REGION_SHORT,
-        keep: Callable[[DataFrame, str], DataFrame] = lambda df, _: df,
+        staging: Staging | None = None,
     ):
         self.inputs, self.as_of, self.since, self.service = inputs, as_of, since, service
         self.region_labels = region_labels
-        self._keep = keep
+        self._staging = staging
+
+    def _keep(self, df: DataFrame, name: str) -> DataFrame:
+        return self._staging.keep(df, name) if self._staging else df
 
     # Registers -----------------------------------------------------------------------------------
 
@@ -116,22 +119,25 @@ class WeeklyPack:
     def signup_count(self) -> DataFrame:
         return reconcile.signup_valid_count(self.signup_facts, self.evidence)
 
+    def _facts_by(self, *by: str) -> DataFrame:
+        i = self.inputs
+        return scorecards.service_facts(i.pharm1st, self.contraception, i.bp_reg, self.roster, self.since, by)
+
+    @cached_property
+    def _staged_facts(self) -> DataFrame:
+        return self._keep(self._facts_by("icb_code", "week"), "service_facts")
+
+    def facts(self, *by: str) -> DataFrame:
+        """Service facts at the wanted grain: from the staged finest grain, or straight from the lists."""
+        return scorecards.refold(self._staged_facts, by) if self._staging else self._facts_by(*by)
+
     @cached_property
     def national(self) -> DataFrame:
-        i = self.inputs
-        return scorecards.national_scorecard(i.pharm1st, self.contraception, i.bp_reg, self.roster, self.since)
+        return scorecards.national_from_facts(self.facts())
 
     def icb_card_for(self, keep_all_areas: bool = False) -> DataFrame:
-        i = self.inputs
-        return scorecards.icb_scorecard(
-            i.pharm1st,
-            self.contraception,
-            i.bp_reg,
-            self.roster,
-            i.icb_short,
-            self.contractor,
-            self.since,
-            keep_all_areas,
+        return scorecards.icb_from_facts(
+            self.facts("icb_code"), self.inputs.icb_short, self.contractor, keep_all_areas
         )
 
     @cached_property
@@ -149,8 +155,7 @@ class WeeklyPack:
 
     @cached_property
     def trend(self) -> DataFrame:
-        i = self.inputs
-        return trends.weekly_trend(i.pharm1st, self.contraception, i.bp_reg, self.roster, self.since)
+        return trends.trend_from_facts(self.facts("week"))
 
     def last_dates(self, na_rm: bool = False) -> DataFrame:
         return registrations.last_dates(self.inputs.pharm1st, self.contraception, na_rm)
@@ -225,7 +230,7 @@ def weekly_report(
     in which a provider or an area's region repeats, where sums over areas would count twice.
     """
     spark = inputs.pharm_list.sparkSession
-    pack = WeeklyPack(inputs, as_of, since, service, keep=Staging(spark).keep)
+    pack = WeeklyPack(inputs, as_of, since, service, staging=Staging(spark))
     if strict_keys:
         assert_unique(pack.roster, ["fcode"])
         assert_unique(inputs.hundred_hour, ["fcode"])
