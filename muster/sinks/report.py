@@ -6,7 +6,6 @@ from collections.abc import Mapping
 from datetime import date
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from muster import labels
 
@@ -47,7 +46,9 @@ def write_by_region(detail: DataFrame, path: str, as_of: date, fmt: str = "csv")
 
 
 def write_points(points: DataFrame, path: str, as_of: date, fmt: str = "parquet") -> str:
-    """Provider map layers, one sub-folder per service and layer; ``points`` has a ``service`` column."""
-    month = as_of.strftime("%B%Y")
-    text = points.withColumns({c: F.col(c).cast("string") for c, t in points.dtypes if t == "date" and fmt == "csv"})
-    return _write(text, f"{path.rstrip('/')}/opt_in_map_{month}", fmt, ["service", "layer"])
+    """Provider map layers, one sub-folder per service and layer, each file in draw order.
+
+    ``points`` has a ``service`` column. The folder carries the month.
+    """
+    ordered = points.sortWithinPartitions("service", "layer", "draw_order", "fcode")
+    return _write(ordered, f"{path.rstrip('/')}/opt_in_map_{as_of.strftime('%B%Y')}", fmt, ["service", "layer"])

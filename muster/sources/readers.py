@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -80,8 +82,10 @@ def find_one(spark: SparkSession, folder: str, prefix: str) -> str:
     listed = (
         spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(base).select("path")
     )
-    tail = F.substring_index("path", base + "/", -1)
-    entries = listed.select(F.substring_index(tail, "/", 1).alias("entry")).where(has_prefix("entry", prefix))
+    # Scheme and host are skipped: Spark may spell them differently in the listing.
+    scheme = r"[A-Za-z][A-Za-z0-9+.-]*:(?://[^/]*)?"
+    inside = rf"^(?:{scheme})?\Q{re.sub('^' + scheme, '', base)}\E/([^/]+)"
+    entries = listed.select(F.regexp_extract("path", inside, 1).alias("entry")).where(has_prefix("entry", prefix))
     names = sorted(r.entry for r in entries.distinct().limit(3).collect())
     if len(names) != 1:
         raise ValueError(f"{base}: expected one entry starting with {prefix!r}, found {names or 'none'}")

@@ -69,10 +69,13 @@ class _Tables:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self._spark, self._dir = spark, sf_dir
+        self._opened: dict[str, DataFrame] = {}
 
     def _table(self, name: str) -> DataFrame:
-        # With the schema given, no file is opened before the query runs.
-        return self._spark.read.schema(_SCHEMAS[name]).parquet(f"{self._dir}/{name}.parquet")
+        if name not in self._opened:
+            # With the schema given, no file is opened before the query runs.
+            self._opened[name] = self._spark.read.schema(_SCHEMAS[name]).parquet(f"{self._dir}/{name}.parquet")
+        return self._opened[name]
 
     def ref_contractor(self) -> DataFrame:
         providers = (

@@ -39,7 +39,10 @@ def test_exactly_one_file_must_match(spark, tmp_path):
 
 def test_a_folder_of_part_files_is_one_entry(spark, tmp_path):
     spark.range(10).repartition(3).write.csv(str(tmp_path / "Hypertension 1"), header=True)
-    assert readers.find_one(spark, str(tmp_path), "hypertension").endswith("/Hypertension 1")
+    for folder in (str(tmp_path), f"{tmp_path}/", f"file://{tmp_path}", f"file:{tmp_path}"):
+        found = readers.find_one(spark, folder, "hypertension")
+        assert found == f"{folder.rstrip('/')}/Hypertension 1"
+        assert spark.read.csv(found, header=True).count() == 10
 
 
 def test_only_needed_columns_are_parsed(spark, tmp_path):
