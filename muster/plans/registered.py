@@ -144,7 +144,7 @@ def queries() -> dict[str, Query]:
         ),
         "contraception_opt_ins": _over(lambda p: p.contraception),
         "bp_registrations": _over(lambda p: p.bp),
-        "bp_metrics": _over(lambda p: registrations.bp_metrics(p.bp, SINCE)),
+        "bp_metrics": _over(lambda p: p.bp_figures),
         "latest_registrations": _over(
             lambda p: registrations.latest_registrations(p.inputs.service_registrations, SERVICE)
         ),

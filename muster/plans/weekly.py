@@ -70,6 +70,12 @@ class WeeklyPack:
     def bp(self) -> DataFrame:
         return registrations.bp_registrations(self.inputs.bp_reg, self.roster)
 
+    @cached_property
+    def bp_figures(self) -> DataFrame:
+        """Registration counts; repeated (provider, day) rows go before the roster is looked up."""
+        days = self.inputs.bp_reg.select("fcode", "reg_date").distinct()
+        return registrations.bp_metrics(registrations.bp_registrations(days, self.roster), self.since)
+
     @cached_property
     def signups(self) -> DataFrame:
         i = self.inputs
@@ -164,7 +170,7 @@ class WeeklyPack:
         return trends.narrative(
             self.national,
             self.last_dates(na_rm),
-            registrations.bp_metrics(self.bp, self.since),
+            self.bp_figures,
             roster.roster_date(self.roster),
             self.signup_count,
         )

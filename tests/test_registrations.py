@@ -51,6 +51,7 @@ def test_bp_metrics(bp):
     assert got == {"total": 5, "invalid": 2, "old_registrations": 1, "new_registrations": 2, "last_date": None}
     assert g.bp_metrics(bp.where("reg_date is not null"), D2).first().last_date == "2024-01-01"
     assert tuple(g.bp_metrics(bp.where("false"), D2).first())[:4] == (0, 0, 0, 0)
+    assert g.bp_metrics(bp.unionAll(bp), D2).first().asDict() == got
 
 
 def test_each_service_has_its_own_latest_report(frame):
