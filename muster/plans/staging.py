@@ -6,33 +6,32 @@ Spark its true size for later join choices.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; only a local session may fall back to a temporary one."""
+    """The folder named by ``spark.checkpoint.dir``; where it is unset, a folder of the warehouse, which a
+    cluster's executors share as well. The session's settings stay as they are."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    own = tempfile.mkdtemp(prefix="muster-")
-    spark.conf.set("spark.checkpoint.dir", own)
-    return own
+    return folder.rstrip("/") if folder else spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/staging"
 
 
 class Staging:
     """Writes tables under a folder of its own for one run."""
 
-    def __init__(self, spark: SparkSession):
+    def __init__(self, spark: SparkSession, parent: str | None = None):
         self._spark = spark
-        self.folder = f"{shared_folder(spark)}/muster-run-{uuid.uuid4().hex}"
+        self.folder = f"{parent or shared_folder(spark)}/muster-run-{uuid.uuid4().hex}"
 
     def keep(self, df: DataFrame, name: str) -> DataFrame:
         """Write ``df`` and return it as read back."""
         path = f"{self.folder}/{name}"
         df.write.mode("error").parquet(path)
         return self._spark.read.schema(df.schema).parquet(path)
+
+    def drop(self, name: str = "") -> None:
+        """Delete one table, or the whole folder of the run; nothing may read it afterwards."""
+        path = self._spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{name}".rstrip("/"))
+        path.getFileSystem(self._spark._jsc.hadoopConfiguration()).delete(path, True)
