@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from muster.llm.common import documents
 from muster.llm.exact_dedup import exact_groups
+from muster.llm.simhash import hex_print, near_groups
 from muster.plans.session import tune
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,7 +19,13 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = near_groups(documents(tune(spark), sf_dir), shingle=4, max_bits=4)
+    return groups.select("doc_id", hex_print().alias("fingerprint"), "component_id")
+
+
 def queries() -> dict[str, Query]:
     return {
         "op9_exact_dedup": op9_exact_dedup,
+        "op10_simhash": op10_simhash,
     }
