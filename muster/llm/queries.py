@@ -5,15 +5,40 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from muster.llm.common import documents
 from muster.llm.exact_dedup import exact_groups
+from muster.llm.line_dedup import drop_frequent_lines
+from muster.llm.mixing import draws
+from muster.llm.quality import verdicts
 from muster.llm.simhash import hex_print, near_groups
+from muster.llm.url_filter import url_verdicts
 from muster.plans.session import tune
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = drop_frequent_lines(documents(tune(spark), sf_dir), min_docs=10, min_chars=1)
+    return kept.select("doc_id", "n_lines", "n_dropped", "kept_sha256")
+
+
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return verdicts(documents(tune(spark), sf_dir)).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "failed"
+    )
+
+
+def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_verdicts(tune(spark).read.parquet(f"{sf_dir}/pages.parquet"))
+
+
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = draws(documents(tune(spark), sf_dir))
+    return drawn.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = exact_groups(documents(tune(spark), sf_dir))
     return groups.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
@@ -26,6 +51,10 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_line_dedup": op1_line_dedup,
+        "op3_quality_rules": op3_quality_rules,
+        "op6_url_filters": op6_url_filters,
+        "op8_mixing": op8_mixing,
         "op9_exact_dedup": op9_exact_dedup,
         "op10_simhash": op10_simhash,
     }

@@ -2,6 +2,84 @@
 
 from __future__ import annotations
 
+OP1 = r"""
+WITH split AS (
+  SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents
+), line AS (
+  SELECT doc_id, lines, unnest(generate_series(1, len(lines))) AS pos FROM split
+), keys AS (
+  SELECT doc_id, pos, lines[pos] AS line,
+         translate(regexp_replace(regexp_replace(lines[pos], '^[\x20\x09-\x0D]+', ''), '[\x20\x09-\x0D]+$', ''),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM line
+), often AS (
+  SELECT key FROM keys WHERE length(key) >= 1 GROUP BY key HAVING count(DISTINCT doc_id) >= 10
+)
+SELECT k.doc_id, count(*) AS n_lines, count(o.key) AS n_dropped,
+       sha256(coalesce(string_agg(CASE WHEN o.key IS NULL THEN k.line END, chr(10) ORDER BY k.pos), '')) AS kept_sha256
+FROM keys k LEFT JOIN often o ON k.key = o.key
+GROUP BY k.doc_id
+"""
+
+OP3 = r"""
+WITH base AS (
+  SELECT doc_id, coalesce(text, '') AS text,
+         list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words,
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS lines
+  FROM documents
+), windows AS (
+  SELECT doc_id, pos, array_to_string(words[pos : pos + 7], ' ') AS w
+  FROM (SELECT doc_id, words, unnest(generate_series(1, len(words) - 7)) AS pos FROM base WHERE len(words) >= 8)
+), repeated AS (
+  SELECT doc_id, pos FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, w) AS n FROM windows) WHERE n > 1
+), covered AS (
+  SELECT doc_id, count(DISTINCT place) AS n_repeat_words
+  FROM (SELECT doc_id, unnest(generate_series(pos, pos + 7)) AS place FROM repeated) GROUP BY doc_id
+), measured AS (
+  SELECT b.doc_id, len(words) AS n_words, length(array_to_string(words, '')) AS word_chars,
+         len(regexp_extract_all(text, '[#*$%&|<>]')) AS n_symbols,
+         len(lines) AS n_lines, len(lines) - len(list_distinct(lines)) AS n_dup_lines,
+         coalesce(n_repeat_words, 0) AS n_repeat_words,
+         len(regexp_extract_all(text, '\p{Lu}{2,}')) AS n_shouted, len(regexp_extract_all(text, '!+')) AS n_marks
+  FROM base b LEFT JOIN covered c USING (doc_id)
+), judged AS (
+  SELECT *, (n_words < 20)::INT + 2 * (100 * n_repeat_words > 30 * n_words)::INT + 4 * (10 * n_symbols > n_words)::INT
+    + 8 * (n_dup_lines > 2 AND 10 * n_dup_lines > 3 * n_lines)::INT + 16 * (10 * n_shouted > 3 * n_words)::INT
+    + 32 * (10 * n_marks > 3 * n_words)::INT
+    + 64 * (word_chars > 20 * n_words OR word_chars < 2 * n_words)::INT AS failed
+  FROM measured
+)
+SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols,
+       n_dup_lines::BIGINT AS n_dup_lines, n_repeat_words::BIGINT AS n_repeat_words,
+       (failed & 3) <> 0 AS base_failed, failed = 0 AS kept, failed::BIGINT AS failed
+FROM judged
+"""
+
+OP6 = r"""
+WITH parts AS (
+  SELECT page_id,
+         translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', 1),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', 2) AS path
+  FROM pages
+), judged AS (
+  SELECT *, CASE
+    WHEN (host = 'www.example.com' OR ends_with(host, '.www.example.com')) AND starts_with(path, '/en/') THEN 'www.example.com/en/'
+    WHEN (host = 'example.com' OR ends_with(host, '.example.com')) AND starts_with(path, '/en/') THEN 'example.com/en/'
+    WHEN (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/es/') THEN 'net/es/'
+    WHEN (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/fr/') THEN 'net/fr/'
+    WHEN (host = 'com' OR ends_with(host, '.com')) AND starts_with(path, '/') THEN 'com/'
+  END AS rule
+  FROM parts
+)
+SELECT page_id, host, path, rule,
+       CASE WHEN rule IN ('com/', 'www.example.com/en/') THEN 'allow'
+            WHEN rule IS NOT NULL THEN 'block'
+            WHEN regexp_matches(host || path, '(?:^|[^a-z0-9])(?:ad|ads|adserver|banner|banners|popunder|popup|track|tracker|tracking)(?:[^a-z0-9]|$)')
+            THEN 'block' ELSE 'allow' END AS verdict
+FROM judged
+"""
+
 OP9 = r"""
 WITH norm AS (
   SELECT doc_id, length(coalesce(text, '')) AS n_chars,
@@ -19,5 +97,8 @@ SELECT doc_id, keep_id, group_size, nth = 1 AS kept, sha256(body) AS text_sha256
 
 def statements() -> dict[str, str]:
     return {
+        "op1_line_dedup": OP1,
+        "op3_quality_rules": OP3,
+        "op6_url_filters": OP6,
         "op9_exact_dedup": OP9,
     }
