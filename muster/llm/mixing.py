@@ -9,7 +9,8 @@ move from one document's fraction to the other's, in a random direction that kee
 the two is whole. So each pair keeps its sum of words exactly. Small groups of documents are folded this way, each
 leaves one fraction, and the residuals of a fixed number of groups meet in the next level of a reduction tree, until a
 source has one residual, which is rounded by itself: the words taken from a source miss its target by less than that
-one document. All draws are hashes, so reruns agree.
+one document. Folds go from long to short documents, and the last one also takes in a bounded reserve of short ones
+that were held back, so that the last residual is short. All draws are hashes: reruns agree.
 
 Defined cases: NULL or blank texts have size 0 and are taken once when a copy is due anyway (0 words); a NULL source
 is a source of its own; rows that repeat a doc_id and text are numbered and drawn on their own. Other columns are
@@ -29,7 +30,9 @@ WEIGHTS = (5, 2, 1)
 SHARE = 1.5
 LIMIT = 2
 #: Documents, or residuals, that one fold takes in on average.
-GROUP = 48
+GROUP = 64
+#: Short documents of a source, on average at most, that wait for its last fold.
+RESERVE = 512
 
 
 def n_words(text: str | Column = "text") -> Column:
@@ -58,7 +61,7 @@ def targets(sizes: DataFrame, weights: tuple = WEIGHTS, share: float = SHARE, li
 _UP = "least(s.held.size * (1 - s.held.f), x.size * x.f)"
 _DOWN = "least(s.held.size * s.held.f, x.size * (1 - x.f))"
 _DRAW = "(shiftrightunsigned(xxhash64({seed}L, s.held.id, x.id), 11) / 9007199254740992D)"
-_ITEM = "'id', {0}.id, 'doc', {0}.doc, 'size', {0}.size, 'f', {1}"
+_ITEM = "'size', {0}.size, 'id', {0}.id, 'doc', {0}.doc, 'f', {1}"
 
 
 def _item(which: str, f: str) -> str:
@@ -66,7 +69,7 @@ def _item(which: str, f: str) -> str:
 
 
 def _decide(which: str, take: int, held: str) -> str:
-    done = f"array_append(s.done, named_struct('id', {which}.id, 'doc', {which}.doc, 'size', {which}.size, 'take', {take}))"
+    done = f"array_append(s.done, named_struct('size', {which}.size, 'id', {which}.id, 'doc', {which}.doc, 'take', {take}))"
     return f"named_struct('held', {held}, 'done', {done})"
 
 
@@ -96,7 +99,7 @@ def numbered(docs: DataFrame) -> DataFrame:
     return rows.withColumn("nth", F.row_number().over(Window.partitionBy(*KEYS).orderBy("source")))
 
 
-def draws(docs: DataFrame, weights: tuple = WEIGHTS, share: float = SHARE, limit: int = LIMIT, seed: int = 1, group: int = GROUP) -> DataFrame:
+def draws(docs: DataFrame, weights: tuple = WEIGHTS, share: float = SHARE, limit: int = LIMIT, seed: int = 1, group: int = GROUP, reserve: int = RESERVE) -> DataFrame:
     """doc_id, k1, k2, nth, size, source, source_size, target and ``copies`` of every row."""
     staging = Staging(docs.sparkSession)
     rows = staging.keep(numbered(docs), "rows")
@@ -111,19 +114,24 @@ def draws(docs: DataFrame, weights: tuple = WEIGHTS, share: float = SHARE, limit
 
     doc = F.struct("doc_id", *KEYS, "nth", "source", "source_size", "target", "whole")
     items = known.where(open_).select(
-        "source", F.struct(F.xxhash64(*KEYS, "nth").alias("id"), doc.alias("doc"), F.col("size").cast("double").alias("size"), "f").alias("item")
-    )
-    leaves = items.groupBy("source").agg(F.ceil(F.count(F.lit(1)) / group).alias("leaves"))
-    leaves = staging.keep(leaves, "leaves")
-    nodes = items.join(leaves.withColumnRenamed("source", "of"), F.col("source").eqNullSafe(F.col("of"))).select(
-        "source", F.pmod(F.xxhash64(F.lit(seed), "item.id"), F.col("leaves")).alias("node"), "item"
+        "source", F.struct(F.col("size").cast("double").alias("size"), F.xxhash64(*KEYS, "nth").alias("id"), doc.alias("doc"), "f").alias("item")
     )
+    counts = items.groupBy("source").agg(F.count(F.lit(1)).alias("n"), F.avg("item.size").alias("mean"))
+    counts = staging.keep(counts.withColumnRenamed("source", "of"), "counts")
+    placed = items.join(counts, F.col("source").eqNullSafe(F.col("of"))).drop("of")
+    chance = F.shiftrightunsigned(F.xxhash64(F.lit(-seed), "item.id"), 11) / F.lit(float(1 << 53))
+    short = (F.col("item.size") <= F.col("mean")) & (chance * F.col("n") < reserve)
+    leaf = F.pmod(F.xxhash64(F.lit(seed), "item.id"), F.ceil(F.col("n") / group))
+    placed = placed.select("source", leaf.alias("node"), "item", short.alias("short"))
+    nodes, held_back = placed.where("NOT short").drop("short"), placed.where("short").drop("short")
     item_type = items.schema["item"].dataType.simpleString()
     done_type = item_type[: item_type.rindex(",f:")] + ",take:int>"
-    widest = leaves.agg(F.max("leaves")).first()[0] or 0
-    decided, level = [], 0
+    most = counts.agg(F.max("n")).first()[0] or 0
+    decided, level, widest = [], 0, -(-most // group)
     while widest:
-        gathered = nodes.groupBy("source", "node").agg(F.array_sort(F.collect_list("item")).alias("items"))
+        if widest == 1:
+            nodes = nodes.unionByName(held_back).withColumn("node", F.lit(0))
+        gathered = nodes.groupBy("source", "node").agg(F.reverse(F.array_sort(F.collect_list("item"))).alias("items"))
         folded = gathered.select("source", "node", F.expr(_fold("items", seed + level, item_type, done_type)).alias("s"))
         folded = staging.keep(folded, f"level{level}")
         decided.append(folded.select(F.explode("s.done").alias("d")))
@@ -136,7 +144,7 @@ def draws(docs: DataFrame, weights: tuple = WEIGHTS, share: float = SHARE, limit
     )
     if decided:
         alone = F.shiftrightunsigned(F.xxhash64(F.lit(seed + level + 1), "item.id"), 11) / F.lit(float(1 << 53))
-        last = nodes.select(F.struct("item.id", "item.doc", "item.size", (alone < F.col("item.f")).cast("int").alias("take")).alias("d"))
+        last = nodes.select(F.struct("item.size", "item.id", "item.doc", (alone < F.col("item.f")).cast("int").alias("take")).alias("d"))
         for more in decided:
             last = last.unionByName(more)
         rounded = last.select(
