@@ -108,10 +108,11 @@ def pivot_table(prints: np.ndarray, pivots: int) -> np.ndarray:
     return np.bitwise_count(prints[:, None] ^ references[None, :]).astype(np.int8)
 
 
-def _verified(left: np.ndarray, right: np.ndarray, table_l: np.ndarray, table_r: np.ndarray, max_bits: int) -> np.ndarray:
-    """Which pairs link: pivots discard, the differing bits decide about the survivors."""
-    near = np.flatnonzero((np.abs(table_l - table_r) <= max_bits).all(axis=1))
-    return near[np.bitwise_count(left[near] ^ right[near]) <= max_bits]
+def _verified(bits: np.ndarray, gaps: np.ndarray, max_bits: int) -> np.ndarray:
+    """Which pairs link, from their differing ``bits`` and the ``gaps`` of their pivot distances: any gap above
+    ``max_bits`` discards a pair, the bits decide about the survivors."""
+    near = np.flatnonzero((np.abs(gaps) <= max_bits).all(axis=1))
+    return near[np.bitwise_count(bits[near]) <= max_bits]
 
 
 def spanning_links(prints: np.ndarray, max_bits: int, pivots: int) -> tuple[np.ndarray, np.ndarray]:
@@ -130,7 +131,7 @@ def spanning_links(prints: np.ndarray, max_bits: int, pivots: int) -> tuple[np.n
             lo = np.searchsorted(first, first[at] - max_bits)
             hi = np.searchsorted(first, first[at] + max_bits, "right")
             among = lo + np.flatnonzero(open_[lo:hi])
-            hit = among[_verified(prints[among], prints[at], table[among], table[at], max_bits)]
+            hit = among[_verified(prints[among] ^ prints[at], table[among] - table[at], max_bits)]
             open_[hit] = False
             queue += hit.tolist()
             left.append(np.full(len(hit), prints[at]))
@@ -153,7 +154,7 @@ def _links_of_sorted(max_bits: int, pivots: int):
         for step in range(1, _SMALL):
             pair = np.flatnonzero(group[within[step:]] == group[within[:-step]]) if len(within) > step else within[:0]
             a, b = within[pair], within[pair + step]
-            hit = _verified(prints[a], prints[b], table[pair], table[pair + step], max_bits)
+            hit = _verified(prints[a] ^ prints[b], table[pair] - table[pair + step], max_bits)
             left.append(prints[a[hit]])
             right.append(prints[b[hit]])
         for start, size in zip(starts[sizes > _SMALL], sizes[sizes > _SMALL], strict=True):
