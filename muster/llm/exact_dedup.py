@@ -174,7 +174,7 @@ def exact_groups(
         )
         if chunks is None:
             # The texts of rows that share a fingerprint, and of no others.
-            shared = members.select(*KEYS).distinct()
+            shared = members.select(*KEYS).distinct().hint("merge")  # the same plan at every size
             texts = _texts(docs, normalise, doc_id, text).join(shared, KEYS).dropDuplicates(KEYS)
             chunks = staging.keep(_chunks(texts, chunk_bytes), "chunks")
         pairs = members.select(*KEYS, "g1", "g2").distinct()
