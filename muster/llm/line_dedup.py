@@ -190,7 +190,7 @@ def drop_frequent_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1,
     names = ["n_lines", "n_dropped", "kept_sha256", *(["kept_text"] if with_text else [])]
     kinds = {"n_lines": "long", "n_dropped": "long", "kept_sha256": "string", "kept_text": "string"}
     kind = rows.schema["doc_id"].dataType.simpleString()
-    marked = rows.join(gone, KEYS, "left").select(
+    marked = rows.join(gone.hint("merge"), KEYS, "left").select(
         "doc_id", *KEYS, "text", F.col("gone.h1").alias("gone1"), F.col("gone.h2").alias("gone2")
     )
     return marked.mapInArrow(_strip(min_chars, names), f"doc_id {kind}, k1 long, k2 long, " + ", ".join(f"{n} {kinds[n]}" for n in names))
