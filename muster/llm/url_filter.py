@@ -87,7 +87,8 @@ def rarest_token_index(urls: DataFrame, rules: DataFrame) -> DataFrame:
     """Each rule under the one of its tokens that the fewest urls hold."""
     words = rules.select("*", F.explode("tokens").alias("token")).drop("tokens")
     known = words.select("token").distinct()
-    counts = _tokens(urls).join(known, "token").groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+    # Counted before the join: a token that most urls hold is one row of each task there.
+    counts = _tokens(urls).groupBy("token").agg(F.count(F.lit(1)).alias("n")).join(known, "token", "left_semi")
     rare = words.join(counts, "token", "left").groupBy("rule", "action", "pattern", "rank")
     return rare.agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "token")).getField("token").alias("token"))
 
