@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,6 +12,7 @@ from muster.llm.common import documents
 from muster.llm.exact_dedup import exact_groups
 from muster.llm.line_dedup import drop_frequent_lines
 from muster.llm.mixing import draws
+from muster.llm.packing import pack
 from muster.llm.quality import verdicts
 from muster.llm.simhash import hex_print, near_groups
 from muster.llm.url_filter import url_verdicts
@@ -30,6 +32,10 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(documents(tune(spark), sf_dir), public_tokenizers.path("word_bpe_49k.json"), sequence=2048, end_id=1)
+
+
 def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_verdicts(tune(spark).read.parquet(f"{sf_dir}/pages.parquet"))
 
@@ -53,6 +59,7 @@ def queries() -> dict[str, Query]:
     return {
         "op1_line_dedup": op1_line_dedup,
         "op3_quality_rules": op3_quality_rules,
+        "op5_packing": op5_packing,
         "op6_url_filters": op6_url_filters,
         "op8_mixing": op8_mixing,
         "op9_exact_dedup": op9_exact_dedup,
