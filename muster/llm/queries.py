@@ -15,6 +15,7 @@ from muster.llm.mixing import draws
 from muster.llm.packing import pack
 from muster.llm.quality import verdicts
 from muster.llm.simhash import hex_print, near_groups
+from muster.llm.toxicity import fit, scored
 from muster.llm.url_filter import url_verdicts
 from muster.plans.session import tune
 
@@ -40,6 +41,11 @@ def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_verdicts(tune(spark).read.parquet(f"{sf_dir}/pages.parquet"))
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(tune(spark), sf_dir)
+    return scored(docs, fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     drawn = draws(documents(tune(spark), sf_dir))
     return drawn.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
@@ -61,6 +67,7 @@ def queries() -> dict[str, Query]:
         "op3_quality_rules": op3_quality_rules,
         "op5_packing": op5_packing,
         "op6_url_filters": op6_url_filters,
+        "op7_toxicity": op7_toxicity,
         "op8_mixing": op8_mixing,
         "op9_exact_dedup": op9_exact_dedup,
         "op10_simhash": op10_simhash,
