@@ -15,6 +15,7 @@ from muster.llm.mixing import draws
 from muster.llm.packing import pack
 from muster.llm.quality import verdicts
 from muster.llm.simhash import hex_print, near_groups
+from muster.llm.substring_dedup import drop_repeats
 from muster.llm.toxicity import fit, scored
 from muster.llm.url_filter import url_verdicts
 from muster.plans.session import tune
@@ -27,6 +28,11 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", "kept_sha256")
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = drop_repeats(documents(tune(spark), sf_dir), window=20)
+    return kept.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return verdicts(documents(tune(spark), sf_dir)).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "failed"
@@ -64,6 +70,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op1_line_dedup": op1_line_dedup,
+        "op2_substring_dedup": op2_substring_dedup,
         "op3_quality_rules": op3_quality_rules,
         "op5_packing": op5_packing,
         "op6_url_filters": op6_url_filters,
