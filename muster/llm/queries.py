@@ -16,6 +16,7 @@ from muster.llm.packing import pack
 from muster.llm.quality import verdicts
 from muster.llm.simhash import hex_print, near_groups
 from muster.llm.substring_dedup import drop_repeats
+from muster.llm.suffix_dedup import drop_repeated_bytes
 from muster.llm.toxicity import fit, scored
 from muster.llm.url_filter import url_verdicts
 from muster.plans.session import tune
@@ -39,6 +40,11 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = drop_repeated_bytes(documents(tune(spark), sf_dir), window=400)
+    return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(documents(tune(spark), sf_dir), public_tokenizers.path("word_bpe_49k.json"), sequence=2048, end_id=1)
 
@@ -72,6 +78,7 @@ def queries() -> dict[str, Query]:
         "op1_line_dedup": op1_line_dedup,
         "op2_substring_dedup": op2_substring_dedup,
         "op3_quality_rules": op3_quality_rules,
+        "op4_suffix_dedup": op4_suffix_dedup,
         "op5_packing": op5_packing,
         "op6_url_filters": op6_url_filters,
         "op7_toxicity": op7_toxicity,
