@@ -253,8 +253,9 @@ def pack(
         return items.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", F.col("start").alias("sequence_id"), F.col("start").alias("offset"), *(["ids"] if with_ids else []))
     earlier = Window.partitionBy("size").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     before = counts.withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0))).drop("n")
+    # One row per class and bucket, as many as there are partitions to fill: joined where the ranks are counted.
     place = F.row_number().over(Window.partitionBy("size", "bucket").orderBy(*KEYS, "start"))
-    ranked = items.withColumn("place", place).join(before, ["size", "bucket"])
+    ranked = items.withColumn("place", place).join(before.hint("merge"), ["size", "bucket"])
     names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", *(["ids"] if with_ids else [])]
     ranked = ranked.select(*names, F.col("size").cast("long").alias("size"), (F.col("before") + F.col("place") - 1).alias("rank"))
 
