@@ -5,12 +5,13 @@ copies lie to the blocks, holds a whole block of each copy. So it is enough to i
 index with every rolling window of a block's length:
 
 1. Hashes of all rolling windows meet the blocks' hashes in buckets of the hash. A block whose words also start
-   anywhere else is an anchor. Each Arrow batch sends a hash once, whatever its number, so that a passage in a third
-   of all documents is one entry per batch; blocks that repeat inside a batch are anchors without asking.
+   anywhere else is an anchor. Texts are
+   folded some megabytes at a time and send a hash once, whatever its number, so that a passage in a third of all
+   documents is one entry per slice; blocks that repeat inside a slice are anchors without asking.
 2. Each anchor is extended to the windows that hold it, which are named by 96-bit hashes and grouped by content: equal
    windows meet under the smallest block hash they hold, neighbours mostly under the same one. All but the first
-   occurrence, by document and start, are repeats; neighbouring repeats make up the maximal exact repeat. Inside an
-   Arrow batch only the first occurrence goes on.
+   occurrence, by document and start, are repeats; neighbouring repeats make up the maximal exact repeat. Inside a
+   slice only the first occurrence goes on.
 3. The words that repeats cover are removed.
 
 Defined cases: a NULL or blank text has no words. Documents are ordered by doc_id, NULL last, then by a hash of the
@@ -32,7 +33,8 @@ from muster.llm.rolling import buffers, runs, sliding_min, slices, window_hashes
 from muster.plans.staging import Staging
 
 WINDOW = 20
-_SLICE = 4 << 20
+#: Texts of so many bytes are worked on at a time, and folded before they are sent.
+_SLICE = 8 << 20
 
 
 def _windows(data: np.ndarray, offsets: np.ndarray, size: int, seed: int, hashed=None):
@@ -62,43 +64,41 @@ _INDEX = "bucket int, probes binary, blocks binary, owners binary, numbers binar
 
 
 def _probe(block: int, buckets: int):
-    """For each Arrow batch and bucket: hashes of rolling windows, and of blocks with the document and number."""
+    """For each slice and bucket: hashes of rolling windows, and of blocks with the document and number."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = buffers(batch.column("text"))
             keys = batch.column("k1").to_numpy()
-            parts = []
             for a, b in slices(offsets, _SLICE):
                 base = offsets[a]
-                h, text, place = _windows(data[base : offsets[b]], offsets[a : b + 1] - base, block, 1)
-                on_block = place % block == 0
-                parts.append((h, np.where(on_block, text + a, -1).astype(np.int32), np.where(on_block, place // block, 0).astype(np.uint32)))
-            h, text, number = (np.concatenate(c) if parts else np.zeros(0, np.uint64) for c in zip(*parts, strict=True)) if parts else (np.zeros(0, np.uint64), np.zeros(0, np.int32), np.zeros(0, np.uint32))
-            order = np.argsort(h)
-            h, text, number = h[order], text[order], number[order]
-            first, length = runs(np.r_[True, h[1:] != h[:-1]][: len(h)])
-            many = np.repeat(length > 1, length)
-            on_block = text >= 0
-            sure = on_block & many
-            lone = on_block & ~many
-            # A hash that occurs more than once is sent twice, any other once: as a block or as a probe.
-            twice = first[length > 1]
-            probes = np.concatenate([h[~on_block & ~many], h[twice], h[twice]])
-            columns = [pa.array(range(buckets), pa.int32())]
-            order, bounds = _by_bucket((probes >> np.uint64(32)) % np.uint64(buckets), buckets)
-            columns.append(_binary(probes.astype(np.uint32), order, bounds))
-            order, bounds = _by_bucket((h[lone] >> np.uint64(32)) % np.uint64(buckets), buckets)
-            columns += [_binary(v, order, bounds) for v in (h[lone].astype(np.uint32), keys[text[lone]], number[lone])]
-            owners = keys[text[sure]]
-            order, bounds = _by_bucket(owners.view(np.uint64) % np.uint64(buckets), buckets)
-            columns += [_binary(v, order, bounds) for v in (owners, number[sure])]
-            out = pa.RecordBatch.from_arrays(columns, names=[c.split()[0] for c in _INDEX.split(", ")])
-            yield out
+                yield _indexed(_windows(data[base : offsets[b]], offsets[a : b + 1] - base, block, 1), keys[a:b], block, buckets)
 
     return run
 
 
+def _indexed(windows: tuple, keys: np.ndarray, block: int, buckets: int) -> pa.RecordBatch:
+    h, text, place = windows
+    order = np.argsort(h)
+    h, text, place = h[order], text[order], place[order]
+    on_block, number = place % block == 0, (place // block).astype(np.uint32)
+    first, length = runs(np.r_[True, h[1:] != h[:-1]][: len(h)])
+    many = np.repeat(length > 1, length)
+    sure, lone = on_block & many, on_block & ~many
+    # A hash that occurs more than once is sent twice, any other once: as a block or as a probe.
+    twice = first[length > 1]
+    probes = np.concatenate([h[~on_block & ~many], h[twice], h[twice]])
+    columns = [pa.array(range(buckets), pa.int32())]
+    order, bounds = _by_bucket((probes >> np.uint64(32)) % np.uint64(buckets), buckets)
+    columns.append(_binary(probes.astype(np.uint32), order, bounds))
+    order, bounds = _by_bucket((h[lone] >> np.uint64(32)) % np.uint64(buckets), buckets)
+    columns += [_binary(v, order, bounds) for v in (h[lone].astype(np.uint32), keys[text[lone]], number[lone])]
+    owners = keys[text[sure]]
+    order, bounds = _by_bucket(owners.view(np.uint64) % np.uint64(buckets), buckets)
+    columns += [_binary(v, order, bounds) for v in (owners, number[sure])]
+    return pa.RecordBatch.from_arrays(columns, names=[c.split()[0] for c in _INDEX.split(", ")])
+
+
 def _joined(table: pa.Table, name: str, kind) -> np.ndarray:
     return np.frombuffer(b"".join(table.column(name).to_pylist()), kind)
 
@@ -124,13 +124,12 @@ _RUNS = "meet long, order_id {kind}, k1 long, k2 long, start int, high binary, l
 
 def _extend(window: int, block: int):
     """Anchors extended to the windows that hold them, as runs of neighbours that meet under one block hash. What is
-    known to be a repeat inside the batch leaves as a sure run without hashes."""
+    known to be a repeat inside the slice leaves as a sure run without hashes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = buffers(batch.column("text"))
             anchors = batch.column("numbers")
-            found = []
             for a, b in slices(offsets, _SLICE):
                 base, ends = offsets[a], offsets[a : b + 1] - offsets[a]
                 part = data[base : offsets[b]]
@@ -148,17 +147,16 @@ def _extend(window: int, block: int):
                 good = (text[at] == text[at + window - 1]) & (before[at + window - block + 1] > before[at])
                 at = np.flatnonzero(good)
                 meet = sliding_min(window_hashes(w1, block, 1), window - block + 1)
-                found.append((window_hashes(w1, window, 3)[at], window_hashes(w2, window, 4)[at].astype(np.uint32), meet[at], text[at] + a, at - first[text[at]]))
-            yield from _first_of_batch(batch, found)
+                high, low = window_hashes(w1, window, 3)[at], window_hashes(w2, window, 4)[at].astype(np.uint32)
+                yield from _first_of_slice(batch.slice(a, b - a), high, low, meet[at], text[at], at - first[text[at]])
 
     return run
 
 
-def _first_of_batch(batch: pa.RecordBatch, found: list) -> Iterator[pa.RecordBatch]:
+def _first_of_slice(batch: pa.RecordBatch, high, low, meet, text, start) -> Iterator[pa.RecordBatch]:
     names = [c.split()[0] for c in _RUNS.split(", ")]
-    if not sum(len(f[0]) for f in found):
+    if not len(high):
         return
-    high, low, meet, text, start = (np.concatenate(c) for c in zip(*found, strict=True))
     rank = _rank(batch.column("order_id"), batch.column("k1").to_numpy())[text]
     repeat = _repeats(high, low, rank, start)
     order = np.lexsort((start, text))
