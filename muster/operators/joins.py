@@ -11,6 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 Keys = str | Sequence[str | tuple[str, str]]
 _TMP = "__right_"
@@ -60,21 +61,40 @@ def na_join(left: DataFrame, right: DataFrame, on: Keys, how: str = "left", hot_
     return joined.drop(*temp)
 
 
-def _membership(left: DataFrame, right: DataFrame, pairs: list[tuple[str, str]], how: str) -> DataFrame:
-    """Semi or anti join on (value, is NULL) pairs.
+def _common_type(left: DataFrame, l: str, right: DataFrame, r: str) -> T.DataType:
+    """The type in which Spark compares the two columns by value."""
+    return left.select(F.col(l).alias("k")).union(right.select(F.col(r).alias("k"))).schema["k"].dataType
 
-    The right side folds to its distinct pairs, map side first, and the join reuses the partitioning of
-    that fold: the right rows are shuffled once, however often a key repeats.
-    """
 
-    def parts(name: str) -> list[Column]:
-        c = F.col(name)
-        return [F.coalesce(c.cast("string"), F.lit("")), c.isNull()]
+def _default(kind: T.DataType) -> Column:
+    """Any value of the type, to stand where a NULL flag already tells NULL apart."""
+    if isinstance(kind, T.BinaryType):
+        return F.lit(b"")
+    text = {T.StringType: "", T.BooleanType: "false", T.DateType: "1970-01-01"}
+    text |= {T.TimestampType: "1970-01-01", T.TimestampNTZType: "1970-01-01"}
+    if type(kind) in text:
+        return F.lit(text[type(kind)]).cast(kind)
+    if isinstance(kind, T.NumericType):
+        return F.lit(0).cast(kind)
+    raise TypeError(f"keys of type {kind.simpleString()} are not supported")
+
 
+def _membership(left: DataFrame, right: DataFrame, pairs: list[tuple[str, str]], how: str) -> DataFrame:
+    """Semi or anti join by value, in the common type of both keys, where NULL matches NULL.
+
+    The right side folds to its distinct keys, map side first, and the join reuses the partitioning of that
+    fold: the right rows are shuffled once, however often a key repeats. A NULL flag is part of the key only
+    where both sides may hold NULL; elsewhere a NULL cannot match and plain equality says so.
+    """
     names, cond = [], F.lit(True)
     for l, r in pairs:
-        for i, (own, other) in enumerate(zip(parts(l), parts(r))):
-            alias = f"{_TMP}{r}_{i}"
+        kind = _common_type(left, l, right, r)
+        own, other, alias = F.col(l).cast(kind), F.col(r).cast(kind), _TMP + r
+        if left.schema[l].nullable and right.schema[r].nullable:
+            names += [F.coalesce(other, _default(kind)).alias(alias), other.isNull().alias(alias + "_none")]
+            cond = cond & (F.coalesce(own, _default(kind)) == F.col(alias)) & (own.isNull() == F.col(alias + "_none"))
+        else:
+            right = right.where(F.col(r).isNotNull())
             names.append(other.alias(alias))
             cond = cond & (own == F.col(alias))
     return left.join(right.select(*names).distinct(), cond, how)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from muster import labels
 from muster.functions import date_text, month_stamp, parse_date, week_floor
 from muster.operators import maps, registrations, roster, scorecards, trends
-from muster.operators.joins import first_by
+from muster.operators.joins import first_by, na_join
 from muster.plans.session import tune
 from muster.plans.staging import Staging
 from muster.plans.weekly import WeeklyPack, weekly_report
@@ -67,6 +67,30 @@ def _first_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("o_custkey", "o_orderkey", "o_orderpriority")
 
 
+def _typed_membership(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which orders have a listed customer, the numbers being long on one side and decimal on the other."""
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").selectExpr(
+        "o_orderkey", "case when o_orderkey % 10 <> 0 then o_custkey end as custkey"
+    )
+    listed = spark.read.parquet(f"{sf_dir}/customer.parquet").selectExpr(
+        "cast(case when c_custkey % 7 <> 0 then c_custkey end as decimal(20, 2)) as listed"
+    ).where("listed % 2 = 0 or listed is null")
+    keys = [("custkey", "listed")]
+    found, other = (na_join(orders, listed, keys, how) for how in ("left_semi", "left_anti"))
+    return found.withColumn("in_list", F.lit(True)).unionByName(other.withColumn("in_list", F.lit(False)))
+
+
+def _broken_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A sheet with line breaks and quotes inside its texts."""
+    path = f"{Staging(spark).folder}/sheet"
+    source = _pack(spark, sf_dir).inputs.contraception_opt
+    source = source.withColumn("name", F.concat("name", F.lit('\nof "'), "icb_code", F.lit('",\n')))
+    headings = {f.name: f.heading for f in readers.SCHEMAS["contraception_opt"]}
+    written = source.withColumnsRenamed(headings).write.option("header", True).option("escape", '"')
+    written.option("ignoreTrailingWhiteSpace", False).csv(path)
+    return readers.read_sheet(spark, path, "contraception_opt")
+
+
 def _landed(name: str, headings: dict[str, str], as_text: Callable[[DataFrame], DataFrame], entry: str) -> Query:
     """An input written as a sheet would land, found by its leading name and read back."""
 
@@ -84,6 +108,13 @@ def _dmy(column: str) -> Callable[[DataFrame], DataFrame]:
     return lambda df: df.withColumn(column, F.date_format(column, "d/M/yyyy"))
 
 
+def _hundred_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{Staging(spark).folder}/hundred"
+    headings = {f.name: f.heading for f in readers.SCHEMAS["hundred_hour"]}
+    _pack(spark, sf_dir).inputs.hundred_hour.withColumnsRenamed(headings).write.option("header", True).csv(path)
+    return readers.read_sheet(spark, path, "hundred_hour")
+
+
 def _landed_postcodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{Staging(spark).folder}/directory.csv"
     wide = _pack(spark, sf_dir).inputs.postcodes.select(
@@ -218,6 +249,21 @@ def queries() -> dict[str, Query]:
         "landed_dereg": _landed(
             "contraception_dereg", {"ods_code": "Code", "icb": "Board"}, lambda df: df, "Contraception dereg.csv"
         ),
+        "landed_contraception_opt": _landed(
+            "contraception_opt",
+            {f.name: f.heading for f in readers.SCHEMAS["contraception_opt"]},
+            lambda df: df,
+            "Contraception service.csv",
+        ),
+        "landed_contraception_reg": _landed(
+            "contraception_reg",
+            {f.name: f.heading for f in readers.SCHEMAS["contraception_reg"]},
+            lambda df: df,
+            "Contraception reg.csv",
+        ),
+        "landed_hundred_hour": _hundred_hour,
+        "landed_line_breaks": _broken_lines,
+        "membership_typed_keys": _typed_membership,
         "landed_postcodes": _landed_postcodes,
         "landed_boundaries": _landed_boundaries,
         # Sinks

@@ -92,21 +92,74 @@ def find_one(spark: SparkSession, folder: str, prefix: str) -> str:
     return f"{base}/{names[0]}"
 
 
-def read_sheet(spark: SparkSession, path: str, name: str) -> DataFrame:
-    """An input landed as CSV with a heading row (only the headings are looked at up front), or as Parquet."""
-    if path.rstrip("/").lower().endswith(".parquet"):
-        return conform(spark.read.parquet(path), name)
-    return conform(spark.read.option("header", True).option("multiLine", False).csv(path), name)
+_BROKEN = "__broken_row"
 
 
-def read_landed(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """An input landed in ``folder`` under a name known only by its leading text."""
-    return read_sheet(spark, find_one(spark, folder, PREFIXES[name]), name)
+def unreadable(df: DataFrame, name: str) -> dict[str, int]:
+    """What would be lost in ``conform``: non-empty text that does not parse, by column, and broken rows."""
+    typed = conform(df.drop(_BROKEN), name)
+    raw = df
+    if name in POSITIONAL:
+        raw = df.toDF(*[f.name for f in SCHEMAS[name]], *[c for c in df.columns if c == _BROKEN])
+    types = {f.name: f.dataType for f in raw.schema}
+    counts = [F.count(F.lit(1)).alias("rows"), F.max(_quoted(raw.columns[0])).alias("any")]
+    checked = []
+    for field in SCHEMAS[name]:
+        source = next(n for n in (field.name, field.heading) if n in types)
+        if isinstance(types[source], T.StringType) and typed.schema[field.name].dataType != types[source]:
+            lost = (F.trim(_quoted(source)) != "") & _typed(_quoted(source), types[source], field).isNull()
+            counts.append(F.count_if(lost).alias(field.name))
+            checked.append(field.name)
+    if _BROKEN in df.columns:
+        counts.append(F.count_if(_quoted(_BROKEN).isNotNull()).alias(_BROKEN))
+        checked.append(_BROKEN)
+    if not checked:
+        return {}
+    found = raw.agg(*counts).first()
+    return {("broken rows" if c == _BROKEN else c): found[c] for c in checked if found[c]}
+
+
+def read_sheet(
+    spark: SparkSession, path: str, name: str, multi_line: bool = True, tolerate: dict[str, int] | None = None
+) -> DataFrame:
+    """An input landed as CSV with a heading row, or as Parquet (the form for large inputs).
+
+    ``multi_line`` reads quoted line breaks as part of their value, each file in one task; without it files are
+    split, and a row with a line break is broken. One pass counts rows that do not have the headings' width and
+    texts that are not the date, number or truth value they should be; any is an error, except as many as
+    ``tolerate`` allows by column (or under ``broken rows``). What is tolerated becomes NULL; broken rows go.
+    """
+    if path.rstrip("/").lower().endswith(".parquet"):
+        raw = spark.read.parquet(path)
+    else:
+        reader = spark.read.option("header", True).option("multiLine", multi_line)
+        # Both quotes of a value doubled inside are the sheets' way to write one.
+        reader = reader.option("escape", '"')
+        # Rows are measured whole, whichever columns are wanted.
+        reader = reader.option("columnPruning", False)
+        headings = reader.csv(path).columns
+        every = T.StructType([T.StructField(h, T.StringType()) for h in (*headings, _BROKEN)])
+        raw = reader.schema(every).option("columnNameOfCorruptRecord", _BROKEN).csv(path)
+    lost = unreadable(raw, name)
+    allowed = tolerate or {}
+    beyond = {what: n for what, n in lost.items() if n > allowed.get(what, 0)}
+    if beyond:
+        raise ValueError(f"{name}: unreadable in {path}: {beyond}")
+    if "broken rows" in lost:
+        raw = raw.where(_quoted(_BROKEN).isNull())
+    return conform(raw.drop(_BROKEN), name)
+
+
+def read_landed(spark: SparkSession, folder: str, name: str, **options) -> DataFrame:
+    """An input landed in ``folder`` under a name known only by its leading text; options as in ``read_sheet``."""
+    return read_sheet(spark, find_one(spark, folder, PREFIXES[name]), name, **options)
 
 
 def read_postcodes(spark: SparkSession, path: str) -> DataFrame:
-    """Postcode directory: of its many columns only the three declared ones are parsed."""
-    return read_sheet(spark, path, "postcodes")
+    """Postcode directory: of its many columns only the three declared ones are parsed, and files are split."""
+    if path.rstrip("/").lower().endswith(".parquet"):
+        return conform(spark.read.parquet(path), "postcodes")
+    return conform(spark.read.option("header", True).option("multiLine", False).csv(path), "postcodes")
 
 
 _FEATURE = T.StructType(

@@ -30,7 +30,9 @@ _SCHEMAS = {
 
 
 def _code(prefix: str, key: str, width: int = 12) -> str:
-    return f"concat('{prefix}', lpad(cast({key} as string), {width}, '0'))"
+    """``prefix`` and the number, filled up to ``width`` digits; a longer one keeps all of its digits."""
+    digits = f"cast({key} as string)"
+    return f"concat('{prefix}', lpad({digits}, greatest({width}, length({digits})), '0'))"
 
 
 def _area(nation: str) -> str:

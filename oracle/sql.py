@@ -25,7 +25,8 @@ def _pct(n: str, d: str, digits: int) -> str:
 
 
 def _code(prefix: str, key: str, width: int = 12) -> str:
-    return f"concat('{prefix}', lpad(cast({key} as varchar), {width}, '0'))"
+    digits = f"cast({key} as varchar)"
+    return f"concat('{prefix}', lpad({digits}, greatest({width}, length({digits}))::integer, '0'))"
 
 
 _REGION = (
@@ -490,6 +491,15 @@ from national n, bp_figures b, signup_figures s"""
         "landed_pharm1st": "select * from pharm1st",
         "landed_bp": "select * from bp_reg",
         "landed_dereg": "select * from oc_dereg",
+        "landed_contraception_opt": "select * from oc_opt",
+        "landed_contraception_reg": "select * from oc_reg",
+        "landed_hundred_hour": "select * from hundred_hour",
+        "landed_line_breaks": "select * replace (name || chr(10) || 'of ' || chr(34) || icb_code || chr(34) || ',' || chr(10) "
+        "as name) from oc_opt",
+        "membership_typed_keys": "select o_orderkey, custkey, exists (select 1 from (select case when c_custkey % 7 <> 0 "
+        "then c_custkey end as listed from customer) where (listed % 2 = 0 or listed is null) "
+        "and listed is not distinct from custkey) as in_list "
+        "from (select o_orderkey, case when o_orderkey % 10 <> 0 then o_custkey end as custkey from orders)",
         "landed_postcodes": "select * from postcodes",
         "landed_boundaries": "select * from boundaries",
         "report_regional": "select region, total_contractors, pharm1st_opted_in from regional",

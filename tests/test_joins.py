@@ -38,6 +38,36 @@ def test_membership_treats_null_as_a_value_and_not_as_empty_text(sides):
     assert rows(na_join(left, right, "k", "left_anti")) == [("", 4), ("y", 3)]
 
 
+@pytest.mark.parametrize(
+    ("ltype", "rtype"),
+    [("decimal(10,2)", "int"), ("long", "decimal(20,4)"), ("date", "timestamp"), ("timestamp_ntz", "date"), ("double", "double"), ("int", "double"), ("boolean", "boolean")],
+)
+@pytest.mark.parametrize("how", ["inner", "left", "full", "left_semi", "left_anti"])
+def test_keys_compare_by_value(spark, ltype, rtype, how):
+    values = {"date": ["2024-01-01", "2024-01-02"], "timestamp_ntz": ["2024-01-01", "2024-01-02 05:00"], "boolean": ["true", "false"]}
+    texts = values.get(ltype, ["1", "-0.0" if ltype == "double" else "0"])
+    others = {"timestamp": ["2024-01-01 00:00:00", "2024-01-02 01:00:00"], "date": ["2024-01-01", "2024-01-02"], "boolean": ["true"]}
+    left = spark.createDataFrame([(t, i) for i, t in enumerate([*texts, None])], "t string, a int").select(F.col("t").cast(ltype).alias("k"), "a")
+    right = spark.createDataFrame([(t, i) for i, t in enumerate([*others.get(rtype, ["1", "0", "7"]), None])], "t string, b int")
+    right = right.select(F.col("t").cast(rtype).alias("k2"), "b")
+    plain = left.join(right, F.col("k").eqNullSafe(F.col("k2")), how)
+    columns = ["a"] if how.startswith("left_") else ["a", "b"]
+    want = Counter(tuple(r) for r in plain.select(*columns).collect())
+    for hot in (False, True):
+        assert Counter(tuple(r) for r in na_join(left, right, [("k", "k2")], how, hot_keys=hot).select(*columns).collect()) == want
+
+
+def test_folded_side_is_shuffled_once_without_null(spark):
+    ids = spark.range(1000).withColumnRenamed("id", "k")
+    plan = na_join(ids, spark.range(500).withColumnRenamed("id", "k"), "k", "left_anti")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        text = na_join(ids, spark.range(500).withColumnRenamed("id", "k"), "k", "left_anti")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert text.count("Exchange hashpartitioning") == 2 and plan.count() == 500
+
+
 def test_differently_named_keys(frame):
     left = frame("code string, a int", ("x", 1), (None, 2))
     right = frame("k string, b int", ("x", 5),)

@@ -6,6 +6,7 @@ import pytest
 from conftest import rows
 from muster.sources import readers
 from muster.sources.inputs import Inputs
+from muster.sources.sample_tables import _code
 
 HEAD = "ODS.Code,Opted.In,Opt.In.Date,Registered.for.CPCS,ICB.Code,Name,F.code.Phone.Number,LPC.Code,LPC.Name,Extra\n"
 
@@ -17,7 +18,9 @@ def write(folder, name, text):
 def test_sheet_is_found_typed_and_cut_to_its_columns(spark, tmp_path):
     write(tmp_path, "PHARMACY FIRST opt-in 5 Dec.csv", HEAD + "A,TRUE,1/12/2023,,Q1,n,01,L,l,x\nB,FALSE,soon,true,,,,,,\n,maybe,05/12/2023 10:00,,,,,,,\n")
     write(tmp_path, "Contraception Service.csv", HEAD)
-    got = readers.read_landed(spark, str(tmp_path), "pharm1st")
+    with pytest.raises(ValueError, match=r"'opted_in': 1, 'opt_in_date': 1"):
+        readers.read_landed(spark, str(tmp_path), "pharm1st")
+    got = readers.read_landed(spark, str(tmp_path), "pharm1st", tolerate={"opted_in": 1, "opt_in_date": 1})
     assert got.dtypes[:4] == [
         ("ods_code", "string"), ("opted_in", "boolean"), ("opt_in_date", "date"), ("registered_for_cpcs", "boolean"),
     ]
@@ -28,6 +31,27 @@ def test_sheet_is_found_typed_and_cut_to_its_columns(spark, tmp_path):
     ]
 
 
+def test_quoted_line_breaks_make_no_rows(spark, tmp_path):
+    write(tmp_path, "bp.csv", 'F.Code,Date,ICB.Code,Note\nA,1/12/2023,Q1,"two\nlines"\nB,2/12/2023,"Q\n2","say ""hi"""\n')
+    got = readers.read_sheet(spark, str(tmp_path / "bp.csv"), "bp_reg")
+    assert rows(got) == [("A", date(2023, 12, 1), "Q1"), ("B", date(2023, 12, 2), "Q\n2")]
+    with pytest.raises(ValueError, match="'broken rows': [1-4]"):
+        readers.read_sheet(spark, str(tmp_path / "bp.csv"), "bp_reg", multi_line=False)
+
+
+def test_short_rows_are_counted(spark, tmp_path):
+    write(tmp_path, "bp.csv", "F.Code,Date,ICB.Code\nA,1/12/2023,Q1\nB\n")
+    with pytest.raises(ValueError, match="'broken rows': 1"):
+        readers.read_sheet(spark, str(tmp_path / "bp.csv"), "bp_reg")
+    got = readers.read_sheet(spark, str(tmp_path / "bp.csv"), "bp_reg", tolerate={"broken rows": 1})
+    assert rows(got) == [("A", date(2023, 12, 1), "Q1")]
+
+
+def test_long_keys_keep_their_digits(spark):
+    codes = spark.sql("select explode(array(7L, 1234567890123L, 1234567890124L)) as k").selectExpr(f"{_code('F', 'k')} as c")
+    assert rows(codes) == [("F000000000007",), ("F1234567890123",), ("F1234567890124",)]
+
+
 def test_exactly_one_file_must_match(spark, tmp_path):
     write(tmp_path, "contraception re a.csv", "x\n")
     write(tmp_path, "Contraception Reg b.csv", "x\n")
