@@ -14,6 +14,7 @@ from muster.operators.joins import first_by, na_join
 from muster.plans.session import tune
 from muster.plans.staging import Staging
 from muster.plans.weekly import WeeklyPack, weekly_report
+from muster.sinks.report import HEADINGS
 from muster.sources import readers
 from muster.sources.sample_tables import AS_OF, LONDON, SERVICE, SINCE, sample_inputs
 
@@ -138,26 +139,37 @@ def _landed_boundaries(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readers.read_boundaries(spark, path, lines=True).select("icb_code", "icb_name")
 
 
-def _written(table: str) -> Query:
-    """One table of the written report, read back."""
+#: Folders of the report by application and tables: one run serves every query that reads it back.
+_REPORTS: dict[tuple[str, str], dict[str, str]] = {}
 
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+
+def _report(spark: SparkSession, sf_dir: str) -> dict[str, str]:
+    run = (spark.sparkContext.applicationId, sf_dir)
+    if run not in _REPORTS:
         inputs = sample_inputs(tune(spark), sf_dir)
-        staging = Staging(spark)
-        folders = weekly_report(inputs, staging.folder + "/out", AS_OF, SINCE, SERVICE)
-        if table == "Map layers":
-            back = spark.read.parquet(folders[table])
-            return back.groupBy("service", "layer", "colour").agg(F.count(F.lit(1)).alias("n"))
-        back = spark.read.option("header", True).csv(folders[table])
-        total = F.col("`Total contractors`").cast("long").alias("total_contractors")
-        opted = F.col("`" + labels.DISPLAY["pharm1st_opted_in"] + "`").cast("long").alias("pharm1st_opted_in")
-        if table == "By region":
-            return back.select(F.col("region_folder").alias("region_name"), F.col("ICB").alias("icb"), total, opted)
-        return back.select(F.col("Region").alias("region"), total, opted)
+        _REPORTS[run] = weekly_report(inputs, Staging(spark).folder + "/out", AS_OF, SINCE, SERVICE)
+    return _REPORTS[run]
+
+
+def _written(table: str, shape: Callable[[WeeklyPack], DataFrame]) -> Query:
+    """One table of the written report read back whole, its headings turned into the names of ``shape``."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        back = spark.read.option("header", True).csv(_report(spark, sf_dir)[table])
+        headings = HEADINGS.get(table, labels.DISPLAY) | ({"region_name": "region_folder"} if table == "By region" else {})
+        kinds = {f.name: f.dataType for f in shape(_pack(spark, sf_dir)).schema}
+        return back.select(*[F.col(f"`{headings.get(n, n)}`").cast(kind).alias(n) for n, kind in kinds.items()])
 
     return run
 
 
+def _written_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(_report(spark, sf_dir)["Map layers"]).select(
+        "service", "layer", "colour", "draw_order", "fcode", "name", "phone", "lpc", "icb", "region_name", "opt_in_date",
+        "postcode", "title", F.round("lon", 5).alias("lon"), F.round("lat", 5).alias("lat"),
+    )
+
+
 def queries() -> dict[str, Query]:
     p1, oc, gap = labels.PHARM1ST, labels.CONTRACEPTION, labels.SIGNUP_GAP
     out: dict[str, Query] = {
@@ -267,9 +279,12 @@ def queries() -> dict[str, Query]:
         "landed_postcodes": _landed_postcodes,
         "landed_boundaries": _landed_boundaries,
         # Sinks
-        "report_regional": _written("Regional"),
-        "report_by_region": _written("By region"),
-        "report_map_layers": _written("Map layers"),
+        "report_national": _written("National", lambda p: p.national),
+        "report_regional": _written("Regional", lambda p: p.regional),
+        "report_icb": _written("ICB", lambda p: scorecards.icb_display(p.icb_card)),
+        "report_pharmacy_level": _written("Pharmacy Level", lambda p: p.pharmacy_list),
+        "report_by_region": _written("By region", lambda p: p.region_detail()),
+        "report_map_layers": _written_layers,
     }
     for part in ("trend", "headline", "regional", "icb", "map"):
         out[f"contraception_{part}"] = _over(lambda p, part=part: _flat(p.contraception_pack()[part]))

@@ -232,14 +232,25 @@ def weekly_report(
 ) -> dict[str, str]:
     """Write the four-sheet report, the per-region detail and the map layers; returns the folder of each.
 
-    Tables that several outputs need are written once to the shared folder. ``strict_keys`` refuses inputs
+    Tables that several outputs need are written once to the shared folder and deleted at the end; a run that fails
+    says where they are. ``strict_keys`` refuses inputs
     in which a provider or an area's region repeats, where sums over areas would count twice.
     """
-    spark = inputs.pharm_list.sparkSession
-    pack = WeeklyPack(inputs, as_of, since, service, staging=Staging(spark))
+    staging = Staging(inputs.pharm_list.sparkSession)
+    pack = WeeklyPack(inputs, as_of, since, service, staging=staging)
+    try:
+        written = _write_all(pack, out_dir, as_of, strict_keys)
+    except Exception as error:
+        error.add_note(f"tables of this run are left in {staging.folder}")
+        raise
+    staging.drop()
+    return written
+
+
+def _write_all(pack: WeeklyPack, out_dir: str, as_of: date, strict_keys: bool) -> dict[str, str]:
     if strict_keys:
         assert_unique(pack.roster, ["fcode"])
-        assert_unique(inputs.hundred_hour, ["fcode"])
+        assert_unique(pack.inputs.hundred_hour, ["fcode"])
         assert_unique(scorecards.region_map(pack.contractor), ["icb_code"])
     written = write_report(
         {

@@ -449,6 +449,10 @@ from national n, bp_figures b, signup_figures s"""
         "coalesce(icb_code, 'ICB unknown') as icb_code from (select *, row_number() over (partition by fcode "
         "order by opt_in_date nulls last, registration_date nulls last, icb_code nulls last) as rn "
         "from reconciled where not opt_in) where rn = 1",
+        "report_pharmacy_level": "select fcode, trading_name, organisation_name, region_name, region_code, "
+        "coalesce(icb_code, 'ICB unknown') as icb_code from (select *, row_number() over (partition by fcode "
+        "order by opt_in_date nulls last, registration_date nulls last, icb_code nulls last) as rn "
+        "from reconciled where not opt_in) where rn = 1",
         "national_scorecard": "select * from national",
         "headline_values": "select pharm1st_opted_in, pharm1st_100_hour, pct_pharm1st, contraception_opted_in, "
         "pct_contraception from national",
@@ -502,10 +506,15 @@ from national n, bp_figures b, signup_figures s"""
         "from (select o_orderkey, case when o_orderkey % 10 <> 0 then o_custkey end as custkey from orders)",
         "landed_postcodes": "select * from postcodes",
         "landed_boundaries": "select * from boundaries",
-        "report_regional": "select region, total_contractors, pharm1st_opted_in from regional",
-        "report_by_region": "select region_name, icb, total_contractors, pharm1st_opted_in from detail",
-        "report_map_layers": "select service, layer, colour, count(*) as n from (select 'pharm1st' as service, layer, "
-        "colour from status_p1 union all select 'contraception', layer, colour from status_oc) group by all",
+        "report_national": "select * from national",
+        "report_regional": "select * from regional",
+        "report_icb": f"select icb, region_name, {card} from card",
+        "report_by_region": "select * from detail",
+        "report_map_layers": "select p.* exclude (easting, northing), g.lon, g.lat from ("
+        f"select 'pharm1st' as service, s.*, concat('{point.format('Pharmacy First')}', coalesce(cast(a.strict as varchar), 'NA')) as title "
+        "from status_p1 s, last_p1 a union all "
+        f"select 'contraception', s.*, concat('{point.format('Contraception')}', coalesce(cast(o.strict as varchar), 'NA')) from status_oc s, last_oc o) p "
+        f"left join (select distinct * from ({_grid_sql()})) g on p.postcode = g.postcode",
         "contraception_trend": "select * from trend where service = 'Contraception Opt-In'",
         "contraception_headline": "select contraception_opted_in, pct_contraception, "
         "(select strict from last_oc) as last_contraception from national",
