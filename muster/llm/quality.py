@@ -88,12 +88,13 @@ def ledger(docs: DataFrame, text: str = "text", carry: str = "doc_id") -> DataFr
     rows = rows.withColumn("by_hash", F.when(F.col("windows").isNotNull() & repeats, pairs)).drop("windows")
     twice = "filter(by_hash, (x, j) -> (j > 0 AND by_hash[j - 1].h = x.h) OR (j + 1 < size(by_hash) AND by_hash[j + 1].h = x.h))"
     rows = rows.withColumn("places", F.expr(f"array_sort(transform({twice}, x -> x.i))")).drop("by_hash")
-    rows = rows.withColumn("n_repeat_words", F.coalesce(F.when(F.col("places").isNotNull(), _covered("places")), F.lit(0)).cast("long")).drop("places")
-    failed = sum((F.when(F.expr(rule), F.lit(bit(name))).otherwise(F.lit(0)) for name, rule in RULES), F.lit(0))
-    # Always 0. A column that is not deterministic by Spark's book keeps filters on the ledger above it; pushed below the
-    # counts they would hold each count's whole expression again.
+    # Always 0. As it is not deterministic by Spark's book, filters on this count stay above it; pushed below they would
+    # hold the sorts in their lambdas and run them for every window.
     nothing = F.shiftrightunsigned(F.monotonically_increasing_id(), 63)
-    return rows.withColumn("failed", failed.cast("long").bitwiseOR(nothing))
+    covered = F.coalesce(F.when(F.col("places").isNotNull(), _covered("places")), F.lit(0)).cast("long")
+    rows = rows.withColumn("n_repeat_words", covered + nothing).drop("places")
+    failed = sum((F.when(F.expr(rule), F.lit(bit(name))).otherwise(F.lit(0)) for name, rule in RULES), F.lit(0))
+    return rows.withColumn("failed", failed.cast("long"))
 
 
 def rejects(policy: Policy = CURRENT, failed: str | Column = "failed") -> Column:
