@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from muster.functions import has_prefix, parse_date
+from muster.functions import parse_date
 from muster.sources.schemas import POSITIONAL, PREFIXES, SCHEMAS, Field
 
 
@@ -78,17 +76,13 @@ def find_one(spark: SparkSession, folder: str, prefix: str) -> str:
     An entry is a file, or a folder of part files. Anything but exactly one match is an error.
     """
     base = folder.rstrip("/")
-    # Only paths are read: no file is opened.
-    listed = (
-        spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(base).select("path")
-    )
-    # Scheme and host are skipped: Spark may spell them differently in the listing.
-    scheme = r"[A-Za-z][A-Za-z0-9+.-]*:(?://[^/]*)?"
-    inside = rf"^(?:{scheme})?\Q{re.sub('^' + scheme, '', base)}\E/([^/]+)"
-    entries = listed.select(F.regexp_extract("path", inside, 1).alias("entry")).where(has_prefix("entry", prefix))
-    names = sorted(r.entry for r in entries.distinct().limit(3).collect())
+    path = spark._jvm.org.apache.hadoop.fs.Path(base)
+    # One level of the folder; the files of an entry that is a folder are not listed.
+    entries = path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)
+    found = {e.getPath().getName() for e in entries}
+    names = sorted(n for n in found if n.lower().startswith(prefix.lower()) and n[0] not in "._")
     if len(names) != 1:
-        raise ValueError(f"{base}: expected one entry starting with {prefix!r}, found {names or 'none'}")
+        raise ValueError(f"{base}: expected one entry starting with {prefix!r}, found {names[:3] or 'none'}")
     return f"{base}/{names[0]}"
 
 
