@@ -168,9 +168,11 @@ def exact_groups(
         # Smallest struct: most code points, then the smallest doc_id with NULL last, then the key.
         order = F.struct((-F.col("n_chars")).alias("n"), F.col("doc_id").isNull().alias("none"), "doc_id", *KEYS)
         heads = pending.groupBy("same").agg(F.min(order).alias("head"), F.count(F.lit(1)).alias("n"))
-        heads = heads.select("same", "n", F.col("head.k1").alias("g1"), F.col("head.k2").alias("g2"))
+        heads = heads.where("n > 1").select("same", F.col("head.k1").alias("g1"), F.col("head.k2").alias("g2"))
+        # Written, so that the join below reads both sides from shuffles of its own and a hot group can be split.
+        heads = staging.keep(heads, f"heads{turn}")
         members = staging.keep(
-            pending.join(heads.where("n > 1"), "same").select(*KEYS, "g1", "g2", "doc_id", "n_chars"), f"members{turn}"
+            pending.join(heads, "same").select(*KEYS, "g1", "g2", "doc_id", "n_chars"), f"members{turn}"
         )
         if chunks is None:
             # The texts of rows that share a fingerprint, and of no others.
@@ -199,10 +201,11 @@ def exact_groups(
     rows = rows.withColumns({"g1": F.coalesce("g1", "k1"), "g2": F.coalesce("g2", "k2")})
     nth = F.row_number().over(Window.partitionBy(*KEYS).orderBy("n_chars"))
     rows = rows.withColumn("kept", (F.col("k1") == F.col("g1")) & (F.col("k2") == F.col("g2")) & (nth == 1))
+    rows = staging.keep(rows, "rows")
     sizes = rows.groupBy("g1", "g2").agg(
         F.count(F.lit(1)).alias("group_size"), F.max(F.when(F.col("kept"), F.col("doc_id"))).alias("keep_id")
     )
-    return rows.join(sizes, ["g1", "g2"]).select(
+    return rows.join(staging.keep(sizes, "sizes"), ["g1", "g2"]).select(
         "doc_id", *KEYS, "keep_id", "group_size", "kept", "text_sha256", "g1", "g2"
     )
 
