@@ -187,8 +187,8 @@ def drop_frequent_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1,
     frequent = runs.settled().select(*HASH)
     rows = keyed(docs)
     held = rows.select(*KEYS, "text").mapInArrow(_lines_of_documents(min_chars), "k1 long, k2 long, h1 long, h2 long")
-    gone = held.join(frequent, HASH, "left_semi").distinct().groupBy(*KEYS)
-    gone = gone.agg(F.collect_list(F.struct(*HASH)).alias("gone"))
+    # Straight to the documents: a step that groups by line as well would keep a hot line's rows in one task.
+    gone = held.join(frequent, HASH, "left_semi").groupBy(*KEYS).agg(F.collect_set(F.struct(*HASH)).alias("gone"))
     names = ["n_lines", "n_dropped", "kept_sha256", *(["kept_text"] if with_text else [])]
     kinds = {"n_lines": "long", "n_dropped": "long", "kept_sha256": "string", "kept_text": "string"}
     kind = rows.schema["doc_id"].dataType.simpleString()
