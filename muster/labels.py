@@ -38,6 +38,14 @@ REGION_SHORT = {
 }
 REGION_SHORT_OTHER = "LDN"
 
+# Heads of map titles; a day follows.
+GAP_MAP_TITLE = "% of contractors signed up for CPCS but not opt in  to Pharmacy First at ICB Level as on "
+AREA_MAP_TITLE = "% of contractors opted in to {} service at ICB Level as on "
+POINT_MAP_TITLE = "Pharmacies opted in for {} as on "
+
+# Names of the report's sheets.
+SHEETS = ("National", "Regional", "ICB", "Pharmacy Level")
+
 # Names used in map titles.
 AREA_MAP_SERVICE = {"pharm1st": "Pharmacy First", "contraception": "Contraception"}
 POINT_MAP_SERVICE = {

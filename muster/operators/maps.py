@@ -47,16 +47,16 @@ def map_title(service: str, last_date: Column | str) -> Column:
     """Title of an area map."""
     day = F.coalesce(F.col(last_date) if isinstance(last_date, str) else last_date, F.lit("NA"))
     if service == labels.SIGNUP_GAP:
-        head = "% of contractors signed up for CPCS but not opt in  to Pharmacy First at ICB Level as on "
+        head = labels.GAP_MAP_TITLE
     else:
-        head = f"% of contractors opted in to {labels.AREA_MAP_SERVICE[service]} service at ICB Level as on "
+        head = labels.AREA_MAP_TITLE.format(labels.AREA_MAP_SERVICE[service])
     return F.concat(F.lit(head), day)
 
 
 def point_map_title(service: str, last_date: Column | str) -> Column:
     """Title of a provider map."""
     day = F.coalesce(F.col(last_date) if isinstance(last_date, str) else last_date, F.lit("NA"))
-    return F.concat(F.lit(f"Pharmacies opted in for {labels.POINT_MAP_SERVICE[service]} as on "), day)
+    return F.concat(F.lit(labels.POINT_MAP_TITLE.format(labels.POINT_MAP_SERVICE[service])), day)
 
 
 def last_opt_in(opt_in: DataFrame, na_rm: bool = False) -> Column:

@@ -252,16 +252,8 @@ def _write_all(pack: WeeklyPack, out_dir: str, as_of: date, strict_keys: bool) -
         assert_unique(pack.roster, ["fcode"])
         assert_unique(pack.inputs.hundred_hour, ["fcode"])
         assert_unique(scorecards.region_map(pack.contractor), ["icb_code"])
-    written = write_report(
-        {
-            "National": pack.national,
-            "Regional": pack.regional,
-            "ICB": scorecards.icb_display(pack.icb_card),
-            "Pharmacy Level": pack.pharmacy_list,
-        },
-        out_dir,
-        as_of,
-    )
+    tables = (pack.national, pack.regional, scorecards.icb_display(pack.icb_card), pack.pharmacy_list)
+    written = write_report(dict(zip(labels.SHEETS, tables, strict=True)), out_dir, as_of)
     written["By region"] = write_by_region(pack.region_detail(), out_dir, as_of)
     written["Map layers"] = write_points(pack.map_layers(), out_dir, as_of)
     return written

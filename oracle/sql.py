@@ -29,6 +29,7 @@ def _code(prefix: str, key: str, width: int = 12) -> str:
     return f"concat('{prefix}', lpad({digits}, greatest({width}, length({digits}))::integer, '0'))"
 
 
+# Region labels.
 _REGION = (
     "case r_regionkey when 0 then 'London' when 1 then 'North West' when 2 then 'Midlands' "
     "when 3 then 'South East' when 4 then 'East Of England' end"
@@ -406,6 +407,7 @@ def statements() -> dict[str, str]:
         "total_100_hour, pharm1st_100_hour, pct_pharm1st_100_hour"
     )
     oc_cols = "total_contractors, contraception_opted_in, pct_contraception"
+    # Heads of map titles.
     area = "% of contractors opted in to {} service at ICB Level as on "
     gap = "% of contractors signed up for CPCS but not opt in  to Pharmacy First at ICB Level as on "
     p1_head, oc_head = area.format("Pharmacy First"), area.format("Contraception")
