@@ -89,10 +89,10 @@ def _membership(left: DataFrame, right: DataFrame, pairs: list[tuple[str, str]],
     names, cond = [], F.lit(True)
     for l, r in pairs:
         kind = _common_type(left, l, right, r)
-        own, other, alias = F.col(l).cast(kind), F.col(r).cast(kind), _TMP + r
+        own, other, alias = F.col(l).cast(kind), F.col(r).cast(kind), f"{_TMP}{r}_0"
         if left.schema[l].nullable and right.schema[r].nullable:
-            names += [F.coalesce(other, _default(kind)).alias(alias), other.isNull().alias(alias + "_none")]
-            cond = cond & (F.coalesce(own, _default(kind)) == F.col(alias)) & (own.isNull() == F.col(alias + "_none"))
+            names += [F.coalesce(other, _default(kind)).alias(alias), other.isNull().alias(f"{_TMP}{r}_1")]
+            cond = cond & (F.coalesce(own, _default(kind)) == F.col(alias)) & (own.isNull() == F.col(f"{_TMP}{r}_1"))
         else:
             right = right.where(F.col(r).isNotNull())
             names.append(other.alias(alias))

@@ -4,10 +4,11 @@ import re
 
 import pytest
 
-import __spark_entry__
 from conftest import SMALL
+from muster.plans import registered
+from oracle import sql
 
-LAZY = [q for q in __spark_entry__.queries() if not q.startswith(("landed_", "report_"))]
+LAZY = [q for q in registered.queries() if not q.startswith(("landed_", "report_"))]
 
 
 @pytest.fixture(scope="module")
@@ -24,30 +25,30 @@ def plan(df):
 
 @pytest.mark.parametrize("name", LAZY)
 def test_no_cross_product_no_python_no_broadcast_hint(no_broadcast, name):
-    text = plan(__spark_entry__.queries()[name](no_broadcast, SMALL))
+    text = plan(registered.queries()[name](no_broadcast, SMALL))
     for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "ArrowEvalPython", "BatchEvalPython", "MapInPandas", "BroadcastExchange"):
         assert bad not in text, bad
 
 
 def test_every_query_has_sql():
-    assert set(__spark_entry__.queries()) == set(__spark_entry__.oracle_sql())
+    assert set(registered.queries()) == set(sql.statements())
 
 
 def test_scans_are_pruned_and_filtered(no_broadcast):
-    text = plan(__spark_entry__.queries()["weekly_trend"](no_broadcast, SMALL))
+    text = plan(registered.queries()["weekly_trend"](no_broadcast, SMALL))
     assert re.search(r"PushedFilters: \[[^]]*EqualTo\(event_type,signup\)", text)
     scans = set(re.findall(r"FileScan parquet \[([^]]*)\]", text))
     assert scans and not any("o_totalprice" in s or "c_name" in s for s in scans)
 
 
 def test_latest_report_date_is_pushed_to_the_scan(no_broadcast):
-    text = plan(__spark_entry__.queries()["latest_registrations"](no_broadcast, SMALL))
+    text = plan(registered.queries()["latest_registrations"](no_broadcast, SMALL))
     assert re.search(r"PushedFilters: \[[^]]*EqualTo\(o_orderpriority,1-URGENT\)", text)
 
 
 def test_roster_membership_reuses_the_roster_partitioning(no_broadcast):
     """The roster joins already place providers; folding them to distinct keys needs no further shuffle."""
-    text = plan(__spark_entry__.queries()["signup_valid_count"](no_broadcast, SMALL))
+    text = plan(registered.queries()["signup_valid_count"](no_broadcast, SMALL))
     folds = len(re.findall(r"HashAggregate\(keys=\[__right_fcode_0", text))
     shuffles = len(re.findall(r"Exchange hashpartitioning\(__right_fcode_0", text))
     # Two membership joins per sign-up list, two aggregates each: only the de-registrations are shuffled.
@@ -56,7 +57,7 @@ def test_roster_membership_reuses_the_roster_partitioning(no_broadcast):
 
 def test_scorecards_shuffle_sign_ups_twice_at_most(no_broadcast):
     """Fold by service and provider, then by provider, then the small count by area."""
-    text = plan(__spark_entry__.queries()["icb_scorecard"](no_broadcast, SMALL))
+    text = plan(registered.queries()["icb_scorecard"](no_broadcast, SMALL))
     above = text[: text.index("Union")]
     assert above.count("Exchange hashpartitioning(service") == 1
     assert len(re.findall(r"Exchange hashpartitioning\(fcode#\d+, 4\)", above)) == 1
