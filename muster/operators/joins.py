@@ -82,21 +82,18 @@ def _default(kind: T.DataType) -> Column:
 def _membership(left: DataFrame, right: DataFrame, pairs: list[tuple[str, str]], how: str) -> DataFrame:
     """Semi or anti join by value, in the common type of both keys, where NULL matches NULL.
 
-    The right side folds to its distinct keys, map side first, and the join reuses the partitioning of that
-    fold: the right rows are shuffled once, however often a key repeats. A NULL flag is part of the key only
-    where both sides may hold NULL; elsewhere a NULL cannot match and plain equality says so.
+    The right side folds to its distinct (value, is NULL) pairs, map side first, so however often a key repeats
+    it is moved once per task. For keys that can be NULL the join reuses the partitioning of that fold. Where a
+    right key cannot be NULL the flag is a constant and the folded keys are shuffled once more, by value alone:
+    then both sides of the join are plain shuffles and adaptive execution can split a hot key on the left.
     """
     names, cond = [], F.lit(True)
     for l, r in pairs:
         kind = _common_type(left, l, right, r)
-        own, other, alias = F.col(l).cast(kind), F.col(r).cast(kind), f"{_TMP}{r}_0"
-        if left.schema[l].nullable and right.schema[r].nullable:
-            names += [F.coalesce(other, _default(kind)).alias(alias), other.isNull().alias(f"{_TMP}{r}_1")]
-            cond = cond & (F.coalesce(own, _default(kind)) == F.col(alias)) & (own.isNull() == F.col(f"{_TMP}{r}_1"))
-        else:
-            right = right.where(F.col(r).isNotNull())
-            names.append(other.alias(alias))
-            cond = cond & (own == F.col(alias))
+        for i, side in enumerate((lambda c: F.coalesce(c, _default(kind)), lambda c: c.isNull())):
+            alias = f"{_TMP}{r}_{i}"
+            names.append(side(F.col(r).cast(kind)).alias(alias))
+            cond = cond & (side(F.col(l).cast(kind)) == F.col(alias))
     return left.join(right.select(*names).distinct(), cond, how)
 
 

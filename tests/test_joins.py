@@ -57,17 +57,6 @@ def test_keys_compare_by_value(spark, ltype, rtype, how):
         assert Counter(tuple(r) for r in na_join(left, right, [("k", "k2")], how, hot_keys=hot).select(*columns).collect()) == want
 
 
-def test_folded_side_is_shuffled_once_without_null(spark):
-    ids = spark.range(1000).withColumnRenamed("id", "k")
-    plan = na_join(ids, spark.range(500).withColumnRenamed("id", "k"), "k", "left_anti")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
-    try:
-        text = na_join(ids, spark.range(500).withColumnRenamed("id", "k"), "k", "left_anti")._jdf.queryExecution().executedPlan().toString()
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert text.count("Exchange hashpartitioning") == 2 and plan.count() == 500
-
-
 def test_differently_named_keys(frame):
     left = frame("code string, a int", ("x", 1), (None, 2))
     right = frame("k string, b int", ("x", 5),)
