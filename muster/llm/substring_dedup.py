@@ -11,7 +11,9 @@ index with every rolling window of a block's length:
 2. Each anchor is extended to the windows that hold it, which are named by 96-bit hashes and grouped by content: equal
    windows meet under the smallest block hash they hold, neighbours mostly under the same one. All but the first
    occurrence, by document and start, are repeats; neighbouring repeats make up the maximal exact repeat. Inside a
-   slice only the first occurrence goes on.
+   slice only the first occurrence goes on. Windows that share a block but differ in the words around it are not folded,
+   so a phrase of many documents would take a run of each to one group: the windows of a block hash are counted, and
+   above a bound they meet one by one under their own hash.
 3. The words that repeats cover are removed.
 
 Defined cases: a NULL or blank text has no words. Documents are ordered by doc_id, NULL last, then by a hash of the
@@ -35,6 +37,8 @@ from muster.plans.staging import Staging
 WINDOW = 20
 #: Texts of so many bytes are worked on at a time, and folded before they are sent.
 _SLICE = 8 << 20
+#: So many windows meet under one block hash at most; those of a more frequent one meet under their own hashes.
+_MOST = 1 << 13
 
 
 def _windows(data: np.ndarray, offsets: np.ndarray, size: int, seed: int, hashed=None):
@@ -119,7 +123,7 @@ def _anchors(table: pa.Table) -> pa.Table:
     return pa.table({"k1": owners[first], "numbers": lists if len(first) else pa.array([], pa.list_(pa.int32()))})
 
 
-_RUNS = "meet long, order_id {kind}, k1 long, k2 long, start int, high binary, low binary, sure boolean"
+_RUNS = "meet long, order_id {kind}, k1 long, k2 long, start int, n int, high binary, low binary, sure boolean"
 
 
 def _extend(window: int, block: int):
@@ -157,7 +161,12 @@ def _first_of_slice(batch: pa.RecordBatch, high, low, meet, text, start) -> Iter
     names = [c.split()[0] for c in _RUNS.split(", ")]
     if not len(high):
         return
-    rank = _rank(batch.column("order_id"), batch.column("k1").to_numpy())[text]
+    ranks = _rank(batch.column("order_id"), batch.column("k1").to_numpy())
+    # Rows that repeat a doc_id and text get the same result: one of them speaks for all.
+    one = np.zeros(len(ranks), bool)
+    one[np.unique(ranks, return_index=True)[1]] = True
+    high, low, meet, text, start = (c[one[text]] for c in (high, low, meet, text, start))
+    rank = ranks[text]
     repeat = _repeats(high, low, rank, start)
     order = np.lexsort((start, text))
     high, low, meet, text, start, repeat = (c[order] for c in (high, low, meet, text, start, repeat))
@@ -165,16 +174,17 @@ def _first_of_slice(batch: pa.RecordBatch, high, low, meet, text, start) -> Iter
     first, length = runs(fresh)
     sure = repeat[first]
     rows = pa.array(text[first])
-    # A sure run has its length in place of hashes.
+    # A sure run has no hashes.
     sent = ~repeat
     ends = np.r_[0, np.cumsum(np.where(sure, 0, length))]
     whole = [None, pa.py_buffer((ends * 8).astype(np.int32).tobytes()), pa.py_buffer(high[sent].tobytes())]
     part = [None, pa.py_buffer((ends * 4).astype(np.int32).tobytes()), pa.py_buffer(low[sent].tobytes())]
     yield pa.RecordBatch.from_arrays(
         [
-            pa.array(np.where(sure, length, meet[first].view(np.int64))),
+            pa.array(np.where(sure, 0, meet[first].view(np.int64))),
             *(batch.column(c).take(rows) for c in ("order_id", *KEYS)),
             pa.array(start[first].astype(np.int32)),
+            pa.array(length.astype(np.int32)),
             pa.Array.from_buffers(pa.binary(), len(first), whole),
             pa.Array.from_buffers(pa.binary(), len(first), part),
             pa.array(sure),
@@ -204,6 +214,26 @@ def _repeats(high: np.ndarray, low: np.ndarray, rank: np.ndarray, start: np.ndar
     return out
 
 
+def _dealt(asked: DataFrame, buckets: int, most: int, staging: Staging) -> DataFrame:
+    """The runs with the bucket they meet in: that of their block hash, or where more than ``most`` windows have that
+    hash, cut into single windows, that of the window's own hash. Equal windows share both hashes."""
+    often = asked.groupBy("meet").agg(F.sum("n").alias("n")).where(F.col("n") > most).select("meet")
+    often = staging.keep(often, "often")
+    kept = ["order_id", *KEYS, "start", "high", "low"]
+
+    def bucket(*columns: str):
+        return F.pmod(F.xxhash64(*columns), F.lit(buckets)).cast("int").alias("bucket")
+
+    runs_ = asked.join(often, "meet", "left_anti").select(bucket("meet"), *kept)
+    each = asked.join(often, "meet", "left_semi").withColumn("i", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
+    each = each.withColumns({
+        "start": F.col("start") + F.col("i"),
+        "high": F.substring("high", F.col("i") * 8 + 1, F.lit(8)),
+        "low": F.substring("low", F.col("i") * 4 + 1, F.lit(4)),
+    })
+    return runs_.unionByName(each.select(bucket("high", "low"), *kept))
+
+
 def _later(table: pa.Table) -> pa.Table:
     """Of the runs that meet in one bucket, the stretches of windows that have an earlier equal."""
     high, low = _joined(table, "high", np.uint64), _joined(table, "low", np.uint32)
@@ -255,7 +285,7 @@ def _removed(window: int, with_text: bool):
     return run
 
 
-def drop_repeats(docs: DataFrame, window: int = WINDOW, with_text: bool = False) -> DataFrame:
+def drop_repeats(docs: DataFrame, window: int = WINDOW, with_text: bool = False, most: int = _MOST) -> DataFrame:
     """doc_id, k1, k2, n_words, n_removed, kept_sha256 (and kept_text) of every row.
 
     A word goes when a window of ``window`` words that covers it also starts earlier, in a document with a smaller
@@ -275,9 +305,9 @@ def drop_repeats(docs: DataFrame, window: int = WINDOW, with_text: bool = False)
     held = rows.hint("merge").join(anchors, "k1").withColumnRenamed("doc_id", "order_id")
     met = held.select("order_id", *KEYS, "text", "numbers").mapInArrow(_extend(window, block), _RUNS.format(kind=kind))
     met = staging.keep(met, "windows")
-    asked = met.where("NOT sure").withColumn("bucket", F.pmod(F.xxhash64("meet"), F.lit(buckets)))
-    later = asked.groupBy("bucket").applyInArrow(_later, "k1 long, k2 long, start int, n int")
-    sure = met.where("sure").select(*KEYS, "start", F.col("meet").cast("int").alias("n"))
+    dealt = _dealt(met.where("NOT sure"), buckets, most, staging)
+    later = dealt.groupBy("bucket").applyInArrow(_later, "k1 long, k2 long, start int, n int")
+    sure = met.where("sure").select(*KEYS, "start", "n")
     gone = later.unionByName(sure).groupBy("k1").agg(F.collect_list(F.struct("start", "n", "k2")).alias("gone"))
     marked = rows.hint("merge").join(gone, "k1", "left").select(
         "doc_id", *KEYS, "text", F.col("gone.start").alias("at"), F.col("gone.n").alias("n"), F.col("gone.k2").alias("of")

@@ -5,7 +5,9 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
+from muster.llm import substring_dedup
 from muster.llm.rolling import sliding_min, window_hashes
 from muster.llm.substring_dedup import drop_repeats
 from muster.llm.suffix_arrays import common_prefixes, suffix_array
@@ -115,3 +117,43 @@ def test_sliding_helpers():
     twice = np.concatenate([values, values])
     hashes = window_hashes(twice, 9, 1)
     assert (hashes[:92] == hashes[100:192]).all() and len(set(hashes.tolist())) == 100
+
+
+def banner_docs(spark):
+    """A phrase of 14 words amid texts that differ, a longer passage at their edges, and rows that repeat whole."""
+    rng = np.random.default_rng(4)
+
+    def own(n):
+        return " ".join(f"w{x}" for x in rng.integers(0, 1 << 40, n))
+
+    banner, passage = own(14), own(30)
+    rows = [(i, f"{own(12)} {banner} {own(12)}") for i in range(300)]
+    rows += [(400 + i, f"{own(6)} {passage} {own(6)}") for i in range(60)]
+    rows += [(500, f"{own(12)} {banner} {own(12)}")] * 200
+    return spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+
+
+@pytest.mark.parametrize("most", [0, 7, 100, 1 << 40])
+def test_repeats_of_a_frequent_phrase(spark, odd, most):
+    for docs, window in ((banner_docs(spark), 20), (odd, 6)):
+        got = result(drop_repeats(docs, window, most=most), "n_words", "n_removed", "kept_sha256")
+        assert got == brute_words(rows_of(docs), window)
+
+
+def test_a_frequent_phrase_is_spread(spark, monkeypatch):
+    """The windows of many documents around one phrase do not meet in one group."""
+    shares = {}
+
+    def watched(asked, buckets, most, staging):
+        dealt = deal(asked, buckets, most, staging)
+        sizes = [r.n for r in dealt.groupBy("bucket").agg(F.sum(F.length("high") / 8).alias("n")).collect()]
+        shares[most] = max(sizes) / sum(sizes)
+        return dealt
+
+    deal = substring_dedup._dealt
+    monkeypatch.setattr(substring_dedup, "_dealt", watched)
+    docs = banner_docs(spark)
+    for most in (100, 1 << 40):
+        drop_repeats(docs, most=most).count()
+    # 4,200 windows in 16 groups; left together, they stay in the few groups of the phrase's blocks.
+    assert shares[100] < 0.12 and shares[1 << 40] > 0.25
