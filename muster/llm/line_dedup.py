@@ -30,6 +30,9 @@ from muster.plans.staging import Staging
 
 HASH = ["h1", "h2"]
 _WHITE = b" \t\n\x0b\x0c\r"
+#: So many runs make a level full; with three batches more, these meet the lines that the first merge has settled.
+_FANOUT = 4
+_BATCHES = 7
 
 
 def line_keys(text: bytes, min_chars: int) -> list[bytes | None]:
@@ -147,7 +150,7 @@ class LineRuns:
 
     def _add_run(self, run: DataFrame) -> None:
         for table in self.settled_runs:
-            run = run.join(self._run(table), HASH, "left_anti")
+            run = run.join(self._run(table).hint("merge"), HASH, "left_anti")
         if not self.levels:
             self.levels.append([])
         self.levels[0].append(self._write(run))
@@ -171,16 +174,16 @@ class LineRuns:
     def settled(self) -> DataFrame:
         """Every line hash found in at least ``min_docs`` documents, with that number or more than the threshold."""
         rest = [t for level in self.levels for t in level]
-        if rest:
+        # A single run above the lowest level holds what a merge left below the threshold.
+        if len(rest) > 1 or any(self.levels[:1]):
             self.levels = [rest]
             self._merge(rest, 1)
-            self.levels = [self.levels[1]]
         if not self.settled_runs:
             return self.spark.createDataFrame([], "h1 long, h2 long, docs long")
         return self._read(self.settled_runs)
 
 
-def drop_frequent_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, batches: int = 4, fanout: int = 4, with_text: bool = False) -> DataFrame:
+def drop_frequent_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, batches: int = _BATCHES, fanout: int = _FANOUT, with_text: bool = False) -> DataFrame:
     """doc_id, k1, k2, n_lines, n_dropped, kept_sha256 (and kept_text) of every row."""
     runs = LineRuns(docs.sparkSession, min_docs, fanout)
     runs.add(docs, batches, min_chars)

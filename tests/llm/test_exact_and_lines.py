@@ -105,3 +105,41 @@ def test_lines_text_and_empty(odd, none):
     got = drop_frequent_lines(odd, 10, with_text=True).where("doc_id = 40").first()
     assert "hared" not in got.kept_text and got.n_dropped == 1
     assert drop_frequent_lines(none).count() == 0
+
+
+def test_later_batches_meet_settled_runs(odd, monkeypatch):
+    """With nothing but the defaults: later batches are merge-anti-joined with settled lines, without a shuffle of
+    either side, and levels are merged on the way and never twice at the end."""
+    plans, merged = [], []
+    write, merge = LineRuns._write, LineRuns._merge
+
+    def watched_write(self, df, *split_by):
+        if self.settled_runs and "LeftAnti" in (plan := df._jdf.queryExecution().executedPlan().toString()):
+            plans.append(plan)
+        return write(self, df, *split_by)
+
+    def watched_merge(self, tables, into):
+        merged.append(len(tables))
+        return merge(self, tables, into)
+
+    monkeypatch.setattr(LineRuns, "_write", watched_write)
+    monkeypatch.setattr(LineRuns, "_merge", watched_merge)
+    got = drop_frequent_lines(odd)
+    rows = sorted(((r.doc_id, r.n_lines, r.n_dropped, r.kept_sha256) for r in got.collect()), key=str)
+    assert rows == brute_lines(texts(odd), 10, 1)
+    assert len(plans) == 3 and merged == [4, 4]
+    for plan in plans:
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+
+
+def test_one_merge_is_enough(odd):
+    """A run that a merge has sifted is not merged again, and asking twice changes nothing."""
+    runs = LineRuns(odd.sparkSession, 10, fanout=2)
+    runs.add(odd, batches=2)
+    assert [len(level) for level in runs.levels] == [0, 1]
+    before = runs.written
+    first = {tuple(r) for r in runs.settled().collect()}
+    assert runs.written == before and first and {tuple(r) for r in runs.settled().collect()} == first
+    whole = LineRuns(odd.sparkSession, 10)
+    whole.add(odd)
+    assert {r[:2] for r in first} == {tuple(r)[:2] for r in whole.settled().collect()}
