@@ -51,12 +51,21 @@ class Inputs:
 
     @classmethod
     def from_landing(
-        cls, spark: SparkSession, tables: str, sheets: str, hundred_hour: str, postcodes: str, boundaries: str
+        cls,
+        spark: SparkSession,
+        tables: str,
+        sheets: str,
+        hundred_hour: str,
+        postcodes: str,
+        boundaries: str,
+        boundary_lines: bool = False,
     ) -> Inputs:
         """Read from landing folders.
 
         ``tables`` holds the register tables as Parquet, one folder each (the provider list best stored
         ``partitionBy("snapshot_month")``); ``sheets`` holds the weekly sheets; the rest are paths.
+        ``boundaries`` is Parquet, or with ``boundary_lines`` GeoJSON with one feature per line, both of which Spark
+        splits across tasks, or a GeoJSON collection, which one task reads whole and which is for small files only.
         """
         stored = {n: partial(read_table, spark, n, f"{tables}/{n}") for n in STORED}
         landed = {n: partial(read_landed, spark, sheets, n) for n in SHEETS}
@@ -65,5 +74,5 @@ class Inputs:
             **landed,
             hundred_hour=partial(read_sheet, spark, hundred_hour, "hundred_hour"),
             postcodes=partial(read_postcodes, spark, postcodes),
-            boundaries=partial(read_boundaries, spark, boundaries),
+            boundaries=partial(read_boundaries, spark, boundaries, boundary_lines),
         )

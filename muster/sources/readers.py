@@ -171,9 +171,12 @@ _FEATURE = T.StructType(
 def read_boundaries(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
     """Area boundaries: code, name and the shape as opaque JSON text.
 
-    ``path`` is a GeoJSON feature collection, or with ``lines=True`` one feature per line, which Spark can
-    split across tasks however large the file.
+    ``path`` is a GeoJSON feature collection, or with ``lines=True`` one feature per line, or Parquet with those
+    three columns. Spark splits the latter two across tasks however large the file; a collection is one record, read
+    whole by one task, and is for small files only.
     """
+    if path.rstrip("/").lower().endswith(".parquet"):
+        return spark.read.parquet(path).select("icb_code", "icb_name", "geometry")
     if lines:
         feature = spark.read.schema(_FEATURE).json(path)
     else:

@@ -2,6 +2,7 @@ import json
 from datetime import date
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import rows
 from muster.sources import readers
@@ -140,3 +141,33 @@ def test_inputs_open_on_first_use(spark, frame):
         inputs.postcodes
     with pytest.raises(ValueError, match="unknown"):
         Inputs(nonsense=open_roster)
+
+
+def test_landed_boundaries_are_split_over_tasks(spark, tmp_path):
+    """One feature per line, or Parquet, through ``from_landing``: several tasks read one file, and the rows are those
+    of the collection."""
+    shapes = [{"type": "Polygon", "coordinates": [[[i, 0], [1, i], [0, 1]]]} for i in range(400)]
+    features = [feature(f"Q{i}", f"area {i}", shape) for i, shape in enumerate(shapes)]
+    (tmp_path / "c.geojson").write_text(json.dumps({"type": "FeatureCollection", "features": features}))
+    (tmp_path / "l.geojsonl").write_text("\n".join(map(json.dumps, features)))
+
+    def landed(path, **options):
+        paths = dict.fromkeys(("tables", "sheets", "hundred_hour", "postcodes"), str(tmp_path / "absent"))
+        return Inputs.from_landing(spark, **paths, boundaries=str(path), **options).boundaries
+
+    whole = landed(tmp_path / "c.geojson")
+    most = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
+    try:
+        lines = landed(tmp_path / "l.geojsonl", boundary_lines=True)
+        whole.coalesce(1).write.option("parquet.block.size", 4096).option("compression", "none").parquet(str(tmp_path / "p.parquet"))
+        table = landed(tmp_path / "p.parquet")
+        tasks = [df.groupBy(F.spark_partition_id()).count().count() for df in (whole, lines, table)]
+        assert tasks[0] == 1 and tasks[1] > 1 and tasks[2] > 1
+        want = [(f"Q{i}", f"area {i}", shape) for i, shape in enumerate(shapes)]
+        for got in (whole, lines, table):
+            assert got.columns == ["icb_code", "icb_name", "geometry"]
+            found = sorted(((r.icb_code, r.icb_name, json.loads(r.geometry)) for r in got.collect()), key=lambda r: int(r[0][1:]))
+            assert found == want
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", most)
