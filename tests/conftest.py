@@ -4,10 +4,7 @@ import sys
 import pytest
 from pyspark.sql import SparkSession
 
-ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-sys.path.insert(0, ROOT)
-
-SMALL, MEDIUM = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
 @pytest.fixture(scope="session")
@@ -36,9 +33,3 @@ def frame(spark):
         return spark.createDataFrame(list(rows), schema)
 
     return build
-
-
-def rows(df, *order):
-    """Rows as tuples, sorted with NULLs last."""
-    out = [tuple(r) for r in df.collect()]
-    return sorted(out, key=lambda t: [(v is None, str(type(v)), v if v is not None else 0) for v in t])

@@ -6,7 +6,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import MEDIUM, ROOT, SMALL, rows
+from support import MEDIUM, ROOT, SMALL, rows
 from muster.operators import registrations, roster, scorecards
 from muster.plans.weekly import WeeklyPack
 from muster.sources.inputs import Inputs

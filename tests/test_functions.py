@@ -5,7 +5,7 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from support import rows
 from muster.functions import (
     bng_to_wgs84,
     date_text,

@@ -8,7 +8,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from conftest import rows
+from support import rows
 from muster.operators.joins import assert_unique, distinct_counts, duplicate_keys, first_by, na_join
 
 

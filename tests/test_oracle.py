@@ -3,7 +3,7 @@
 import pytest
 
 import __spark_entry__
-from conftest import SMALL
+from support import SMALL
 from oracle.compare import compare, duck
 
 SQL = __spark_entry__.oracle_sql()

@@ -4,7 +4,7 @@ import re
 
 import pytest
 
-from conftest import SMALL
+from support import SMALL
 from muster.plans import registered
 from oracle import sql
 

@@ -3,7 +3,7 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from support import rows
 from muster.operators import reconcile as c
 
 D1, D2 = date(2023, 11, 1), date(2023, 12, 1)

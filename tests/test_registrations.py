@@ -2,7 +2,7 @@ from datetime import date
 
 import pytest
 
-from conftest import rows
+from support import rows
 from muster.operators import registrations as g
 
 D1, D2, D3 = date(2023, 11, 1), date(2023, 12, 1), date(2024, 1, 1)

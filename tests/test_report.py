@@ -5,7 +5,7 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SMALL, rows
+from support import SMALL, rows
 from muster import labels
 from muster.operators import scorecards
 from muster.plans.staging import Staging, shared_folder

@@ -2,7 +2,7 @@ from datetime import date
 
 import pytest
 
-from conftest import rows
+from support import rows
 from muster.operators import roster as r
 
 D = date(2023, 12, 1)

@@ -4,7 +4,7 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from support import rows
 from muster.sources import readers
 from muster.sources.inputs import Inputs
 from muster.sources.sample_tables import _code
