@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: White space of every contract, as a character class for regular expressions.
 SPACE = r"[\x20\x09-\x0D]"
 KEYS = ["k1", "k2"]
+#: A bitmap has so many bits at most, whatever it stands for.
+MOST_BITS = 1 << 27
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -42,3 +45,27 @@ def keep_one_each(docs: DataFrame, kept: DataFrame) -> DataFrame:
 
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def bitmap(hashes: DataFrame, column: str) -> np.ndarray:
+    """The hashes of a column as a bitmap of bounded size that tasks can carry: it names every hash it was made of, and
+    a few others, so it may only spare work. Sixteen bits for each hash as far as ``MOST_BITS`` go; it is put together
+    by Spark and comes to the driver as one row for each 64 bits at most. Without hashes it is empty."""
+    count = hashes.count()
+    if not count:
+        return np.zeros(0, np.uint64)
+    bits = min(MOST_BITS, max(1 << 12, 1 << (16 * count - 1).bit_length()))
+    at = F.col(column).bitwiseAND(F.lit(bits - 1))
+    words = hashes.select(F.shiftright(at, 6).alias("word"), F.call_function("shiftleft", F.lit(1).cast("long"), at.bitwiseAND(F.lit(63)).cast("int")).alias("bit"))
+    found = words.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
+    out = np.zeros(bits // 64, np.uint64)
+    out[found["word"].to_numpy()] = found["bits"].to_numpy().view(np.uint64)
+    return out
+
+
+def in_bitmap(words: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Which hashes (64-bit whole numbers) the bitmap names."""
+    if not len(words):
+        return np.zeros(len(hashes), bool)
+    at = hashes.astype(np.int64) & (64 * len(words) - 1)
+    return (words[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1) == 1

@@ -11,10 +11,13 @@ from pyspark.sql import functions as F
 from muster.llm.common import documents
 from muster.llm.exact_dedup import exact_groups
 from muster.llm.line_dedup import drop_frequent_lines
+from muster.llm.minhash import near_sets
 from muster.llm.mixing import draws
 from muster.llm.packing import pack
+from muster.llm.periodic_runs import periodic_runs
 from muster.llm.quality import verdicts
 from muster.llm.simhash import hex_print, near_groups
+from muster.llm.source_divergence import divergences
 from muster.llm.substring_dedup import drop_repeats
 from muster.llm.suffix_dedup import drop_repeated_bytes
 from muster.llm.toxicity import fit, scored
@@ -73,6 +76,19 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", hex_print().alias("fingerprint"), "component_id")
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergences(documents(tune(spark), sf_dir), min_docs=3, add=1, top=200)
+
+
+def op12_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_sets(documents(tune(spark), sf_dir), size=3, num=85, den=100).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs(documents(tune(spark), sf_dir), min_length=12, splice=True, texts=False)
+    return found.select("doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256")
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_line_dedup": op1_line_dedup,
@@ -85,4 +101,7 @@ def queries() -> dict[str, Query]:
         "op8_mixing": op8_mixing,
         "op9_exact_dedup": op9_exact_dedup,
         "op10_simhash": op10_simhash,
+        "op11_source_divergence": op11_source_divergence,
+        "op12_minhash": op12_minhash,
+        "op13_periodic_runs": op13_periodic_runs,
     }

@@ -94,6 +94,62 @@ WITH norm AS (
 SELECT doc_id, keep_id, group_size, nth = 1 AS kept, sha256(body) AS text_sha256 FROM ranked
 """
 
+OP11 = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS d, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS text FROM documents
+), found AS (
+  SELECT d, lang, source, translate(unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS term FROM docs
+), kept AS (
+  SELECT lang, term, count(*) AS n FROM found GROUP BY lang, term HAVING count(DISTINCT d) >= 3
+), langs AS (
+  SELECT lang, count(*)::HUGEINT AS v, sum(n)::HUGEINT AS n FROM kept GROUP BY lang
+), counts AS (
+  SELECT lang, source, term, count(*) AS n FROM found JOIN kept k USING (lang, term) GROUP BY ALL
+), totals AS (
+  SELECT g.lang, g.source, coalesce(sum(c.n), 0)::HUGEINT AS n FROM (SELECT DISTINCT lang, source FROM docs) g
+  LEFT JOIN counts c ON c.lang = g.lang AND c.source = g.source GROUP BY ALL
+), shares AS (
+  SELECT t.lang, t.source, k.term, coalesce(c.n, 0) AS c, 1 + 1000000000::HUGEINT * (coalesce(c.n, 0) + 1) // (t.n + l.v) AS p,
+    1 + 1000000000::HUGEINT * (k.n + 1) // (l.n + l.v) AS q
+  FROM totals t JOIN langs l USING (lang) JOIN kept k USING (lang)
+  LEFT JOIN counts c ON c.lang = t.lang AND c.source = t.source AND c.term = k.term
+), pairs AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+  FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+), parts AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(p.value, 0) AS value
+  FROM totals a JOIN totals b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN pairs p ON p.lang = a.lang AND p.source = a.source AND p.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, (p - q) * (p - q) // q FROM shares WHERE c > 0 AND p > q
+)
+SELECT lang, source, part, item, value::BIGINT AS value,
+  (row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item))::INT AS rank
+FROM parts QUALIFY part = 'pair' OR rank <= 200
+"""
+
+OP12 = r"""
+WITH RECURSIVE docs AS (
+  SELECT row_number() OVER () AS d, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+), shingles AS (
+  SELECT DISTINCT d, CASE WHEN len(w) < 3 THEN array_to_string(w, ' ') ELSE concat_ws(' ', w[i], w[i + 1], w[i + 2]) END AS s
+  FROM (SELECT d, w, unnest(range(1, greatest(len(w) - 1, 2))) AS i FROM docs WHERE len(w) > 0)
+), sizes AS (
+  SELECT d, count(*) AS n FROM shingles GROUP BY d
+), common AS (
+  SELECT a.d AS a, b.d AS b, count(*) AS m FROM shingles a JOIN shingles b ON a.s = b.s AND a.d <> b.d GROUP BY ALL
+), links AS (
+  SELECT a, b FROM common c JOIN sizes x ON x.d = c.a JOIN sizes y ON y.d = c.b WHERE 100 * m >= 85 * (x.n + y.n - m)
+), reach AS (
+  SELECT d AS a, d AS b FROM docs UNION SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b
+)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, coalesce(doc_id = component_id, false) AS kept
+FROM docs LEFT JOIN sizes USING (d)
+JOIN (SELECT r.a AS d, min(o.doc_id) AS component_id FROM reach r JOIN docs o ON o.d = r.b GROUP BY r.a) USING (d)
+"""
+
 
 def statements() -> dict[str, str]:
     return {
@@ -101,4 +157,6 @@ def statements() -> dict[str, str]:
         "op3_quality_rules": OP3,
         "op6_url_filters": OP6,
         "op9_exact_dedup": OP9,
+        "op11_source_divergence": OP11,
+        "op12_minhash": OP12,
     }
