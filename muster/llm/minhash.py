@@ -8,17 +8,18 @@ Which pairs are looked at: the signature is split into chunks. A pair that diffe
 has, by the pigeonhole principle, a chunk with one error at most, and the allowed errors are enumerated: each chunk
 gives a key for every place that may differ, made of its other places. So every pair under the signature distance
 meets under some key, without loss. At similarity 0.85 a pair lies beyond that distance with a chance below 1e-6, and
-even then fails to meet under every key with a chance of 7e-11, so no pair that meets is given up for its distance:
-pairs are confirmed on their full sets.
+even then it fails to meet under every key with a chance of 7e-11 only.
 
-Only components are wanted, so pairs are proposed in rounds. In a round each key proposes its members to one of them
-(the same one under all keys they share); confirmed links join components, and keys whose members have all come together
-drop out. When the pairs left between components are few, or rounds no longer join much, the rest is proposed whole:
-every pair of a key whose components differ and whose sizes permit the similarity. Keys with very many members are cut
-into tiles, and each pair of tiles is a group of its own. Nothing is capped.
+Only components are wanted, so nodes that meet are compared where they meet, and only links that join two parts leave
+the task. Each key names one of its nodes, the first by a hash; all nodes of keys that name the same one form its group, so
+two nodes that share a key share a group, and the many keys of close copies come to few groups. A group that is large in
+members or bytes is cut into tiles and each pair of tiles is a group of its own. Inside a group
 
-Full sets are made once, from the texts of the nodes that share a key with another. A node that many others are proposed to is dealt out, so that
-no task compares more than ``SHARE`` sets with it.
+* a node without any other node within ``FAR`` differing places goes (the chance of that at the similarity asked is 1e-11);
+* the full sets of the rest, made from their texts, decide: what a node shares with all others is counted from the
+  group's inverted lists at once.
+
+Nothing is capped.
 
 Defined cases: a text with fewer words than a shingle is one shingle, its whole word sequence; a NULL or blank text has
 an empty set, which is linked with nothing, not even with its copies. Rows that repeat a doc_id and text share their
@@ -40,10 +41,10 @@ from muster.llm.rolling import buffers, mix, slices, window_hashes, word_hashes,
 from muster.plans.staging import Staging
 
 CHUNKS, WIDTH, BITS = 13, 5, 16
-#: Sets that one task compares with one set.
-SHARE = 2000
-#: Members of one key that one group may hold; beyond it the key is cut into tiles.
-TILE = 4096
+#: A pair that differs in more places is not compared; pairs are sure to meet up to 2 * CHUNKS - 1.
+FAR = 32
+#: Nodes, and bytes of sets, that a tile of a group may hold.
+TILE, TILE_BYTES = 1024, 8 << 20
 _SLICE = 4 << 20
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[0x41:0x5B] += 0x20
@@ -81,7 +82,7 @@ def signatures(sets: np.ndarray, starts: np.ndarray) -> np.ndarray:
     out = np.zeros((len(starts) - 1, len(_PLACES)), np.uint16)
     if len(out):
         for at, factor in enumerate(_PLACES):
-            low = np.minimum.reduceat(mix(sets * factor), starts[:-1])
+            low = np.minimum.reduceat(sets * factor, starts[:-1])  # the values are hashes already
             out[:, at] = (mix(low) & np.uint64((1 << BITS) - 1)).astype(np.uint16)
     return out
 
@@ -124,89 +125,109 @@ def _set_batches(size: int):
 def _key_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     each = CHUNKS * WIDTH
     for batch in batches:
-        if not batch.num_rows:
-            continue
-        raw = b"".join(batch.column("signature").to_pylist())
         for at in range(0, batch.num_rows, 2000):
             part = batch.slice(at, 2000)
-            places = np.frombuffer(raw, "<u2").reshape(-1, each)[at : at + part.num_rows]
-            keys = keys_of(places).view(np.int64).ravel()
-            repeated = [pa.array(np.repeat(part.column(c).to_numpy(), each)) for c in ("node", "n")]
-            yield pa.RecordBatch.from_arrays([pa.array(keys), *repeated], names=["key", "node", "n"])
+            places = np.frombuffer(b"".join(part.column("signature").to_pylist()), "<u2").reshape(-1, each)
+            node = part.column("node").to_numpy()
+            rank = mix(node.astype(np.uint64) + np.uint64(1)).view(np.int64)
+            columns = [keys_of(places).view(np.int64).ravel(), np.repeat(rank, each), np.repeat(node, each)]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["key", "rank", "node"])
 
 
-def _grouped(batches: Iterator[pa.RecordBatch], by: list[str], names: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Rows of sorted batches, cut only between groups: a matrix of ``names`` and where each group starts."""
-    held = None
+def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(one, node) for the nodes of each key that several have, ``one`` being the first; rows come sorted by key and
+    rank. No more of a key is held than its first row."""
+    key, one, open_ = None, 0, False
     for batch in batches:
-        rows = np.column_stack([batch.column(c).to_numpy() for c in names])
-        rows = rows if held is None else np.concatenate([held, rows])
-        fresh = np.flatnonzero((rows[1:, : len(by)] != rows[:-1, : len(by)]).any(axis=1)) + 1
-        if len(fresh):
-            yield rows[: fresh[-1]], np.r_[0, fresh[:-1]]
-            held = rows[fresh[-1] :]
-        else:
-            held = rows
-    if held is not None and len(held):
-        yield held, np.zeros(1, np.int64)
-
-
-def _shared_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The rows of keys that at least two nodes have, from rows sorted by key; one row is held at a time."""
-    names = ["key", "node", "n"]
-    last, told = np.zeros((0, 3), np.int64), False
+        if not batch.num_rows:
+            continue
+        keys, nodes = batch.column("key").to_numpy(), batch.column("node").to_numpy()
+        fresh = np.r_[key is None or keys[0] != key, keys[1:] != keys[:-1]]
+        head = np.maximum.accumulate(np.where(fresh, np.arange(len(keys)), -1))
+        ones = np.where(head < 0, one, nodes[head])
+        left, right = [ones[~fresh]], [nodes[~fresh]]
+        # The first row of a key is told with the second.
+        second = np.flatnonzero(~fresh & np.r_[open_, fresh[:-1]])
+        left.append(ones[second])
+        right.append(ones[second])
+        open_ = bool(fresh[-1])
+        key, one = keys[-1], ones[-1]
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (left, right)], names=["one", "node"])
+
+
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches of rows sorted by (one, tile), cut between groups."""
+    held: list[pa.RecordBatch] = []
+    last = None
     for batch in batches:
         if not batch.num_rows:
             continue
-        rows = np.concatenate([last, np.column_stack([batch.column(c).to_numpy() for c in names])])
-        same = rows[1:, 0] == rows[:-1, 0]
-        shared = np.r_[False, same] | np.r_[same, False]
-        # The last row before this batch has been told already if it shared its key with the one before it.
-        first = 1 if told else 0
-        goes = np.flatnonzero(shared[first:]) + first
-        told, last = bool(shared[-1]) and (len(rows) > 1 or told), rows[-1:]
-        yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(rows[goes, i])) for i in range(3)], names=names)
-
-
-def _pairs_between(num: int, den: int):
-    """Pairs (a < b) of a group's rows of different components whose sizes permit the similarity."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, first in _grouped(batches, ["key", "tile"], ["key", "tile", "node", "n", "root", "side"]):
-            for low, high in zip(first.tolist(), [*first[1:].tolist(), len(rows)], strict=True):
-                node, n, root, side = rows[low:high, 2:].T
-                for at in range(len(node) - 1):
-                    other = (root[at + 1 :] != root[at]) & ((side[at + 1 :] != side[at]) | (side[at] < 0))
-                    small, large = np.minimum(n[at + 1 :], n[at]), np.maximum(n[at + 1 :], n[at])
-                    hit = at + 1 + np.flatnonzero(other & (den * small >= num * large))
-                    if len(hit):
-                        pair = [np.minimum(node[hit], node[at]), np.maximum(node[hit], node[at])]
-                        yield pa.RecordBatch.from_arrays([pa.array(x) for x in pair], names=["a", "b"])
-
-    return run
-
+        by = np.column_stack([batch.column(c).to_numpy() for c in ("one", "tile")])
+        cuts = (np.flatnonzero((by[1:] != by[:-1]).any(axis=1)) + 1).tolist()
+        if last is not None and (by[0] != last).any():
+            cuts = [0, *cuts]
+        for low, high in zip([0, *cuts], [*cuts, len(by)], strict=True):
+            if low in cuts and held:
+                yield pa.concat_batches(held)
+                held = []
+            if high > low:
+                held.append(batch.slice(low, high - low))
+        last = by[-1]
+    if held:
+        yield pa.concat_batches(held)
+
+
+def _near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of a group that have another one within ``FAR`` places."""
+    for group in _groups(batches):
+        places = np.frombuffer(b"".join(group.column("signature").to_pylist()), "<u2").reshape(group.num_rows, -1)
+        near = np.zeros(group.num_rows, bool)
+        for at in range(group.num_rows):
+            if not near[at]:
+                hit = (places != places[at]).sum(axis=1) <= FAR
+                near |= hit if hit.sum() > 1 else False
+        rows = group.filter(pa.array(near))
+        yield pa.RecordBatch.from_arrays([rows.column(c) for c in ("one", "tile", "node")], names=["one", "tile", "node"])
+
+
+def linked_sets(sets: list[np.ndarray], num: int, den: int) -> list[tuple[int, int]]:
+    """Links that span the components among the sets."""
+    root = np.arange(len(sets))
+    size = np.array([len(s) for s in sets], np.int64)
+    flat = np.concatenate(sets)
+    owner = np.repeat(np.arange(len(sets)), size)
+    order = np.argsort(flat, kind="stable")
+    values, owner = flat[order], owner[order]
+    # Where the inverted list of each member's hashes begins, and how long it is.
+    low = np.searchsorted(values, flat)
+    many = np.searchsorted(values, flat, "right") - low
+    edges = np.r_[0, np.cumsum(size)]
+    out = []
+    for at in range(len(sets) - 1):
+        rest = root[at + 1 :] != root[at]
+        if not rest.any():
+            continue
+        first, length = low[edges[at] : edges[at + 1]], many[edges[at] : edges[at + 1]]
+        first, length = first[length > 1], length[length > 1]
+        total = int(length.sum())
+        within = np.arange(total) - np.repeat(np.cumsum(length) - length, length)
+        common = np.bincount(owner[np.repeat(first, length) + within], minlength=len(sets))
+        hit = at + 1 + np.flatnonzero(rest & (den * common[at + 1 :] >= num * (size[at] + size[at + 1 :] - common[at + 1 :])))
+        for other in hit.tolist():
+            if root[other] != root[at]:
+                out.append((at, other))
+                root[root == root[other]] = root[at]
+    return out
 
-def _confirm(num: int, den: int):
-    """Of each group (a, slot), its first row with the set of a, which nodes b are as similar as asked."""
 
+def _links(num: int, den: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        owner, mine = None, np.zeros(0, np.uint64)
-        for batch in batches:
-            a, b, slot = (batch.column(c).to_pylist() for c in ("a", "b", "slot"))
-            linked = []
-            for at, raw in enumerate(batch.column("set")):
-                theirs = np.frombuffer(raw.as_buffer(), "<u8")
-                if b[at] is None:
-                    owner, mine = (a[at], slot[at]), theirs.copy()
-                    continue
-                if owner != (a[at], slot[at]):
-                    raise ValueError("a pair without the set it is compared with")
-                spot = np.minimum(np.searchsorted(mine, theirs), len(mine) - 1)
-                common = int((mine[spot] == theirs).sum())
-                if den * common >= num * (len(mine) + len(theirs) - common):
-                    linked.append(at)
-            rows = pa.array(linked, pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(c).take(rows) for c in ("a", "b")], names=["a", "b"])
+        for group in _groups(batches):
+            if group.num_rows > 1:
+                node = group.column("node").to_numpy()
+                sets = [np.frombuffer(raw.as_buffer(), "<u8") for raw in group.column("set")]
+                found = np.array(linked_sets(sets, num, den), np.int64).reshape(-1, 2)
+                yield pa.RecordBatch.from_arrays([pa.array(node[found[:, i]]) for i in (0, 1)], names=["a", "b"])
 
     return run
 
@@ -228,122 +249,57 @@ def _texts_to_sets(size: int, wanted: np.ndarray):
     return run
 
 
-class Linker:
-    """Nodes of one corpus, and the links between them that have been confirmed so far."""
-
-    def __init__(self, docs: DataFrame, size: int, num: int, den: int, tile: int = TILE, share: int = SHARE):
-        self.spark, self.size, self.num, self.den, self.tile, self.share = docs.sparkSession, size, num, den, tile, share
-        self.staging, self.turn = Staging(self.spark), 0
-        rows = keyed(docs)
-        kind = rows.schema["doc_id"].dataType.simpleString()
-        made = f"doc_id {kind}, k1 long, k2 long, n long, s1 long, s2 long, signature binary"
-        self.rows = self.staging.keep(rows.select("doc_id", *KEYS, "text").mapInArrow(_set_batches(size), made), "rows")
-        self.texts = rows.select(*KEYS, "text")
-        # One node for each set, with one text to make it from. The id is written, so it is the same for every reader.
-        head = F.min(F.struct(*KEYS)).alias("head")
-        nodes = self.rows.where("n > 0").groupBy("s1", "s2").agg(
-            F.min("doc_id").alias("low"), F.first("n").alias("n"), F.first("signature").alias("signature"), head
-        )
-        nodes = nodes.select(F.monotonically_increasing_id().alias("node"), "s1", "s2", "low", "n", "signature", "head.k1", "head.k2")
-        self.nodes = self.staging.keep(nodes, "nodes")
-
-    def _write(self, df: DataFrame, name: str) -> DataFrame:
-        self.turn += 1
-        return self.staging.keep(df, f"{name}{self.turn}")
-
-    def shared_keys(self) -> DataFrame:
-        keys = self.nodes.select("node", "n", "signature").mapInArrow(_key_batches, "key long, node long, n long")
-        spread = keys.repartition(partitions(self.spark), "key").sortWithinPartitions("key")
-        return self._write(spread.mapInArrow(_shared_keys, "key long, node long, n long"), "shared")
-
-    def full_sets(self, keys: DataFrame) -> DataFrame:
-        """node, set of every node that shares a key, made from its text; other texts are passed by."""
-        heads = self._write(self.nodes.join(keys.select("node").distinct(), "node").select("node", *KEYS), "heads")
-        made = self.texts.mapInArrow(_texts_to_sets(self.size, bitmap(heads, "k1")), "k1 long, k2 long, set binary")
-        # Rows that agree in doc_id and text share their key; one of them is enough.
-        return self._write(made.join(heads, KEYS).groupBy("node").agg(F.first("set").alias("set")), "sets")
-
-    def confirmed(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
-        """Those of the pairs (a, b) that are linked, by their full sets."""
-        pairs = self._write(pairs.distinct(), "pairs")
-        slots = F.ceil(F.col("times") / self.share).cast("int")
-        owners = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("times")).withColumn("slots", slots)
-        owners = self._write(owners, "owners")
-        first = owners.join(sets, owners["a"] == sets["node"]).select(
-            "a", F.explode(F.sequence(F.lit(0), F.col("slots") - 1)).alias("slot"), F.lit(None).cast("long").alias("b"), "set"
-        )
-        dealt = pairs.join(owners.select("a", "slots"), "a").select("a", F.pmod(F.xxhash64("b"), "slots").cast("int").alias("slot"), "b")
-        rest = dealt.join(sets, dealt["b"] == sets["node"]).select("a", "slot", "b", "set")
-        spread = first.unionByName(rest).repartition(partitions(self.spark), "a", "slot").sortWithinPartitions("a", "slot", F.asc_nulls_first("b"))
-        return self._write(spread.mapInArrow(_confirm(self.num, self.den), "a long, b long"), "links")
-
-    def _labelled(self, keys: DataFrame, roots: DataFrame | None) -> DataFrame:
-        """Rows of keys that still have members of different components, with the component of each."""
-        if roots is None:
-            return keys.withColumn("root", F.col("node"))
-        known = keys.join(roots, "node", "left").select("key", "node", "n", F.coalesce("root", "node").alias("root"))
-        known = self._write(known, "labelled")
-        apart = known.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
-        return self._write(known.join(self._write(apart.select("key"), "open"), "key"), "apart")
-
-    def _to_one(self, rows: DataFrame) -> DataFrame:
-        """Under each key, its members and one of them: the first by a hash that changes with the round."""
-        order = F.struct(F.xxhash64(F.lit(self.turn), "node").alias("h"), "node", "n", "root")
-        # Written, so that the join with it can be split where a key is crowded.
-        chosen = self._write(rows.groupBy("key").agg(F.min(order).alias("one")), "chosen")
-        met = rows.join(chosen, "key").where("root <> one.root").select("n", "node", F.col("one.node").alias("one"), F.col("one.n").alias("n1"))
-        near = met.where(F.least("n", "n1") * self.den >= F.greatest("n", "n1") * self.num)
-        return near.select(F.col("one").alias("a"), F.col("node").alias("b")).distinct()
-
-    def _every_pair(self, rows: DataFrame) -> DataFrame:
-        """Every pair of a key's members of different components; a crowded key in pairs of tiles."""
-        sizes = self._write(rows.groupBy("key").agg(F.count(F.lit(1)).alias("m")), "sizes")
-        sized = rows.join(sizes, "key").withColumn("tiles", F.ceil(F.col("m") / self.tile).cast("int"))
-        mine = F.pmod(F.xxhash64("node"), "tiles").cast("int").alias("mine")
-        other = F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("other")
-        cut = sized.select("key", "node", "n", "root", "tiles", mine, other)
-        tile = F.least("mine", "other").cast("long") * F.col("tiles") + F.greatest("mine", "other")
-        # Inside a pair of two tiles only pairs across count: those inside a tile meet in the tile's own group.
-        side = F.when(F.col("mine") == F.col("other"), F.lit(-1)).otherwise(F.col("mine")).cast("long")
-        dealt = cut.select("key", tile.alias("tile"), "node", "n", "root", side.alias("side"))
-        spread = dealt.repartition(partitions(self.spark), "key", "tile").sortWithinPartitions("key", "tile")
-        return spread.mapInArrow(_pairs_between(self.num, self.den), "a long, b long").distinct()
-
-    def roots(self) -> DataFrame:
-        """node, root of every node that is linked to a smaller one."""
-        keys = self.shared_keys()
-        sets, links, roots, left = self.full_sets(keys), None, None, None
-        while True:
-            rows = self._labelled(keys, roots)
-            # Pairs under a common key whose components differ, and how many nodes they are among.
-            per = rows.groupBy("key", "root").agg(F.count(F.lit(1)).alias("m")).groupBy("key")
-            per = per.agg(F.sum("m").alias("m"), F.sum(F.col("m").cast("double") * F.col("m")).alias("own"))
-            seen = per.agg(F.sum((F.col("m").cast("double") * F.col("m") - F.col("own")) / 2).alias("pairs"), F.sum("m").alias("rows")).first()
-            if not seen["pairs"]:
-                break
-            last = seen["pairs"] <= 4 * seen["rows"] or (left is not None and seen["pairs"] > 0.7 * left)
-            left = seen["pairs"]
-            found = self.confirmed(self._every_pair(rows) if last else self._to_one(rows), sets)
-            links = found if links is None else self._write(links.unionByName(found), "links")
-            roots = components(links, self.staging, f"turn{self.turn}-")
-            if last:
-                break
-        if roots is None:
-            return self.spark.createDataFrame([], "node long, root long")
-        return roots
-
-
-def near_sets(docs: DataFrame, size: int = 3, num: int = 85, den: int = 100, tile: int = TILE, share: int = SHARE) -> DataFrame:
+def _nodes(rows: DataFrame) -> DataFrame:
+    """One row for each distinct set, with one text to make it from."""
+    head = F.min(F.struct(*KEYS)).alias("head")
+    nodes = rows.where("n > 0").groupBy("s1", "s2").agg(F.min("doc_id").alias("low"), F.first("n").alias("n"), F.first("signature").alias("signature"), head)
+    # The id is written with the row, so it is the same for every reader.
+    return nodes.select(F.monotonically_increasing_id().alias("node"), "s1", "s2", "low", "n", "signature", "head.k1", "head.k2")
+
+
+def _tiled(met: DataFrame, sizes: DataFrame, staging: Staging, tile: int, tile_bytes: int) -> DataFrame:
+    """one, tile, node: the members of each group, a large one in pairs of tiles."""
+    sized = staging.keep(met.join(sizes, "node"), "sized")
+    load = sized.groupBy("one").agg(F.count(F.lit(1)).alias("m"), F.sum(8 * F.col("n")).alias("bytes"))
+    tiles = F.greatest(F.ceil(F.col("m") / tile), F.ceil(F.col("bytes") / tile_bytes)).cast("int").alias("tiles")
+    load = staging.keep(load.select("one", tiles), "load")
+    mine = F.pmod(F.xxhash64("node"), "tiles").cast("int").alias("mine")
+    cut = sized.join(load, "one").select("one", "node", "tiles", mine, F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("other"))
+    return cut.select("one", (F.least("mine", "other").cast("long") * F.col("tiles") + F.greatest("mine", "other")).alias("tile"), "node")
+
+
+def links(rows: DataFrame, texts: DataFrame, nodes: DataFrame, staging: Staging, size: int, num: int, den: int, tile: int, tile_bytes: int) -> DataFrame:
+    """Confirmed links (a, b) that span the components among the nodes."""
+    n = partitions(rows.sparkSession)
+    keys = nodes.select("node", "signature").mapInArrow(_key_batches, "key long, rank long, node long")
+    spread = keys.repartition(n, "key").sortWithinPartitions("key", "rank")
+    met = staging.keep(spread.mapInArrow(_met, "one long, node long").distinct(), "met")
+    dealt = staging.keep(_tiled(met, nodes.select("node", "n"), staging, tile, tile_bytes), "dealt")
+    marked = dealt.join(nodes.select("node", "signature"), "node").repartition(n, "one", "tile").sortWithinPartitions("one", "tile")
+    near = staging.keep(marked.mapInArrow(_near, "one long, tile long, node long"), "near")
+    heads = staging.keep(nodes.join(near.select("node").distinct(), "node").select("node", *KEYS), "heads")
+    made = texts.mapInArrow(_texts_to_sets(size, bitmap(heads, "k1")), "k1 long, k2 long, set binary")
+    # Rows that agree in doc_id and text share their key; one of them is enough.
+    sets = staging.keep(made.join(heads, KEYS).groupBy("node").agg(F.first("set").alias("set")), "sets")
+    full = near.join(sets, "node").repartition(n, "one", "tile").sortWithinPartitions("one", "tile")
+    return full.select("one", "tile", "node", "set").mapInArrow(_links(num, den), "a long, b long").distinct()
+
+
+def near_sets(docs: DataFrame, size: int = 3, num: int = 85, den: int = 100, tile: int = TILE, tile_bytes: int = TILE_BYTES) -> DataFrame:
     """One row per document: doc_id, k1, k2, n_shingles, root (of the component's nodes, NULL for an empty set),
     component_id (its smallest doc_id) and kept. Sets link when ``den`` times what they share is at least ``num`` times
     what they hold together."""
-    linker = Linker(docs, size, num, den, tile, share)
-    nodes, staging = linker.nodes.select("node", "s1", "s2", "low"), linker.staging
-    rooted = nodes.join(linker.roots(), "node", "left").select("s1", "s2", "low", F.coalesce("root", "node").alias("root"))
+    staging, texts = Staging(docs.sparkSession), keyed(docs)
+    made = f"doc_id {texts.schema['doc_id'].dataType.simpleString()}, k1 long, k2 long, n long, s1 long, s2 long, signature binary"
+    every = staging.keep(texts.select("doc_id", *KEYS, "text").mapInArrow(_set_batches(size), made), "rows")
+    nodes = staging.keep(_nodes(every), "nodes")
+    found = links(every, texts.select(*KEYS, "text"), nodes, staging, size, num, den, tile, tile_bytes)
+    roots = components(found, staging)
+    rooted = nodes.join(roots, "node", "left").select("s1", "s2", "low", F.coalesce("root", "node").alias("root"))
     rooted = staging.keep(rooted, "rooted")
     lows = staging.keep(rooted.groupBy("root").agg(F.min("low").alias("component_id")), "lows")
     known = staging.keep(rooted.join(lows, "root").select("s1", "s2", "root", "component_id"), "known")
-    rows = linker.rows.select("doc_id", *KEYS, F.col("n").alias("n_shingles"), "s1", "s2")
+    rows = every.select("doc_id", *KEYS, F.col("n").alias("n_shingles"), "s1", "s2")
     full = rows.where("n_shingles > 0").join(known, ["s1", "s2"])
     empty = rows.where("n_shingles = 0").withColumn("root", F.lit(None).cast("long")).withColumn("component_id", F.col("doc_id"))
     both = full.unionByName(empty, allowMissingColumns=True)

@@ -38,8 +38,8 @@ from muster.llm.rolling import buffers, slices
 from muster.plans.staging import Staging
 
 SCALE = 1_000_000_000
-FIRST_LEVEL = 4
-_SLICE = 8 << 20
+FIRST_LEVEL = 8
+_SLICE = 4 << 20
 _PAIRS = 1 << 20
 _LETTER = np.zeros(256, bool)
 _LETTER[0x41:0x5B] = _LETTER[0x61:0x7B] = _LETTER[0x80:] = True
@@ -54,8 +54,8 @@ def terms_of(data: np.ndarray, offsets: np.ndarray) -> tuple[pa.BinaryArray, np.
     edge[offsets] = True
     starts = np.flatnonzero(letter & (np.r_[True, ~letter[:-1]] | edge[:-1])) if len(data) else np.zeros(0, np.int64)
     # Without the bytes between them the terms lie side by side.
-    letters_before = np.cumsum(letter) - letter
-    ends = np.r_[letters_before[starts], letter.sum()].astype(np.int32)
+    letters = np.cumsum(letter, dtype=np.int32)
+    ends = np.r_[letters[starts] - 1, letters[-1:] if len(letters) else 0].astype(np.int32)
     solid = _LOWER[data[letter]]
     owner = np.searchsorted(offsets, starts, "right") - 1
     return pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(ends), pa.py_buffer(solid)]), owner
@@ -104,6 +104,20 @@ def _level(lang: bytes, group: np.ndarray, texts: pa.Array, alive: np.ndarray |
             yield prefixes.dictionary, None, docs, _hashes(lang, prefixes.dictionary.to_pylist())
 
 
+def _refolded(parts: list[tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]], add: bool) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
+    """The slices of one batch in one: distinct (term, group) with the sums of both counts; of hashes the first."""
+    if len(parts) == 1:
+        return parts[0]
+    coded = pa.concat_arrays([t for t, _, _, _ in parts]).dictionary_encode()
+    group, docs, n = (np.concatenate([p[i] for p in parts]) for i in (1, 2, 3))
+    key = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64) * (group.max() + 1) + group
+    key, first, back = np.unique(key, return_index=True, return_inverse=True)
+    total = np.zeros(len(key), np.int64)
+    np.add.at(total, back, n)
+    terms = coded.dictionary.take(pa.array(key // (group.max() + 1)))
+    return terms, group[first], np.bincount(back, docs, len(key)).astype(np.int64), total if add else n[first]
+
+
 def _levels(alive: np.ndarray | None, before: int, length: int):
     names = ["lang", "source", "term", "open", "docs", "n"]
 
@@ -115,17 +129,22 @@ def _levels(alive: np.ndarray | None, before: int, length: int):
                 mine = batch.filter(pa.array(codes == code))
                 sources = mine.column("source").dictionary_encode()
                 group = sources.indices.to_numpy(zero_copy_only=False)
-                for terms, of, docs, n in _level(lang.encode(), group, mine.column("text"), alive, before, length):
-                    source = pa.repeat("", len(terms)) if of is None else sources.dictionary.take(pa.array(of))
-                    flag = pa.repeat(of is None, len(terms))
-                    columns = [pa.repeat(lang, len(terms)), source, terms, flag, pa.array(docs, pa.int64()), pa.array(n, pa.int64())]
-                    yield pa.RecordBatch.from_arrays(columns, names=names)
+                found = list(_level(lang.encode(), group, mine.column("text"), alive, before, length))
+                whole = [x for x in found if x[1] is not None]
+                longer = [(t, np.zeros(len(t), np.int64), docs, hashes) for t, of, docs, hashes in found if of is None]
+                for parts, complete in ((whole, True), (longer, False)):
+                    if parts:
+                        terms, of, docs, n = _refolded(parts, complete)
+                        source = sources.dictionary.take(pa.array(of)) if complete else pa.repeat("", len(terms))
+                        columns = [pa.repeat(lang, len(terms)), source, terms, pa.repeat(not complete, len(terms))]
+                        yield pa.RecordBatch.from_arrays([*columns, pa.array(docs, pa.int64()), pa.array(n, pa.int64())], names=names)
 
     return run
 
 
 def kept_terms(docs: DataFrame, staging: Staging, min_docs: int = 3, first_level: int = FIRST_LEVEL) -> DataFrame:
-    """lang, source, term, n, lang_n: how often each kept term of a language occurs in each source that has it, and in all."""
+    """lang, source, term, n, lang_n, head: how often each kept term of a language occurs in each source that has it, and
+    in all; one of a term's rows is its head."""
     rows = docs.select(*(F.coalesce(c, F.lit("")).alias(c) for c in ("lang", "source", "text")))
     levels, alive, before, length = [], None, 0, first_level
     while alive is None or len(alive):
@@ -137,8 +156,10 @@ def kept_terms(docs: DataFrame, staging: Staging, min_docs: int = 3, first_level
         alive = bitmap(level.where(F.col("open") & (F.col("docs") >= min_docs)), "n")
         before, length = length, 2 * length
     counts = reduce(DataFrame.unionByName, levels).select("lang", "source", F.col("term").cast("string").alias("term"), "docs", "n")
-    enough = counts.groupBy("lang", "term").agg(F.sum("docs").alias("docs"), F.sum("n").alias("lang_n")).where(F.col("docs") >= min_docs)
-    return counts.join(enough.drop("docs"), ["lang", "term"]).select("lang", "source", "term", "n", "lang_n")
+    # A row for each source that has the term, at most.
+    same = Window.partitionBy("lang", "term")
+    sums = {"lang_docs": F.sum("docs").over(same), "lang_n": F.sum("n").over(same), "head": F.min("source").over(same) == F.col("source")}
+    return counts.withColumns(sums).where(F.col("lang_docs") >= min_docs).select("lang", "source", "term", "n", "lang_n", "head")
 
 
 def _share(n: Column, total: Column, terms: Column, add: int) -> Column:
@@ -208,17 +229,20 @@ def _pair_values(groups: DataFrame, shares: DataFrame) -> DataFrame:
     big = "decimal(38,0)"
     neither = divergence(F.col("g0"), F.col("h0"))
     base = pairs.select("g", "h", F.coalesce(F.col("terms").cast(big) * neither, F.lit(0)).cast(big).alias("gain"))
-    # A source's terms by share: what each adds against a source that lacks them, either way round.
-    shares_of = shares.groupBy("lang", "id", "p").agg(F.count(F.lit(1)).cast("decimal(18,0)").alias("times"))
-    mine = pairs.join(shares_of.select(F.col("id").alias("g"), "p", "times"), "g")
-    theirs = pairs.join(shares_of.select(F.col("id").alias("h"), "p", "times"), "h")
-    one = mine.select("g", "h", (F.col("times") * (divergence(F.col("p"), F.col("h0")) - neither)).cast(big).alias("gain"))
-    two = theirs.select("g", "h", (F.col("times") * (divergence(F.col("g0"), F.col("p")) - neither)).cast(big).alias("gain"))
+    # A source's terms by share: what they add against a source that lacks them, either way round.
+    shares_of = shares.groupBy("id", "p").agg(F.count(F.lit(1)).cast("decimal(18,0)").alias("times"))
+    alone = pairs.join(shares_of.withColumnRenamed("id", "g"), "g")
+    back = divergence(F.col("h0"), F.col("g0"))
+    alone = alone.groupBy("g", "h").agg(
+        F.sum(F.col("times") * (divergence(F.col("p"), F.col("h0")) - neither)).cast(big).alias("one"),
+        F.sum(F.col("times") * (divergence(F.col("h0"), F.col("p")) - back)).cast(big).alias("two"),
+    )
+    way = F.explode(F.array(F.struct("g", "h", F.col("one").alias("gain")), F.struct(F.col("h").alias("g"), F.col("g").alias("h"), F.col("two").alias("gain"))))
+    alone = alone.select(way.alias("x")).select("x.*")
     spread = shares.select(F.xxhash64("lang", "term").alias("t1"), F.xxhash64("term", "lang").alias("t2"), "id", "p", "p0")
     spread = spread.repartition(partitions(shares.sparkSession), "t1", "t2").sortWithinPartitions("t1", "t2")
     both = spread.mapInArrow(_shared_terms, "g long, h long, gain long").withColumn("gain", F.col("gain").cast(big))
-    every = base.unionByName(one).unionByName(two).unionByName(both)
-    return every.groupBy("g", "h").agg(F.sum("gain").cast("long").alias("value"))
+    return base.unionByName(alone).unionByName(both).groupBy("g", "h").agg(F.sum("gain").cast("long").alias("value"))
 
 
 def divergences(docs: DataFrame, min_docs: int = 3, add: int = 1, top: int = 200, first_level: int = FIRST_LEVEL) -> DataFrame:
@@ -227,8 +251,7 @@ def divergences(docs: DataFrame, min_docs: int = 3, add: int = 1, top: int = 200
     staging = Staging(docs.sparkSession)
     counts = staging.keep(kept_terms(docs, staging, min_docs, first_level), "kept")
     every = docs.select(*(F.coalesce(c, F.lit("")).alias(c) for c in ("lang", "source"))).distinct()
-    langs = counts.groupBy("lang", "term").agg(F.first("lang_n").alias("n")).groupBy("lang")
-    langs = langs.agg(F.sum("n").alias("lang_total"), F.count(F.lit(1)).alias("terms"))
+    langs = counts.groupBy("lang").agg(F.sum("n").alias("lang_total"), F.count(F.when(F.col("head"), 1)).alias("terms"))
     totals = counts.groupBy("lang", "source").agg(F.sum("n").alias("total"))
     groups = every.join(totals, ["lang", "source"], "left").join(langs, "lang", "left").withColumn("total", F.coalesce("total", F.lit(0)))
     groups = groups.withColumn("p0", _share(F.lit(0), F.col("total"), F.col("terms"), add)).withColumn("id", _group_id())

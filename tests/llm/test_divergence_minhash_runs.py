@@ -15,7 +15,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from muster.llm.common import bitmap, in_bitmap
-from muster.llm.minhash import CHUNKS, WIDTH, _shared_keys, drop_near_sets, keys_of, near_sets, shingle_sets
+from muster.llm.minhash import CHUNKS, WIDTH, _groups, _met, drop_near_sets, keys_of, near_sets, shingle_sets
 from muster.llm.periodic_runs import Run, dropped_words, periodic_runs, runs_of
 from muster.llm.source_divergence import divergences, kept_terms
 from muster.plans.staging import Staging
@@ -134,7 +134,7 @@ def found_near(df):
     return sorted((tuple(r) for r in df.select("doc_id", "n_shingles", "component_id", "kept").collect()), key=str)
 
 
-@pytest.mark.parametrize("most", [{}, {"tile": 3, "share": 2}])
+@pytest.mark.parametrize("most", [{}, {"tile": 3}, {"tile_bytes": 4000}])
 def test_near_sets(odd, most):
     rows = [(r.doc_id, r.text) for r in odd.select("doc_id", "text").collect()]
     for size, num, den in ((3, 85, 100), (5, 80, 100)):
@@ -153,7 +153,7 @@ def chain(n):
 def test_a_chain_comes_together(spark):
     rows = chain(40) + [(100 + i, "Few" if i else "few") for i in range(3)] + [(200, "two words"), (201, "TWO words")]
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
-    got = found_near(near_sets(docs, 3, 85, 100, tile=5, share=3))
+    got = found_near(near_sets(docs, 3, 85, 100, tile=5))
     assert got == brute_near(rows, 3, 85, 100)
     assert len([r for r in got if r[2] == 0]) == 40
 
@@ -184,15 +184,28 @@ def test_pairs_within_the_distance_meet():
         assert set(keys_of(one)[0].tolist()) & set(keys_of(two)[0].tolist())
 
 
-def test_shared_keys_over_batches():
+def test_nodes_that_meet_over_batches():
     rng = np.random.default_rng(4)
     keys = np.sort(rng.integers(0, 40, 60))
-    rows = [(int(k), i, 1) for i, k in enumerate(keys)]
+    rows = [(int(k), i) for i, k in enumerate(keys)]
+    first = {k: i for k, i in reversed(rows)}
+    want = sorted((first[k], i) for k, i in rows if (keys == k).sum() > 1)
     for cut in (1, 2, 7, 60):
         parts = [rows[i : i + cut] for i in range(0, len(rows), cut)]
-        batches = [pa.RecordBatch.from_arrays([pa.array([r[c] for r in p], pa.int64()) for c in range(3)], names=["key", "node", "n"]) for p in parts]
-        got = [n for b in _shared_keys(iter(batches)) for n in b.column("node").to_pylist()]
-        assert got == [i for k, i, _ in rows if (keys == k).sum() > 1]
+        batches = [pa.RecordBatch.from_arrays([pa.array([r[c] for r in p], pa.int64()) for c in range(2)], names=["key", "node"]) for p in parts]
+        got = [x for b in _met(iter(batches)) for x in zip(b.column("one").to_pylist(), b.column("node").to_pylist(), strict=True)]
+        assert sorted(got) == want
+
+
+def test_groups_over_batches():
+    rng = np.random.default_rng(5)
+    by = np.sort(rng.integers(0, 12, 50))
+    rows = [(int(x) // 3, int(x) % 3, i) for i, x in enumerate(by)]
+    for cut in (1, 3, 50):
+        parts = [rows[i : i + cut] for i in range(0, len(rows), cut)]
+        batches = [pa.RecordBatch.from_arrays([pa.array([r[c] for r in p], pa.int64()) for c in range(3)], names=["one", "tile", "node"]) for p in parts]
+        got = [b.column("node").to_pylist() for b in _groups(iter(batches))]
+        assert got == [np.flatnonzero(by == x).tolist() for x in np.unique(by)]
 
 
 def test_shingle_sets_of_short_texts():
