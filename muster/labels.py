@@ -53,6 +53,19 @@ POINT_MAP_SERVICE = {
     "contraception": "Contraception Service",
 }
 
+# Legend text of each colour on the provider maps.
+LEGEND = {
+    "pharm1st": {
+        "Green": "Opted in to PharmFirst and also registered for CPCS",
+        "Amber": "Opted in to PharmFirst but not registered for CPCS",
+        "Red": "Not opted in to PharmFirst yet",
+    },
+    "contraception": {
+        "Green": "Opted in to Contraception Service",
+        "Red": "Not opted in to Contraception Service yet",
+    },
+}
+
 # Column headings of the published tables.
 DISPLAY = {
     "total_contractors": "Total contractors",

@@ -136,8 +136,14 @@ def contractor_status(points: DataFrame, service: str) -> DataFrame:
 
 
 def draw_order() -> list[Column]:
-    """Row order within the layers."""
-    return [F.col("layer").desc(), F.col("draw_order").asc_nulls_last(), F.col("fcode").asc_nulls_last()]
+    """Row order inside a layer; the code and the row's own values break ties."""
+    return [F.col(c).asc_nulls_last() for c in ("draw_order", "fcode", "opt_in_date", "phone", "name", "postcode", "easting", "northing")]
+
+
+def legend(service: str) -> Column:
+    """The legend text of a provider's colour, NULL for a provider without one."""
+    texts = labels.LEGEND[service]
+    return F.create_map(*[F.lit(x) for pair in texts.items() for x in pair])[F.col("colour")]
 
 
 def with_lon_lat(points: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from muster import labels
@@ -29,6 +29,71 @@ def reconcile(opt_in: DataFrame, signups: DataFrame, roster: DataFrame) -> DataF
     ), roster)
 
 
+_LIST, _SIGNED, _ROSTER = "list", "signed", "roster"
+
+
+def _factors(opt_in: DataFrame, signups: DataFrame, roster: DataFrame) -> DataFrame:
+    """Distinct facts of each side with their rows, and beside each how many rows every side has for the provider."""
+    day, text = F.lit(None).cast("date"), F.lit(None).cast("string")
+    listed = opt_in.select(
+        F.col("ods_code").alias("fcode"), F.lit(_LIST).alias("side"), "opt_in_date", "registered_for_cpcs", "icb_code",
+        text.alias("service"), day.alias("registration_date"),
+    )
+    nothing = [day.alias("opt_in_date"), F.lit(None).cast("boolean").alias("registered_for_cpcs"), text.alias("icb_code")]
+    signed = signups.select("fcode", F.lit(_SIGNED).alias("side"), *nothing, "service", "registration_date")
+    known = roster.select("fcode", F.lit(_ROSTER).alias("side"), *nothing, text.alias("service"), day.alias("registration_date"))
+    rows = listed.unionByName(signed).unionByName(known)
+    folded = rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("n_rows"))
+    provider = Window.partitionBy("fcode")
+
+    def rows_of(rule) -> Column:
+        return F.coalesce(F.sum(F.when(rule, F.col("n_rows"))).over(provider), F.lit(0))
+
+    dated = F.col("registration_date").isNotNull()
+    return folded.withColumns(
+        {
+            "n_list": rows_of(F.col("side") == _LIST),
+            "n_dated": rows_of((F.col("side") == _SIGNED) & dated),
+            "n_undated": rows_of((F.col("side") == _SIGNED) & ~dated),
+            "n_roster": rows_of(F.col("side") == _ROSTER),
+        }
+    )
+
+
+def reconcile_factors(opt_in: DataFrame, signups: DataFrame, roster: DataFrame) -> DataFrame:
+    """:func:`reconcile` without its pairs: the distinct facts of each side, the rows that have each (``n_rows``) and the
+    rows of the provider on the other side (``n_other``). A fact stands for ``n_rows * max(n_other, 1)`` rows of the pairs
+    (before roster details), so a provider with m and n rows takes m + n at most, where the pairs take m * n.
+
+    A NULL code on either side is a provider like any other."""
+    signed = F.col("n_dated") + F.col("n_undated")
+    sides = _factors(opt_in, signups, roster).where(F.col("side") != _ROSTER)
+    return sides.select(
+        "fcode", "side", "opt_in_date", "registered_for_cpcs", "icb_code", "service", "registration_date", "n_rows",
+        F.when(F.col("side") == _LIST, signed).otherwise(F.col("n_list")).alias("n_other"),
+    )
+
+
+def reconcile_counts(opt_in: DataFrame, signups: DataFrame, roster: DataFrame) -> DataFrame:
+    """How many rows :func:`reconcile` has by (opt_in, check_reg, mismatch), from the facts of each side."""
+    facts = _factors(opt_in, signups, roster)
+    listed, times = F.col("side") == _LIST, F.greatest("n_roster", F.lit(1))
+    alone = F.col("n_dated") + F.col("n_undated") == 0
+    own, claim = F.col("registration_date").isNotNull(), F.col("registered_for_cpcs")
+
+    def row(check, rows) -> Column:
+        opted = listed & F.col("opt_in_date").isNotNull()
+        return F.struct(opted.alias("opt_in"), check.alias("check_reg"), (claim != check).alias("mismatch"), rows.alias("n"))
+
+    n = F.col("n_rows") * times
+    pairs = F.array(
+        row(F.lit(True), F.when(listed, n * F.col("n_dated")).when(own & (F.col("n_list") == 0), n)),
+        row(F.lit(False), F.when(listed, n * F.when(alone, F.lit(1)).otherwise(F.col("n_undated"))).when(~own & (F.col("n_list") == 0), n)),
+    )
+    told = facts.where(F.col("side") != _ROSTER).select(F.inline(pairs)).where("n > 0")
+    return told.groupBy("opt_in", "check_reg", "mismatch").agg(F.sum("n").alias("n_rows"))
+
+
 def reconcile_evidence(opt_in: DataFrame, facts: DataFrame, roster: DataFrame) -> DataFrame:
     """What the counts need of :func:`reconcile`, without pairing repeated rows.
 

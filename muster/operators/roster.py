@@ -33,6 +33,11 @@ def _latest_snapshot(pharm_list: DataFrame) -> Column:
     return pharm_list.agg(F.when(undated, failure).otherwise(F.max(month))).scalar()
 
 
+def latest_snapshot(pharm_list: DataFrame) -> DataFrame:
+    """The provider list's newest month, resolved by a subquery, so that a list stored by month reads that month only."""
+    return pharm_list.where(F.col("snapshot_month") == _latest_snapshot(pharm_list))
+
+
 def roster_latest(
     pharm_list: DataFrame,
     hundred_hour: DataFrame,
@@ -46,8 +51,7 @@ def roster_latest(
     The newest month is resolved by a subquery first, so a list stored by month reads that month only.
     Providers without an open contract, or whose contract type is missing or ``exclude``, are left out.
     """
-    latest = pharm_list.where(F.col("snapshot_month") == _latest_snapshot(pharm_list))
-    flagged = na_join(latest, hundred_hour.select("fcode", "hundred_hour"), "fcode", "left")
+    flagged = na_join(latest_snapshot(pharm_list), hundred_hour.select("fcode", "hundred_hour"), "fcode", "left")
     contracted = na_join(flagged, contractor, "fcode", "left").where(F.col("contract_type") != exclude)
     recoded = contracted.withColumns(
         {

@@ -212,11 +212,16 @@ def regional_scorecard(
 
 def region_icb_detail(icb_card: DataFrame, reconcile_icb: DataFrame, region: str | None = None) -> DataFrame:
     """Area scorecard with its reconciliation, for one region or for all of them at once."""
-    card = icb_card if region is None else icb_card.where(F.col("region_name") == region)
-    detail = na_join(card, reconcile_icb, "icb_code", "left")
+    return shown_detail(na_join(icb_card, reconcile_icb, "icb_code", "left"), region)
+
+
+def shown_detail(detail: DataFrame, region: str | None = None) -> DataFrame:
+    """The columns and order of the area detail."""
     order = by_uptake("icb_code")
     if region is None:
         order = [F.col("region_name").asc_nulls_last(), *order]
+    else:
+        detail = detail.where(F.col("region_name") == region)
     return detail.orderBy(*order).select(
         "region_name",
         F.coalesce("icb", F.lit(labels.UNKNOWN_AREA_DETAIL)).alias("icb"),

@@ -1,4 +1,4 @@
-"""Weekly series, long tables and the headline row."""
+"""Weekly series and long tables."""
 
 from __future__ import annotations
 
@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from muster import labels
-from muster.functions import date_text, max_na, min_na
+from muster.functions import max_na, min_na
 from muster.operators.scorecards import ROSTER, service_facts, with_provider_flags
 
 _PCT = ["pct_pharm1st", "pct_pharm1st_100_hour", "pct_contraception"]
@@ -52,36 +52,3 @@ def trend_range(trend: DataFrame, na_rm: bool = False) -> DataFrame:
 def regional_long(regional: DataFrame) -> DataFrame:
     """The three percentages of each region in long form, missing values kept."""
     return regional.unpivot("region", _PCT, "service", "value")
-
-
-def narrative(
-    national: DataFrame, last_dates: DataFrame, bp: DataFrame, roster_date: DataFrame, signup_count: DataFrame
-) -> DataFrame:
-    """Every number of the headline text in one row; the arguments are one-row frames."""
-
-    def packed(df: DataFrame):
-        return df.select(F.struct(*df.columns)).scalar()
-
-    one = national.select(
-        "*",
-        packed(last_dates).alias("l"),
-        packed(bp).alias("b"),
-        packed(roster_date).alias("r"),
-        packed(signup_count).alias("s"),
-    )
-    return one.select(
-        "l.last_pharm1st",
-        "pharm1st_opted_in",
-        "pct_pharm1st",
-        "pharm1st_100_hour",
-        "s.signup_valid",
-        "r.roster_date",
-        "l.last_contraception",
-        "contraception_opted_in",
-        "pct_contraception",
-        F.col("b.last_date").alias("last_bp"),
-        F.col("b.total").alias("bp_total"),
-        F.col("b.invalid").alias("bp_invalid"),
-        (F.col("b.total") - F.col("b.invalid")).alias("bp_valid"),
-        F.col("b.new_registrations").alias("bp_new"),
-    )

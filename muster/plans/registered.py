@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from muster import labels
@@ -14,8 +15,10 @@ from muster.operators.joins import first_by, na_join
 from muster.plans.session import tune
 from muster.plans.staging import Staging
 from muster.plans.weekly import WeeklyPack, weekly_report
+from muster.sinks import with_position
 from muster.sinks.report import HEADINGS
 from muster.sources import readers
+from muster.sources.inputs import LOOKUPS, SHEETS, STORED, Inputs, Source
 from muster.sources.sample_tables import AS_OF, LONDON, SERVICE, SINCE, sample_inputs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,7 +34,12 @@ def _over(build: Callable[[WeeklyPack], DataFrame]) -> Query:
 
 def _numbered_choropleth(pack: WeeklyPack, measure: str) -> DataFrame:
     """Breaks as text, so that the table is flat."""
-    table = pack.area_map(measure, na_rm=True)
+    return _broken_out(pack.area_map(measure, na_rm=True))
+
+
+def _broken_out(table: DataFrame) -> DataFrame:
+    if "breaks" not in table.columns:
+        return table
     return table.withColumn("breaks", F.array_join(F.transform("breaks", lambda b: F.format_string("%.3f", b)), ","))
 
 
@@ -129,14 +137,58 @@ def _landed_postcodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readers.read_postcodes(spark, path)
 
 
+def _feature() -> Column:
+    """An area as the text of a GeoJSON feature."""
+    named = F.to_json(F.struct("icb_code", "icb_name"), {"ignoreNullFields": "false"})
+    return F.concat(F.lit('{"type": "Feature", "properties": '), named, F.lit(', "geometry": '), "geometry", F.lit("}"))
+
+
 def _landed_boundaries(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{Staging(spark).folder}/areas.geojsonl"
-    _pack(spark, sf_dir).inputs.boundaries.select(
-        F.lit("Feature").alias("type"),
-        F.struct("icb_code", "icb_name").alias("properties"),
-        F.from_json("geometry", "type string, coordinates array<string>").alias("geometry"),
-    ).write.json(path)
-    return readers.read_boundaries(spark, path, lines=True).select("icb_code", "icb_name")
+    _pack(spark, sf_dir).inputs.boundaries.select(_feature()).write.text(path)
+    return readers.read_boundaries(spark, path, lines=True)
+
+
+def _landed_collection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The boundaries as one feature collection, several lines long, cut into its features."""
+    path = f"{Staging(spark).folder}/areas.geojson"
+    features = _pack(spark, sf_dir).inputs.boundaries.agg(F.array_join(F.collect_list(_feature()), ",\n").alias("all"))
+    whole = F.concat(F.lit('{"type": "FeatureCollection", "name": "areas",\n"features": [\n'), "all", F.lit("\n]}\n"))
+    features.select(whole).write.text(path)
+    return readers.read_boundaries(spark, path)
+
+
+def _stored(name: str, kind: str, *split: str) -> Callable[[SparkSession, str], WeeklyPack]:
+    """A report run whose input ``name`` lies in storage, the others being frames."""
+
+    def run(spark: SparkSession, sf_dir: str) -> WeeklyPack:
+        folder, inputs = Staging(spark).folder, sample_inputs(tune(spark), sf_dir)
+        getattr(inputs, name).write.partitionBy(*split).parquet(f"{folder}/{name}")
+        place = f"{folder}/{name}"
+        if kind == "table":
+            place = f"stored_{name}"
+            spark.read.parquet(f"{folder}/{name}").createOrReplaceTempView(place)
+        rest = {n: getattr(inputs, n) for n in (*STORED, *SHEETS, *LOOKUPS) if n != name}
+        return WeeklyPack(Inputs.from_sources(spark, **rest, **{name: Source(kind, place)}), AS_OF, SINCE, SERVICE)
+
+    return run
+
+
+def _stored_pharm_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return roster.latest_snapshot(_stored("pharm_list", "parquet", "snapshot_month")(spark, sf_dir).inputs.pharm_list)
+
+
+def _ordered(build: Callable[[WeeklyPack], DataFrame], groups: list[str], order: Callable[[], list], *columns: str) -> Query:
+    """A table's stored order: each row's position."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return with_position(build(_pack(spark, sf_dir)), groups, order(), Staging(spark), "ordered").select("position", *columns)
+
+    return run
+
+
+def _uptake(*ties: str) -> Callable[[], list]:
+    return lambda: [F.col("pct_pharm1st").desc_nulls_last(), *[F.col(c).asc_nulls_last() for c in ties]]
 
 
 #: Folders of the report by application and tables: one run serves every query that reads it back.
@@ -163,10 +215,44 @@ def _written(table: str, shape: Callable[[WeeklyPack], DataFrame]) -> Query:
     return run
 
 
+def _deck(name: str) -> Query:
+    """A table of the deck, found by the manifest and read back."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        path = _report(spark, sf_dir)[f"Deck {name}"]
+        return _broken_out(spark.read.parquet(path))
+
+    return run
+
+
+def _folder(path: Column, out: Column) -> Column:
+    return F.substring(path, F.length(out) + 2, F.lit(1 << 20))
+
+
+def _manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The deck's manifest: every table with its folder and rows."""
+    trend = _report(spark, sf_dir)["Deck trend"]
+    out = trend.removesuffix("/trend").rpartition("/")[0]
+    notes = spark.read.schema("path string, n_rows bigint, `table` string").json(f"{trend.removesuffix('/trend')}/manifest")
+    return notes.select("table", _folder(F.col("path"), F.lit(out)).alias("folder"), "n_rows")
+
+
+def _folders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The dated names of the sheets, the region folder and the map layers, with the rows found under each."""
+    written = _report(spark, sf_dir)
+    out = written["By region"].rpartition("/")[0]
+    parts = []
+    for name in (*labels.SHEETS, "By region", "Map layers"):
+        back = spark.read.parquet(written[name]) if name == "Map layers" else spark.read.option("header", True).csv(written[name])
+        counted = back.agg(F.count(F.lit(1)).alias("n_rows"))
+        parts.append(counted.select(F.lit(name).alias("name"), _folder(F.lit(written[name]), F.lit(out)).alias("folder"), "n_rows"))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def _written_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(_report(spark, sf_dir)["Map layers"]).select(
         "service", "layer", "colour", "draw_order", "fcode", "name", "phone", "lpc", "icb", "region_name", "opt_in_date",
-        "postcode", "title", F.round("lon", 5).alias("lon"), F.round("lat", 5).alias("lat"),
+        "postcode", "title", "legend", "position", F.round("lon", 5).alias("lon"), F.round("lat", 5).alias("lat"),
     )
 
 
@@ -200,6 +286,8 @@ def queries() -> dict[str, Query]:
         # Reconciliation
         "reconcile": _over(lambda p: p.reconciled_rows),
         "reconcile_evidence": _over(lambda p: p.evidence.distinct()),
+        "reconcile_factors": _over(lambda p: p.reconcile_factors),
+        "reconcile_counts": _over(lambda p: p.reconcile_counts),
         "signup_valid_count": _over(lambda p: p.signup_count),
         "reconcile_by_icb": _over(lambda p: p.reconcile_by_icb),
         "reconcile_pharmacy_list": _over(lambda p: p.pharmacy_list),
@@ -278,6 +366,10 @@ def queries() -> dict[str, Query]:
         "membership_typed_keys": _typed_membership,
         "landed_postcodes": _landed_postcodes,
         "landed_boundaries": _landed_boundaries,
+        "landed_boundaries_collection": _landed_collection,
+        "stored_contractor": lambda spark, sf_dir: _stored("ref_contractor", "parquet")(spark, sf_dir).contractor,
+        "stored_icb_short": lambda spark, sf_dir: _stored("icb_short", "table")(spark, sf_dir).inputs.icb_short,
+        "stored_pharm_list": _stored_pharm_list,
         # Sinks
         "report_national": _written("National", lambda p: p.national),
         "report_regional": _written("Regional", lambda p: p.regional),
@@ -285,7 +377,20 @@ def queries() -> dict[str, Query]:
         "report_pharmacy_level": _written("Pharmacy Level", lambda p: p.pharmacy_list),
         "report_by_region": _written("By region", lambda p: p.region_detail()),
         "report_map_layers": _written_layers,
+        "report_folders": _folders,
+        "report_manifest": _manifest,
+        "order_icb": _ordered(
+            lambda p: p.icb_card, [], _uptake("icb_code", "region_name"), "icb_code", "region_name", "pct_pharm1st"
+        ),
+        "order_regional": _ordered(lambda p: p.regional, [], _uptake("region"), "region", "pct_pharm1st"),
+        "order_region_detail": _ordered(
+            lambda p: p.region_detail(), ["region_name"],
+            _uptake("icb", "total_contractors", "pharm1st_opted_in", "contraception_opted_in"),
+            "region_name", "icb", "pct_pharm1st",
+        ),
     }
+    for name in ("trend", "trend_range", "headline", "regional_long", f"map_{p1}", f"map_{oc}", f"map_{gap}"):
+        out[f"deck_{name}"] = _deck(name)
     for part in ("trend", "headline", "regional", "icb", "map"):
         out[f"contraception_{part}"] = _over(lambda p, part=part: _flat(p.contraception_pack()[part]))
     return out

@@ -22,16 +22,16 @@ class Staging:
     """Writes tables under a folder of its own for one run."""
 
     def __init__(self, spark: SparkSession, parent: str | None = None):
-        self._spark = spark
+        self.spark = spark
         self.folder = f"{parent or shared_folder(spark)}/muster-run-{uuid.uuid4().hex}"
 
     def keep(self, df: DataFrame, name: str) -> DataFrame:
         """Write ``df`` and return it as read back."""
         path = f"{self.folder}/{name}"
         df.write.mode("error").parquet(path)
-        return self._spark.read.schema(df.schema).parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, name: str = "") -> None:
         """Delete one table, or the whole folder of the run; nothing may read it afterwards."""
-        path = self._spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{name}".rstrip("/"))
-        path.getFileSystem(self._spark._jsc.hadoopConfiguration()).delete(path, True)
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{name}".rstrip("/"))
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from datetime import date
 from functools import cached_property
 
@@ -10,10 +10,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from muster import labels
-from muster.operators import maps, reconcile, registrations, roster, scorecards, trends
+from muster.operators import maps, provider_facts, reconcile, registrations, roster, scorecards, trends
 from muster.operators.joins import assert_unique
 from muster.plans.staging import Staging
-from muster.sinks import write_by_region, write_points, write_report
+from muster.sinks import Deck, with_position, write_by_region, write_points, write_report
 from muster.sources.inputs import Inputs
 
 # Fixed value: registrations and new sign-ups count from this day.
@@ -101,6 +101,14 @@ class WeeklyPack:
     def reconciled_rows(self) -> DataFrame:
         return reconcile.reconcile(self.inputs.pharm1st, self.signups, self.roster)
 
+    @cached_property
+    def reconcile_factors(self) -> DataFrame:
+        return reconcile.reconcile_factors(self.inputs.pharm1st, self.signups, self.roster)
+
+    @cached_property
+    def reconcile_counts(self) -> DataFrame:
+        return reconcile.reconcile_counts(self.inputs.pharm1st, self.signups, self.roster)
+
     @cached_property
     def evidence(self) -> DataFrame:
         return self._keep(
@@ -154,8 +162,20 @@ class WeeklyPack:
     def regional(self) -> DataFrame:
         return scorecards.regional_scorecard(self.icb_card, self.region_labels)
 
+    def _list_rows(self) -> DataFrame:
+        i = self.inputs
+        gone = registrations.latest_deregistrations(i.service_deregistrations, self.service)
+        signed = registrations.latest_registrations(i.service_registrations, self.service)
+        return provider_facts.list_rows(i.pharm1st, self.contraception, i.bp_reg, self.roster, signed, gone, self.since)
+
+    @cached_property
+    def area_detail(self) -> DataFrame:
+        """Scorecard and reconciliation of every area from one fold of all lists."""
+        folded = provider_facts.fold(self._list_rows(), ["icb_code"])
+        return self._keep(provider_facts.area_detail(folded, self.inputs.icb_short, self.contractor), "area_detail")
+
     def region_detail(self, region: str | None = None) -> DataFrame:
-        return scorecards.region_icb_detail(self.icb_card, self.reconcile_by_icb, region)
+        return scorecards.shown_detail(self.area_detail, region)
 
     # Trends and text -----------------------------------------------------------------------------
 
@@ -166,14 +186,12 @@ class WeeklyPack:
     def last_dates(self, na_rm: bool = False) -> DataFrame:
         return registrations.last_dates(self.inputs.pharm1st, self.contraception, na_rm)
 
+    @cached_property
+    def _provider_facts(self) -> DataFrame:
+        return self._keep(provider_facts.fold(self._list_rows()), "provider_facts")
+
     def narrative(self, na_rm: bool = False) -> DataFrame:
-        return trends.narrative(
-            self.national,
-            self.last_dates(na_rm),
-            self.bp_figures,
-            roster.roster_date(self.roster),
-            self.signup_count,
-        )
+        return provider_facts.headline(self._provider_facts, na_rm)
 
     # Maps ----------------------------------------------------------------------------------------
 
@@ -199,11 +217,27 @@ class WeeklyPack:
     def map_layers(self) -> DataFrame:
         """Points of both services with longitude and latitude, ready for a web map."""
         layers = [
-            self.status(s).withColumn("service", F.lit(s)).withColumn("title", self.point_title(s))
+            self.status(s).withColumns({"service": F.lit(s), "title": self.point_title(s), "legend": maps.legend(s)})
             for s in (labels.PHARM1ST, labels.CONTRACEPTION)
         ]
         return maps.with_lon_lat(layers[0].unionByName(layers[1]))
 
+    def drawn_layers(self, staging: Staging) -> DataFrame:
+        """The layers with each point's drawing position."""
+        return with_position(self.map_layers(), ["service", "layer"], maps.draw_order(), staging, "drawn")
+
+    # Deck ----------------------------------------------------------------------------------------
+
+    def deck(self) -> dict[str, Callable[[], DataFrame]]:
+        """The tables behind the slides, each built on first use."""
+        return {
+            "trend": lambda: self.trend,
+            "trend_range": lambda: trends.trend_range(self.trend, na_rm=True),
+            "headline": lambda: self.narrative(na_rm=True),
+            "regional_long": lambda: trends.regional_long(self.regional),
+            **{f"map_{m}": lambda m=m: self.area_map(m, na_rm=True) for m in maps.MEASURES},
+        }
+
     # Contraception-only pack ---------------------------------------------------------------------
 
     def contraception_pack(self) -> dict[str, DataFrame]:
@@ -229,17 +263,19 @@ def weekly_report(
     since: date = DEFAULT_SINCE,
     service: str = labels.CPCS_SERVICE,
     strict_keys: bool = False,
+    resume: bool = False,
 ) -> dict[str, str]:
-    """Write the four-sheet report, the per-region detail and the map layers; returns the folder of each.
+    """Write the four-sheet report, the per-region detail, the map layers and the deck's tables; returns the folder of each.
 
     Tables that several outputs need are written once to the shared folder and deleted at the end; a run that fails
     says where they are. ``strict_keys`` refuses inputs
-    in which a provider or an area's region repeats, where sums over areas would count twice.
+    in which a provider or an area's region repeats, where sums over areas would count twice. ``resume`` keeps the deck's
+    tables that an earlier run over the same inputs has completed.
     """
     staging = Staging(inputs.pharm_list.sparkSession)
     pack = WeeklyPack(inputs, as_of, since, service, staging=staging)
     try:
-        written = _write_all(pack, out_dir, as_of, strict_keys)
+        written = _write_all(pack, staging, out_dir, as_of, strict_keys, resume)
     except Exception as error:
         error.add_note(f"tables of this run are left in {staging.folder}")
         raise
@@ -247,7 +283,7 @@ def weekly_report(
     return written
 
 
-def _write_all(pack: WeeklyPack, out_dir: str, as_of: date, strict_keys: bool) -> dict[str, str]:
+def _write_all(pack: WeeklyPack, staging: Staging, out_dir: str, as_of: date, strict_keys: bool, resume: bool) -> dict[str, str]:
     if strict_keys:
         assert_unique(pack.roster, ["fcode"])
         assert_unique(pack.inputs.hundred_hour, ["fcode"])
@@ -255,5 +291,8 @@ def _write_all(pack: WeeklyPack, out_dir: str, as_of: date, strict_keys: bool) -
     tables = (pack.national, pack.regional, scorecards.icb_display(pack.icb_card), pack.pharmacy_list)
     written = write_report(dict(zip(labels.SHEETS, tables, strict=True)), out_dir, as_of)
     written["By region"] = write_by_region(pack.region_detail(), out_dir, as_of)
-    written["Map layers"] = write_points(pack.map_layers(), out_dir, as_of)
+    written["Map layers"] = write_points(pack.drawn_layers(staging), out_dir, as_of)
+    deck = Deck(staging.spark, out_dir, as_of, resume)
+    for name, build in pack.deck().items():
+        written[f"Deck {name}"] = deck.write(name, build)
     return written

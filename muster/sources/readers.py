@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import re
+import uuid
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from muster.functions import parse_date
+from muster.plans.staging import Staging
 from muster.sources.schemas import POSITIONAL, PREFIXES, SCHEMAS, Field
 
 
@@ -47,9 +51,9 @@ def conform(df: DataFrame, name: str) -> DataFrame:
     return df.select(*picked)
 
 
-def read_table(spark: SparkSession, name: str, path: str | None = None) -> DataFrame:
-    """An input stored as Parquet at ``path``, or as the catalog table ``name``."""
-    source = spark.read.parquet(path) if path else spark.table(name)
+def read_table(spark: SparkSession, name: str, path: str | None = None, table: str | None = None) -> DataFrame:
+    """An input stored as Parquet at ``path``, or as a catalog table (``table``, or its own name)."""
+    source = spark.read.parquet(path) if path else spark.table(table or name)
     return conform(source, name)
 
 
@@ -89,59 +93,79 @@ def find_one(spark: SparkSession, folder: str, prefix: str) -> str:
 _BROKEN = "__broken_row"
 
 
-def unreadable(df: DataFrame, name: str) -> dict[str, int]:
-    """What would be lost in ``conform``: non-empty text that does not parse, by column, and broken rows."""
-    typed = conform(df.drop(_BROKEN), name)
-    raw = df
+def _checks(raw: DataFrame, name: str) -> dict[str, Column]:
+    """Counts of what would be lost in ``conform``: non-empty text that does not parse, by column, and broken rows."""
+    typed = conform(raw.drop(_BROKEN), name).schema
+    named = raw
     if name in POSITIONAL:
-        raw = df.toDF(*[f.name for f in SCHEMAS[name]], *[c for c in df.columns if c == _BROKEN])
-    types = {f.name: f.dataType for f in raw.schema}
-    counts = [F.count(F.lit(1)).alias("rows"), F.max(_quoted(raw.columns[0])).alias("any")]
-    checked = []
+        named = raw.drop(_BROKEN).toDF(*[f.name for f in SCHEMAS[name]])
+    shown = dict(zip(named.columns, raw.columns, strict=False))
+    types = {f.name: f.dataType for f in named.schema}
+    found = {}
     for field in SCHEMAS[name]:
         source = next(n for n in (field.name, field.heading) if n in types)
-        if isinstance(types[source], T.StringType) and typed.schema[field.name].dataType != types[source]:
-            lost = (F.trim(_quoted(source)) != "") & _typed(_quoted(source), types[source], field).isNull()
-            counts.append(F.count_if(lost).alias(field.name))
-            checked.append(field.name)
-    if _BROKEN in df.columns:
-        counts.append(F.count_if(_quoted(_BROKEN).isNotNull()).alias(_BROKEN))
-        checked.append(_BROKEN)
-    if not checked:
-        return {}
-    found = raw.agg(*counts).first()
-    return {("broken rows" if c == _BROKEN else c): found[c] for c in checked if found[c]}
+        if isinstance(types[source], T.StringType) and typed[field.name].dataType != types[source]:
+            text = _quoted(shown[source])
+            found[field.name] = F.count_if((F.trim(text) != "") & _typed(text, types[source], field).isNull())
+    if _BROKEN in raw.columns:
+        found["broken rows"] = F.count_if(_quoted(_BROKEN).isNotNull())
+    return found
+
+
+def _landed_once(raw: DataFrame, name: str, path: str, tolerate: dict[str, int] | None, staging: Staging | None) -> DataFrame:
+    """A text input typed and written as Parquet in the one pass that also counts what it would lose.
+
+    Anything lost is an error with its counts, except as many as ``tolerate`` allows; what is tolerated becomes NULL and
+    broken rows go. Later passes read typed columns and never parse the text again.
+    """
+    checks = _checks(raw, name)
+    if not checks:
+        return conform(raw, name)
+    staging = staging or Staging(raw.sparkSession)
+    seen = Observation(f"{name} {uuid.uuid4().hex}")
+    watched = raw.observe(seen, *[c.alias(f"c{i}") for i, c in enumerate(checks.values())])
+    whole = watched.where(_quoted(_BROKEN).isNull()) if _BROKEN in raw.columns else watched
+    table = f"landed-{name}-{uuid.uuid4().hex}"
+    kept = staging.keep(conform(whole.drop(_BROKEN), name), table)
+    lost = {what: seen.get[f"c{i}"] for i, what in enumerate(checks)}
+    beyond = {what: n for what, n in lost.items() if n > (tolerate or {}).get(what, 0)}
+    if beyond:
+        staging.drop(table)
+        raise ValueError(f"{name}: unreadable in {path}: {beyond}")
+    return kept
+
+
+def _csv(spark: SparkSession, path: str, multi_line: bool) -> DataFrame:
+    """Every column as text, and the text of rows that do not have the headings' width."""
+    reader = spark.read.option("header", True).option("multiLine", multi_line)
+    # Both quotes of a value doubled inside are the sheets' way to write one.
+    reader = reader.option("escape", '"')
+    # Rows are measured whole, whichever columns are wanted.
+    reader = reader.option("columnPruning", False)
+    headings = reader.csv(path).columns
+    every = T.StructType([T.StructField(h, T.StringType()) for h in (*headings, _BROKEN)])
+    return reader.schema(every).option("columnNameOfCorruptRecord", _BROKEN).csv(path)
 
 
 def read_sheet(
-    spark: SparkSession, path: str, name: str, multi_line: bool = True, tolerate: dict[str, int] | None = None
+    spark: SparkSession,
+    path: str,
+    name: str,
+    multi_line: bool = True,
+    tolerate: dict[str, int] | None = None,
+    staging: Staging | None = None,
 ) -> DataFrame:
     """An input landed as CSV with a heading row, or as Parquet (the form for large inputs).
 
     ``multi_line`` reads quoted line breaks as part of their value, each file in one task; without it files are
-    split, and a row with a line break is broken. One pass counts rows that do not have the headings' width and
-    texts that are not the date, number or truth value they should be; any is an error, except as many as
-    ``tolerate`` allows by column (or under ``broken rows``). What is tolerated becomes NULL; broken rows go.
+    split, and a row with a line break is broken. The text is read once: it is written as typed Parquet (in ``staging``, or a
+    folder of its own) while rows that do not have the headings' width, and texts that are not the date, number or truth
+    value they should be, are counted. Any is an error, except as many as ``tolerate`` allows by column (or under ``broken
+    rows``). What is tolerated becomes NULL; broken rows go.
     """
-    if path.rstrip("/").lower().endswith(".parquet"):
-        raw = spark.read.parquet(path)
-    else:
-        reader = spark.read.option("header", True).option("multiLine", multi_line)
-        # Both quotes of a value doubled inside are the sheets' way to write one.
-        reader = reader.option("escape", '"')
-        # Rows are measured whole, whichever columns are wanted.
-        reader = reader.option("columnPruning", False)
-        headings = reader.csv(path).columns
-        every = T.StructType([T.StructField(h, T.StringType()) for h in (*headings, _BROKEN)])
-        raw = reader.schema(every).option("columnNameOfCorruptRecord", _BROKEN).csv(path)
-    lost = unreadable(raw, name)
-    allowed = tolerate or {}
-    beyond = {what: n for what, n in lost.items() if n > allowed.get(what, 0)}
-    if beyond:
-        raise ValueError(f"{name}: unreadable in {path}: {beyond}")
-    if "broken rows" in lost:
-        raw = raw.where(_quoted(_BROKEN).isNull())
-    return conform(raw.drop(_BROKEN), name)
+    columnar = path.rstrip("/").lower().endswith(".parquet")
+    raw = spark.read.parquet(path) if columnar else _csv(spark, path, multi_line)
+    return _landed_once(raw, name, path, tolerate, staging)
 
 
 def read_landed(spark: SparkSession, folder: str, name: str, **options) -> DataFrame:
@@ -149,11 +173,14 @@ def read_landed(spark: SparkSession, folder: str, name: str, **options) -> DataF
     return read_sheet(spark, find_one(spark, folder, PREFIXES[name]), name, **options)
 
 
-def read_postcodes(spark: SparkSession, path: str) -> DataFrame:
-    """Postcode directory: of its many columns only the three declared ones are parsed, and files are split."""
-    if path.rstrip("/").lower().endswith(".parquet"):
-        return conform(spark.read.parquet(path), "postcodes")
-    return conform(spark.read.option("header", True).option("multiLine", False).csv(path), "postcodes")
+def read_postcodes(
+    spark: SparkSession, path: str, tolerate: dict[str, int] | None = None, staging: Staging | None = None
+) -> DataFrame:
+    """Postcode directory, checked like a sheet in the one pass that reads it; files are split, so a quoted line break
+    is a broken row. Its many columns are measured and only the three declared ones are kept."""
+    columnar = path.rstrip("/").lower().endswith(".parquet")
+    raw = spark.read.parquet(path) if columnar else _csv(spark, path, multi_line=False)
+    return _landed_once(raw, "postcodes", path, tolerate, staging)
 
 
 _FEATURE = T.StructType(
@@ -168,17 +195,51 @@ _FEATURE = T.StructType(
 )
 
 
+#: How writers begin a feature; what stands between its first two keys differs.
+_FEATURE_START = r'\{\s*"type"\s*:\s*"Feature"\s*,\s*'
+
+
+def _feature_start(spark: SparkSession, path: str) -> str | None:
+    """The text with which the first feature of a collection begins, from the head of its first file."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    inside = sorted(str(e.getPath()) for e in files.listStatus(folder) if e.isFile() and e.getPath().getName()[0] not in "._")
+    if not inside:
+        return None
+    stream = files.open(spark._jvm.org.apache.hadoop.fs.Path(inside[0]))
+    try:
+        head = bytes(stream.readNBytes(_HEAD)).decode("utf-8", "ignore")
+    finally:
+        stream.close()
+    found = re.search(_FEATURE_START, head)
+    return found.group(0) if found else None
+
+
+_HEAD = 1 << 16
+
+
 def read_boundaries(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
     """Area boundaries: code, name and the shape as opaque JSON text.
 
     ``path`` is a GeoJSON feature collection, or with ``lines=True`` one feature per line, or Parquet with those
-    three columns. Spark splits the latter two across tasks however large the file; a collection is one record, read
-    whole by one task, and is for small files only.
+    three columns. Spark splits all three across tasks however large the file: a collection is cut where its features
+    begin, by the very text with which its first feature begins (quotes inside a value are escaped, so the cut cannot fall
+    into one). A piece that is no feature with properties and a shape is an error, so a collection whose features are
+    written in several ways is refused rather than read in part. One whose first feature does not begin with its type
+    is read whole by one task.
     """
     if path.rstrip("/").lower().endswith(".parquet"):
         return spark.read.parquet(path).select("icb_code", "icb_name", "geometry")
     if lines:
         feature = spark.read.schema(_FEATURE).json(path)
+    elif start := _feature_start(spark, path):
+        pieces = spark.read.option("lineSep", start).text(path)
+        # What comes before the first feature is the collection's own head.
+        body = pieces.where(~F.ltrim("value").startswith("{") & (F.trim("value") != ""))
+        read = F.from_json(F.concat(F.lit("{"), F.col("value")), _FEATURE)
+        broken = F.raise_error(F.concat(F.lit("not a feature: "), F.substring("value", 1, 80)))
+        whole = read["properties"].isNotNull() & read["geometry"].isNotNull()
+        feature = body.select(F.when(whole, read).otherwise(broken.cast(_FEATURE)).alias("f")).select("f.*")
     else:
         whole = T.StructType([T.StructField("features", T.ArrayType(_FEATURE))])
         collection = spark.read.schema(whole).option("multiLine", True).json(path)

@@ -130,7 +130,7 @@ class _Tables:
         return self._table("nation").selectExpr(
             f"case when n_nationkey <> 9 then {_area('n_nationkey')} end as icb_code",
             "case when n_nationkey <> 16 then n_name end as icb_name",
-            """'{"type":"MultiPolygon","coordinates":[]}' as geometry""",
+            """concat('{"type":"Polygon","coordinates":[[[', n_nationkey, ',1.5],[2,', n_regionkey, '],[0,-3]]]}') as geometry""",
         )
 
     def _events(self, kind: str) -> DataFrame:

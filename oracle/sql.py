@@ -47,7 +47,7 @@ _OPTED = "case when k = 40 then null else value > 15 end"
 # Common table expressions in dependency order; DuckDB evaluates only those a statement reaches.
 CTES = {
     "geo": f"""
-select n_nationkey, n_name,
+select n_nationkey, n_name, n_regionkey,
   case when n_nationkey = 24 then 'Q62' when n_nationkey = 23 then 'QRV'
        else {_code("Q", "n_nationkey", 2)} end as stp,
   case when n_nationkey = 7 then null else concat('Y', cast(r_regionkey as varchar)) end as region_code,
@@ -86,7 +86,8 @@ select icb_code, short_icb_name,
 from icb_short""",
     "boundaries": """
 select case when n_nationkey = 9 then null else stp end as icb_code,
-  case when n_nationkey = 16 then null else n_name end as icb_name
+  case when n_nationkey = 16 then null else n_name end as icb_name,
+  concat('{"type":"Polygon","coordinates":[[[', n_nationkey, ',1.5],[2,', n_regionkey, '],[0,-3]]]}') as geometry
 from geo""",
     "event": f"""
 select event_id, event_type, value, cast(ts as date) as d, {_K} as k, user_id * 10 + event_id % 10 as ckey
@@ -508,15 +509,65 @@ from national n, bp_figures b, signup_figures s"""
         "from (select o_orderkey, case when o_orderkey % 10 <> 0 then o_custkey end as custkey from orders)",
         "landed_postcodes": "select * from postcodes",
         "landed_boundaries": "select * from boundaries",
+        "landed_boundaries_collection": "select * from boundaries",
+        "stored_contractor": "select * from contractor",
+        "stored_icb_short": "select * from icb_short",
+        "stored_pharm_list": "select * from pharm_list where snapshot_month = (select max(snapshot_month) from pharm_list)",
+        "reconcile_factors": "select ods_code as fcode, 'list' as side, opt_in_date, registered_for_cpcs, icb_code, "
+        "cast(null as varchar) as service, cast(null as date) as registration_date, count(*) as n_rows, "
+        "(select count(*) from signups s where s.fcode is not distinct from p.ods_code) as n_other "
+        "from pharm1st p group by all union all "
+        "select fcode, 'signed', cast(null as date), cast(null as boolean), cast(null as varchar), service, "
+        "registration_date, count(*), (select count(*) from pharm1st p where p.ods_code is not distinct from s.fcode) "
+        "from signups s group by all",
+        "reconcile_counts": "select opt_in, check_reg, mismatch, count(*) as n_rows from reconciled group by all",
+        "order_icb": "select row_number() over (order by pct_pharm1st desc nulls last, icb_code nulls last, "
+        "region_name nulls last) as position, icb_code, region_name, pct_pharm1st from card",
+        "order_regional": "select row_number() over (order by pct_pharm1st desc nulls last, region nulls last) as position, "
+        "region, pct_pharm1st from regional",
+        "order_region_detail": "select row_number() over (partition by region_name order by pct_pharm1st desc nulls last, "
+        "icb nulls last, total_contractors nulls last, pharm1st_opted_in nulls last, contraception_opted_in nulls last) "
+        "as position, region_name, icb, pct_pharm1st from detail",
+        "report_manifest": " union all ".join(
+            f"select '{name}' as \"table\", 'deck_2024-01-31/{name}' as folder, count(*) as n_rows from {table}"
+            for name, table in (
+                ("trend", "trend"),
+                ("trend_range", "(select 1)"),
+                ("headline", "(select 1)"),
+                ("regional_long", "(select * from regional, range(3))"),
+                ("map_pharm1st", "card t join boundaries n on t.icb_code is not distinct from n.icb_code where n.icb_name is not null"),
+                ("map_contraception", "card t join boundaries n on t.icb_code is not distinct from n.icb_code where n.icb_name is not null"),
+                ("map_signup_gap", "reconcile_icb t join boundaries n on t.icb_code is not distinct from n.icb_code where n.icb_name is not null"),
+            )
+        ),
         "report_national": "select * from national",
         "report_regional": "select * from regional",
         "report_icb": f"select icb, region_name, {card} from card",
         "report_by_region": "select * from detail",
-        "report_map_layers": "select p.* exclude (easting, northing), g.lon, g.lat from ("
+        "report_map_layers": "select p.* exclude (easting, northing), g.lon, g.lat, "
+        "case service || ' ' || colour when 'pharm1st Green' then 'Opted in to PharmFirst and also registered for CPCS' "
+        "when 'pharm1st Amber' then 'Opted in to PharmFirst but not registered for CPCS' "
+        "when 'pharm1st Red' then 'Not opted in to PharmFirst yet' "
+        "when 'contraception Green' then 'Opted in to Contraception Service' "
+        "when 'contraception Red' then 'Not opted in to Contraception Service yet' end as legend, "
+        "row_number() over (partition by service, layer order by draw_order nulls last, fcode nulls last, "
+        "opt_in_date nulls last, phone nulls last, name nulls last, p.postcode nulls last, easting nulls last, "
+        "northing nulls last) as position from ("
         f"select 'pharm1st' as service, s.*, concat('{point.format('Pharmacy First')}', coalesce(cast(a.strict as varchar), 'NA')) as title "
         "from status_p1 s, last_p1 a union all "
         f"select 'contraception', s.*, concat('{point.format('Contraception')}', coalesce(cast(o.strict as varchar), 'NA')) from status_oc s, last_oc o) p "
         f"left join (select distinct * from ({_grid_sql()})) g on p.postcode = g.postcode",
+        "report_folders": " union all ".join(
+            f"select '{name}' as name, '{folder}' as folder, count(*) as n_rows from {table}"
+            for name, folder, table in (
+                ("National", "Pharm1st_OptIn_2024-01-31/National", "national"),
+                ("Regional", "Pharm1st_OptIn_2024-01-31/Regional", "regional"),
+                ("ICB", "Pharm1st_OptIn_2024-01-31/ICB", "card"),
+                ("Pharmacy Level", "Pharm1st_OptIn_2024-01-31/Pharmacy_Level", "(select distinct fcode from reconciled where not opt_in)"),
+                ("By region", "opt_in_by_region_2024-01-31", "detail"),
+                ("Map layers", "opt_in_map_January2024", "(select fcode from status_p1 union all select fcode from status_oc)"),
+            )
+        ),
         "contraception_trend": "select * from trend where service = 'Contraception Opt-In'",
         "contraception_headline": "select contraception_opted_in, pct_contraception, "
         "(select strict from last_oc) as last_contraception from national",
@@ -524,4 +575,13 @@ from national n, bp_figures b, signup_figures s"""
         "contraception_icb": f"select region_name, icb, {oc_cols} from detail",
         "contraception_map": _choropleth("card", "pct_contraception", oc_head, "(select strict from last_oc)", False),
     }
+    selects |= {
+        "deck_trend": selects["weekly_trend"],
+        "deck_trend_range": selects["trend_range_na_rm"],
+        "deck_headline": selects["narrative_na_rm"],
+        "deck_regional_long": selects["regional_long"],
+        "deck_map_pharm1st": selects["icb_choropleth_pharm1st"],
+        "deck_map_contraception": selects["icb_choropleth_contraception"],
+        "deck_map_signup_gap": selects["icb_choropleth_signup_gap"],
+    }
     return {name: _with(select.strip()) for name, select in selects.items()}

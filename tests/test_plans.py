@@ -8,7 +8,7 @@ from support import SMALL
 from muster.plans import registered
 from oracle import sql
 
-LAZY = [q for q in registered.queries() if not q.startswith(("landed_", "report_"))]
+LAZY = [q for q in registered.queries() if not q.startswith(("landed_", "report_", "deck_", "order_", "stored_"))]
 
 
 @pytest.fixture(scope="module")
@@ -61,3 +61,24 @@ def test_scorecards_shuffle_sign_ups_twice_at_most(no_broadcast):
     above = text[: text.index("Union")]
     assert above.count("Exchange hashpartitioning(service") == 1
     assert len(re.findall(r"Exchange hashpartitioning\(fcode#\d+, 4\)", above)) == 1
+
+
+@pytest.mark.parametrize("name", ["narrative", "region_icb_detail"])
+def test_every_list_is_scanned_once(no_broadcast, name):
+    """The headline and the area detail take counts, dates and reconciliation from one pass over each list."""
+    text = plan(registered.queries()[name](no_broadcast, SMALL))
+    for kind in ("signup", "purchase", "click", "error", "view"):
+        assert len(re.findall(rf"PushedFilters: \[[^]]*EqualTo\(event_type,{kind}\)", text)) == 1, kind
+
+
+def test_area_detail_shuffles_its_facts_twice(no_broadcast):
+    """Fold by provider and area, then by provider; the second fold by provider and area needs no shuffle."""
+    text = plan(registered.queries()["region_icb_detail"](no_broadcast, SMALL))
+    above = text[: text.index("Union")]
+    assert len(re.findall(r"Exchange hashpartitioning\(fcode#\d+, icb_code#\d+, 4\)", above)) == 1
+    assert len(re.findall(r"Exchange hashpartitioning\(fcode#\d+, 4\)", above)) == 1
+
+
+def test_a_list_stored_by_month_reads_one_month(no_broadcast):
+    text = plan(registered.queries()["stored_pharm_list"](no_broadcast, SMALL))
+    assert re.search(r"PartitionFilters: \[[^]]*snapshot_month#\d+ = Subquery", text)

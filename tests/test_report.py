@@ -9,6 +9,7 @@ from support import SMALL, rows
 from muster import labels
 from muster.operators import scorecards
 from muster.plans.staging import Staging, shared_folder
+from muster.sinks import Deck, with_position
 from muster.plans.weekly import WeeklyPack, weekly_report
 from muster.sources.inputs import SHEETS, Inputs
 from muster.sources.readers import SCHEMAS
@@ -70,6 +71,69 @@ def test_map_layers(spark, written):
     assert 49 < box[0] < box[1] < 60 and -9 < box[2] < box[3] < 4
 
 
+def test_layers_are_drawn_in_one_order_over_all_files(spark, written):
+    back = spark.read.parquet(written[0]["Map layers"])
+    for (service, layer), points in groupby_layer(back).items():
+        assert [p.position for p in points] == list(range(1, len(points) + 1)), (service, layer)
+        keys = [(p.draw_order, p.fcode is None, p.fcode or "") for p in points]
+        assert keys == sorted(keys)
+    legends = {(r.service, r.colour): r.legend for r in back.select("service", "colour", "legend").distinct().collect()}
+    assert legends["pharm1st", "Red"] == "Not opted in to PharmFirst yet" and legends.get(("pharm1st", None)) is None
+
+
+def groupby_layer(df):
+    out = {}
+    for row in sorted(df.collect(), key=lambda r: r.position):
+        out.setdefault((row.service, row.layer), []).append(row)
+    return out
+
+
+def test_positions_count_on_over_ranges(spark):
+    """A group that is dealt over many ranges gets one gapless order, NULL keys and empty groups included."""
+    df = spark.range(0, 5000, 1, 7).selectExpr("if(id % 10 = 0, null, if(id % 3 = 0, 'b', 'a')) as g", "cast(hash(id) as long) as v", "id")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    for groups in (["g"], []):
+        staging = Staging(spark)
+        got = with_position(df, groups, [F.col("v").asc_nulls_last(), F.col("id").asc()], staging, "positions")
+        assert got.columns == ["g", "v", "id", "position"]
+        assert spark.read.parquet(f"{staging.folder}/positions").select("__range").distinct().count() > 1
+        found = {}
+        for r in sorted(got.collect(), key=lambda r: (r.v, r.id)):
+            found.setdefault(r.g if groups else 0, []).append(r.position)
+        assert all(p == list(range(1, len(p) + 1)) for p in found.values()) and sum(map(len, found.values())) == 5000
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert with_position(df.limit(0), ["g"], [F.col("v").asc()], Staging(spark), "none").collect() == []
+
+
+def test_deck_is_resumed_by_table(spark, written, tmp_path):
+    folders, out = written
+    assert {"Deck trend", "Deck headline", "Deck regional_long", "Deck map_signup_gap"} <= set(folders)
+    notes = {r["table"]: r for r in Deck(spark, out, AS_OF, resume=True).manifest().collect()}
+    assert notes["headline"].n_rows == 1 and notes["trend"].path == folders["Deck trend"]
+    built = []
+
+    def build(n):
+        def run():
+            built.append(n)
+            if n == 2:
+                raise RuntimeError("lost")
+            return spark.range(n).toDF("x")
+
+        return run
+
+    deck = Deck(spark, str(tmp_path), AS_OF)
+    deck.write("one", build(1))
+    with pytest.raises(RuntimeError):
+        deck.write("two", build(2))
+    again = Deck(spark, str(tmp_path), AS_OF, resume=True)
+    again.write("one", build(5))
+    again.write("two", build(3))
+    assert built == [1, 2, 3]
+    assert sorted((r["table"], r.n_rows, r["columns"]) for r in again.manifest().collect()) == [("one", 1, ["x"]), ("two", 3, ["x"])]
+    Deck(spark, str(tmp_path), AS_OF).write("one", build(4))
+    assert built[-1] == 4
+
+
 def test_repeated_keys_are_refused_on_request(spark, tmp_path):
     with pytest.raises(ValueError, match="repeated keys"):
         weekly_report(sample_inputs(spark, SMALL), str(tmp_path), AS_OF, SINCE, SERVICE, strict_keys=True)

@@ -137,20 +137,6 @@ def test_regional_long_keeps_missing_values(frame):
     ]
 
 
-def test_narrative(frame, inputs):
-    national = s.national_scorecard(*inputs[:4], SINCE)
-    dates = frame("last_pharm1st string, last_contraception string", ("2023-12-05", None))
-    bp = frame(
-        "total long, invalid long, old_registrations long, new_registrations long, last_date string",
-        (10, 4, 1, 5, "2023-12-05"),
-    )
-    roster_date = frame("roster_date string", ("2023-12-01",))
-    signups = frame("valid_signups long, mismatches long, signup_valid long", (7, 2, 9))
-    got = t.narrative(national, dates, bp, roster_date, signups).first().asDict()
-    assert (got["bp_valid"], got["signup_valid"], got["roster_date"], got["pharm1st_opted_in"]) == (6, 9, "2023-12-01", 6)
-    assert got["last_contraception"] is None
-
-
 def test_hot_provider_and_hot_area(spark, inputs):
     """A third of all sign-ups from one provider, half of them in one area: counts stay exact."""
     rows_ = spark.range(60_000)
