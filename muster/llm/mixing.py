@@ -7,10 +7,14 @@ That is one level of water: ``min(limit * words, level * weight)``, found by run
 Each document's copies are target over words, whole copies plus a fraction. Fractions are rounded in pairs: words
 move from one document's fraction to the other's, in a random direction that keeps every expectation, until one of
 the two is whole. So each pair keeps its sum of words exactly. Small groups of documents are folded this way, each
-leaves one fraction, and the residuals of a fixed number of groups meet in the next level of a reduction tree, until a
-source has one residual, which is rounded by itself: the words taken from a source miss its target by less than that
-one document. Folds go from long to short documents, and the last one also takes in a bounded reserve of short ones
-that were held back, so that the last residual is short. All draws are hashes: reruns agree.
+leaves one fraction, and the residuals of a fixed number of groups meet in the next level of a reduction tree.
+
+The last fold of a source has what the tree left open, and a bounded reserve that did not go through it: short documents,
+or all of a source that has no more. There a document's partner is the whole reserve, so a long one is rounded first
+and its words are made up by many short ones. Where they cannot make up for one choice (a document with more words than are
+left to give), the other is made, and its expectation gives way to the target. The shortest few of the reserve are chosen
+together, as those whose words come nearest to what is left. So a source misses its target by about as little as sums
+of its documents allow. All draws are hashes: reruns agree.
 
 Defined cases: NULL or blank texts have size 0 and are taken once when a copy is due anyway (0 words); a NULL source
 is a source of its own; rows that repeat a doc_id and text are numbered and drawn on their own. Other columns are
@@ -31,8 +35,10 @@ SHARE = 1.5
 LIMIT = 2
 #: Documents, or residuals, that one fold takes in on average.
 GROUP = 64
-#: Short documents of a source, on average at most, that wait for its last fold.
+#: Documents of a source that wait for its last fold: all of a source that has no more, else short ones, on average at most.
 RESERVE = 512
+#: Of these the shortest, whose best choice among all is taken in the end.
+TAIL = 12
 
 
 def n_words(text: str | Column = "text") -> Column:
@@ -93,6 +99,44 @@ def _fold(items: str, seed: int, item_type: str, done_type: str) -> str:
     return f"aggregate({items}, {start}, (s, x) -> {merge})"
 
 
+_CHANCE = "(shiftrightunsigned(xxhash64({seed}L, x.id), 11) / 9007199254740992D)"
+
+
+def _settle(up: str, down: str, lacks: str, exceeds: str, share: str, draw: str) -> str:
+    """Take a document (1) or not (0): by its share where the pool can balance either, else what it can balance, else
+    what leaves the smaller miss."""
+    return f"CASE WHEN {up} AND {down} THEN int({draw} < {share}) WHEN {up} THEN 1 WHEN {down} THEN 0 ELSE int({lacks} <= {exceeds}) END"
+
+
+def _noted(take: str) -> str:
+    return f"array_append(s.done, named_struct('size', x.size, 'id', x.id, 'doc', x.doc, 'take', {take}))"
+
+
+def _pool_fold(seed: int, done_type: str, tail: int) -> str:
+    """The last fold of a source, over ``open`` (what the tree left open) and ``pool`` (its reserve, of one fraction), both from
+    long to short. ``w`` are the words that the pool still has to give, ``r`` its size.
+
+    A document is rounded against the whole pool: taken, the pool gives its missing words; left, the pool gets its own. Then
+    the pool's documents are rounded in turn against those that are left, and of the last ones the choice is made whose
+    words come nearest to what is left."""
+    draw = _CHANCE.format(seed=seed)
+    words = "aggregate(pool, 0D, (a, x) -> a + x.size * x.f)"
+    size = "aggregate(pool, 0D, (a, x) -> a + x.size)"
+    start = f"CAST(named_struct('w', {words}, 'r', {size}, 'done', array()) AS STRUCT<w: double, r: double, done: ARRAY<{done_type}>>)"
+    take = _settle("s.w >= x.size * (1 - x.f)", "s.w + x.size * x.f <= s.r", "x.size * (1 - x.f) - s.w", "s.w + x.size * x.f - s.r", "x.f", draw)
+    first = f"aggregate(open, {start}, (s, x) -> named_struct('w', s.w + x.size * (x.f - {take}), 'r', s.r, 'done', {_noted(take)}))"
+    take = _settle("s.w >= x.size", "s.w <= s.r - x.size", "x.size - s.w", "s.w - (s.r - x.size)", "s.w / s.r", draw)
+    body = f"slice(pool, 1, greatest(size(pool) - {tail}, 0))"
+    return f"aggregate({body}, {first}, (s, x) -> named_struct('w', s.w - x.size * {take}, 'r', s.r - x.size, 'done', {_noted(take)}))"
+
+
+def _best_tail(seed: int) -> str:
+    """Which documents of ``rest`` to take, as bits: the choice whose words come nearest to ``s.w``; a hash breaks ties."""
+    words = "aggregate(transform(rest, (x, i) -> if(getbit(m, i) = 1, x.size, 0D)), 0D, (a, b) -> a + b)"
+    choice = f"named_struct('miss', round(abs(s.w - {words}), 6), 'tie', xxhash64({seed}L, m, s.w), 'm', m)"
+    return f"array_min(transform(sequence(0L, shiftleft(1L, size(rest)) - 1L), m -> {choice})).m"
+
+
 def numbered(docs: DataFrame) -> DataFrame:
     """doc_id, source, size, k1, k2 and ``nth`` among rows that repeat a doc_id and text."""
     rows = docs.select("doc_id", "source", n_words().alias("size"), *key_columns())
@@ -120,39 +164,41 @@ def draws(docs: DataFrame, weights: tuple = WEIGHTS, share: float = SHARE, limit
     counts = staging.keep(counts.withColumnRenamed("source", "of"), "counts")
     placed = items.join(counts, F.col("source").eqNullSafe(F.col("of"))).drop("of")
     chance = F.shiftrightunsigned(F.xxhash64(F.lit(-seed), "item.id"), 11) / F.lit(float(1 << 53))
-    short = (F.col("item.size") <= F.col("mean")) & (chance * F.col("n") < reserve)
+    short = (F.col("n") <= reserve) | ((F.col("item.size") <= F.col("mean")) & (chance * F.col("n") < reserve))
     leaf = F.pmod(F.xxhash64(F.lit(seed), "item.id"), F.ceil(F.col("n") / group))
     placed = placed.select("source", leaf.alias("node"), "item", short.alias("short"))
-    nodes, held_back = placed.where("NOT short").drop("short"), placed.where("short").drop("short")
+    nodes, pool = placed.where("NOT short").drop("short"), placed.where("short").select("source", "item")
     item_type = items.schema["item"].dataType.simpleString()
     done_type = item_type[: item_type.rindex(",f:")] + ",take:int>"
-    most = counts.agg(F.max("n")).first()[0] or 0
+    most = counts.where(F.col("n") > reserve).agg(F.max("n")).first()[0] or 0
     decided, level, widest = [], 0, -(-most // group)
-    while widest:
-        if widest == 1:
-            nodes = nodes.unionByName(held_back).withColumn("node", F.lit(0))
+    while widest > 1:
         gathered = nodes.groupBy("source", "node").agg(F.reverse(F.array_sort(F.collect_list("item"))).alias("items"))
         folded = gathered.select("source", "node", F.expr(_fold("items", seed + level, item_type, done_type)).alias("s"))
         folded = staging.keep(folded, f"level{level}")
         decided.append(folded.select(F.explode("s.done").alias("d")))
         nodes = folded.select("source", F.floor(F.col("node") / group).alias("node"), F.col("s.held").alias("item"))
-        if widest == 1:
-            break
         widest, level = -(-widest // group), level + 1
+    # The last fold of each source: what is open, at most GROUP documents, against the reserve.
+    both = nodes.select("source", F.lit(True).alias("held"), "item").unionByName(pool.select("source", F.lit(False).alias("held"), "item"))
+    last = both.groupBy("source").agg(
+        *[F.reverse(F.array_sort(F.collect_list(F.when(rule, F.col("item"))))).alias(n) for n, rule in (("open", F.col("held")), ("pool", ~F.col("held")))]
+    )
+    last = staging.keep(last.select("pool", F.expr(_pool_fold(seed + level, done_type, TAIL)).alias("s")), "last")
+    rest = last.select("s", F.expr(f"slice(pool, greatest(size(pool) - {TAIL}, 0) + 1, {TAIL})").alias("rest"))
+    rest = rest.withColumn("m", F.expr(_best_tail(seed + level)))
+    chosen = F.expr("transform(rest, (x, i) -> named_struct('size', x.size, 'id', x.id, 'doc', x.doc, 'take', cast(getbit(m, i) AS int)))")
+    done = rest.select(F.explode(F.concat(chosen.cast(f"array<{done_type}>"), "s.done")).alias("d"))
+    for more in decided:
+        done = done.unionByName(more)
+    rounded = done.select(
+        "d.doc.doc_id", "d.doc.k1", "d.doc.k2", "d.doc.nth", "d.doc.source", F.col("d.size").cast("long").alias("size"),
+        "d.doc.source_size", "d.doc.target", (F.col("d.doc.whole") + F.col("d.take")).alias("copies"),
+    )
     taken = known.where(~open_).select(
         "doc_id", *KEYS, "nth", "source", "size", "source_size", "target", F.col("whole").alias("copies")
     )
-    if decided:
-        alone = F.shiftrightunsigned(F.xxhash64(F.lit(seed + level + 1), "item.id"), 11) / F.lit(float(1 << 53))
-        last = nodes.select(F.struct("item.size", "item.id", "item.doc", (alone < F.col("item.f")).cast("int").alias("take")).alias("d"))
-        for more in decided:
-            last = last.unionByName(more)
-        rounded = last.select(
-            "d.doc.doc_id", "d.doc.k1", "d.doc.k2", "d.doc.nth", "d.doc.source", F.col("d.size").cast("long").alias("size"),
-            "d.doc.source_size", "d.doc.target", (F.col("d.doc.whole") + F.col("d.take")).alias("copies"),
-        )
-        taken = taken.unionByName(rounded)
-    return taken
+    return taken.unionByName(rounded)
 
 
 def mix(docs: DataFrame, **options) -> DataFrame:

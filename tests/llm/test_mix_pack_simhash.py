@@ -73,6 +73,67 @@ def test_expectation_and_sum(spark):
         assert all(abs(taken[s] - want[s]) <= 9 for s in want)
 
 
+def best_miss(sizes, rate, target):
+    """The least miss of the target that any choice of whole copies reaches."""
+    whole = int(rate + 1e-12)
+    sums = {0}
+    for n in sizes:
+        sums |= {x + n for x in sums}
+    return min(abs(whole * sum(sizes) + x - target) for x in sums)
+
+
+def test_small_sources_come_as_near_as_their_documents_allow(spark):
+    rng = np.random.default_rng(3)
+    rows, sizes = [], defaultdict(list)
+    for at in range(12):
+        for _ in range(1 + at):
+            n = int(rng.integers(1, 30)) if rng.random() < 0.8 else int(rng.integers(200, 500))
+            rows.append((len(rows), "w " * n, f"s{at:02}"))
+            sizes[f"s{at:02}"].append(n)
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    for seed in (1, 2):
+        drawn = draws(docs, seed=seed).collect()
+        for source, all_ in sizes.items():
+            mine = [r for r in drawn if r.source == source]
+            miss = abs(sum(r.size * r.copies for r in mine) - mine[0].target)
+            assert miss <= best_miss(all_, mine[0].target / sum(all_), mine[0].target) + 1e-6, source
+
+
+@pytest.mark.parametrize("options", [{}, {"group": 8, "reserve": 40}])
+def test_one_long_document_does_not_miss_the_target(spark, options):
+    """A document longer than all that is left to give, among many short ones; through one fold, and through the tree."""
+    rows = [(i, "w " * (5 + i * 7 % 40), "a") for i in range(300)] + [(900, "w " * 9000, "a"), (901, "w " * 2500, "a")]
+    rows += [(1000 + i, "w " * 50, "b") for i in range(900)] + [(3000, "w " * 20000, "c")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    drawn = draws(docs, **options).collect()
+    for source in "ab":
+        mine = [r for r in drawn if r.source == source]
+        assert abs(sum(r.size * r.copies for r in mine) - mine[0].target) <= 25, source
+    assert Counter((r.k1, r.copies) for r in drawn) == Counter((r.k1, r.copies) for r in draws(docs.repartition(5), **options).collect())
+
+
+@pytest.mark.parametrize("sf, share", [("sf0.001", 0.01), ("sf0.01", 0.01)])
+def test_sources_of_the_test_data_meet_their_targets(spark, sf, share):
+    taken, target = Counter(), {}
+    for r in draws(spark.read.parquet(f"/root/testdata/{sf}/documents.parquet")).collect():
+        taken[r.source] += r.size * r.copies
+        target[r.source] = r.target
+    assert all(abs(taken[s] - t) <= share * t for s, t in target.items())
+
+
+def test_documents_keep_their_expectation(spark):
+    """Long and short documents are taken as often as their source's rate, over many sources alike."""
+    rows = [(i, "w " * (60 if i % 20 == 0 else 3 + i % 5), f"s{i // 200:02}") for i in range(8000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    extra = {True: [], False: []}
+    for r in draws(docs).collect():
+        rate = r.target / r.source_size
+        if 0.05 < rate % 1 < 0.95:
+            extra[r.size == 60].append(r.copies - rate)
+    for found in extra.values():
+        assert len(found) > 100 and abs(np.mean(found)) < 4 * 0.5 / np.sqrt(len(found))
+
+
 def test_mix_repeats_rows(odd, none):
     drawn = Counter()
     for r in draws(odd).collect():
