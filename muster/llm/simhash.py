@@ -222,7 +222,8 @@ def near_groups(docs: DataFrame, shingle: int = 4, max_bits: int = 4, blocks: in
     rooted = nodes.join(roots, nodes["print"] == roots["node"], "left").select(
         "print", "low", F.coalesce("root", "print").alias("root")
     )
-    lows = rooted.groupBy("root").agg(F.min("low").alias("component_id"))
+    # Written, so that the join shares no partitioning with the fold and a component with very many prints can be split.
+    lows = staging.keep(rooted.groupBy("root").agg(F.min("low").alias("component_id")), "lows")
     known = rooted.join(lows, "root").select("print", "root", "component_id")
     return prints.join(known, "print").select("doc_id", *KEYS, "print", "root", "component_id")
 
