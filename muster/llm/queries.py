@@ -45,7 +45,8 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = drop_repeated_bytes(documents(tune(spark), sf_dir), window=400)
-    return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    share = F.when(F.col("n_bytes") > 0, F.col("n_removed") / F.col("n_bytes")).otherwise(F.lit(0.0))
+    return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", share.alias("removed_share"))
 
 
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -157,3 +157,17 @@ def test_a_frequent_phrase_is_spread(spark, monkeypatch):
         drop_repeats(docs, most=most).count()
     # 4,200 windows in 16 groups; left together, they stay in the few groups of the phrase's blocks.
     assert shares[100] < 0.12 and shares[1 << 40] > 0.25
+
+
+def test_a_passage_of_many_words_may_be_shorter_than_the_window(spark):
+    """The window is bytes: a repeated passage of more than 50 words goes when it has 400 bytes, and stays under that.
+    All passages of the benchmark that have more than 50 words have fewer bytes, so none goes on its own account."""
+    words = [f"w{i:05}" for i in range(70)]
+    short, long = " ".join(words[:55]), " ".join(words)
+    assert len(short) < 400 <= len(long)
+    rows = [(i, f"{i} {short} {i}") for i in range(2)] + [(10 + i, f"{i} {long} {i}") for i in range(2)]
+    docs = spark.createDataFrame([(i, t.replace("w0", f"v{i // 10}")) for i, t in rows], "doc_id long, text string")
+    got = {r.doc_id: r.n_removed for r in drop_repeated_bytes(docs, window=400).collect()}
+    assert got[0] == got[1] == 0 and got[10] == got[11] >= 400
+    passages = spark.read.parquet("/root/testdata/sf0.1/benchmark.parquet").where("size(split(trim(text), '[\\\\s]+')) > 50")
+    assert passages.count() > 0 and passages.where("octet_length(text) >= 400").count() == 0
