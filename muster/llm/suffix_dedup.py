@@ -40,7 +40,7 @@ GRAM = 32
 #: Windows of one fragment; longer ones (a text of one repeated gram) are cut.
 FRAGMENT = 4096
 #: Fragments of one gram that a shard takes; a gram with more is spread.
-SPREAD = 2048
+SPREAD = 8192
 _PART = 60_000
 _SLICE = 4 << 20
 
