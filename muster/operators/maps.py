@@ -136,8 +136,8 @@ def contractor_status(points: DataFrame, service: str) -> DataFrame:
 
 
 def draw_order() -> list[Column]:
-    """Row order inside a layer; the code and the row's own values break ties."""
-    return [F.col(c).asc_nulls_last() for c in ("draw_order", "fcode", "opt_in_date", "phone", "name", "postcode", "easting", "northing")]
+    """Row order within the layers; the row's own values break ties."""
+    return [F.col("layer").desc(), *[F.col(c).asc_nulls_last() for c in ("draw_order", "fcode", "opt_in_date", "phone", "name", "postcode", "easting", "northing")]]
 
 
 def legend(service: str) -> Column:
