@@ -9,7 +9,7 @@ Equal fingerprints are then compared chunk by chunk with the row that would stay
 collision) form the next round's groups, until none are left, so the result is exact.
 
 Defined cases: NULL text counts as empty, and empty texts equal each other. A NULL doc_id sorts last. Of rows with
-the same doc_id and text one stays. Other columns are ignored.
+the same doc_id and text one stays. A doc_id may have any type that has an order. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -60,26 +60,33 @@ def _sums(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray, base: int,
 
 
 def _hash_chunks(primes: tuple, bases: tuple, chunk_bytes: int):
+    """Turns ``chunk, bytes`` of each row into its hashes, shifted to the chunk's place; other columns pass."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             numbers = batch.column("chunk").to_numpy()
             column = batch.column("bytes").cast(pa.binary())
             offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1].astype(np.int64)
             data = np.frombuffer(column.buffers()[2] or b"", np.uint8)
+            # A caller's normalisation may lengthen a text that was short enough before it.
+            most = int(np.diff(offsets).max(initial=0))
+            longest = chunk_bytes if most <= chunk_bytes else 1 << most.bit_length()
             parts = [np.zeros(len(batch), np.uint64) for _ in primes]
             at = 0
             while at < len(batch):
                 end = max(at + 1, int(np.searchsorted(offsets, offsets[at] + _PIECE, "right")) - 1)
                 piece, starts = data[offsets[at] : offsets[end]].astype(np.uint64), offsets[at:end] - offsets[at]
                 for k, (prime, base) in enumerate(zip(primes, bases, strict=True)):
-                    parts[k][at:end] = _sums(piece, starts, np.diff(offsets[at : end + 1]), base, prime, chunk_bytes)
+                    parts[k][at:end] = _sums(piece, starts, np.diff(offsets[at : end + 1]), base, prime, longest)
                 at = end
             for k, (prime, base) in enumerate(zip(primes, bases, strict=True)):
                 where, which = np.unique(numbers, return_inverse=True)
                 shift = np.array([pow(base, int(n) * chunk_bytes, prime) for n in where], np.uint64)[which]
                 parts[k] = (parts[k] * shift % np.uint64(prime)).astype(np.int64)
-            kept = [batch.column(c) for c in (*KEYS, "chunk")]
-            yield pa.RecordBatch.from_arrays([*kept, *map(pa.array, parts)], names=[*KEYS, "chunk", "h0", "h1", "h2", "h3"])
+            kept = [c for c in batch.schema.names if c not in ("chunk", "bytes")]
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(c) for c in kept), *map(pa.array, parts)], names=[*kept, "h0", "h1", "h2", "h3"]
+            )
 
     return run
 
@@ -92,14 +99,12 @@ def _chunks(texts: DataFrame, chunk_bytes: int, *columns: str) -> DataFrame:
     )
 
 
-def _texts(docs: DataFrame, normalise: Callable[[Column], Column], doc_id: str, text: str) -> DataFrame:
-    whole = F.coalesce(text, F.lit(""))
-    return docs.select(
-        F.col(doc_id).alias("doc_id"),
-        *key_columns(doc_id, text),
-        F.length(whole).alias("n_chars"),
-        normalise(whole).cast("binary").alias("norm"),
-    )
+def _texts(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    return docs.select(F.col(doc_id).alias("doc_id"), *key_columns(doc_id, text), F.coalesce(text, F.lit("")).alias("whole"))
+
+
+def _normalised(texts: DataFrame, normalise: Callable[[Column], Column]) -> DataFrame:
+    return texts.select("doc_id", *KEYS, F.length("whole").alias("n_chars"), normalise(F.col("whole")).cast("binary").alias("norm"))
 
 
 def fingerprints(
@@ -112,19 +117,29 @@ def fingerprints(
     text: str = "text",
 ) -> DataFrame:
     """k1, k2, doc_id, n_chars, text_sha256 and the fingerprint ``n_bytes, f1, f2`` of every row."""
-    texts = _texts(docs, normalise, doc_id, text)
-    schema = "k1 long, k2 long, chunk int, h0 long, h1 long, h2 long, h3 long"
+    texts = _texts(docs, doc_id, text)
     hashing = _hash_chunks(primes, bases, chunk_bytes)
-    small, huge = F.octet_length("norm") <= chunk_bytes, F.octet_length("norm") > chunk_bytes
-    facts = ["doc_id", *KEYS, "n_chars", F.octet_length("norm").alias("n_bytes"), F.sha2("norm", 256).alias("text_sha256")]
-    # Texts of one chunk pass in place, with their facts in the key columns' company; huge ones are dealt out by chunk.
-    whole = texts.where(small).select(*facts, F.lit(0).alias("chunk"), F.col("norm").alias("bytes"))
-    one = whole.mapInArrow(_with_facts(hashing), "doc_id long, k1 long, k2 long, n_chars int, n_bytes int, text_sha256 string, h0 long, h1 long, h2 long, h3 long")
-    pieces = _chunks(texts.where(huge), chunk_bytes).repartition(*KEYS, "chunk").dropDuplicates([*KEYS, "chunk"])
-    sums = pieces.mapInArrow(hashing, schema).groupBy(*KEYS).agg(
-        *[(F.sum(f"h{k}") % F.lit(p)).alias(f"h{k}") for k, p in enumerate(primes)]
+    facts = ["doc_id", "n_chars", "n_bytes", "text_sha256"]
+    measures = [F.octet_length("norm").alias("n_bytes"), F.sha2("norm", 256).alias("text_sha256")]
+    kind = docs.schema[doc_id].dataType.simpleString()
+    schema = f"k1 long, k2 long, doc_id {kind}, n_chars int, n_bytes int, text_sha256 string"
+    hashes = "h0 long, h1 long, h2 long, h3 long"
+    # Told apart by size before normalising, so that each text is normalised once. A sum is the same however it is cut.
+    size = F.octet_length("whole")
+    short = _normalised(texts.where(size <= chunk_bytes), normalise).select("*", *measures)
+    # Texts of one chunk are hashed in place; huge ones are dealt out by chunk, rows of one key together.
+    one = short.select(*KEYS, *facts, F.lit(0).alias("chunk"), F.col("norm").alias("bytes"))
+    one = one.mapInArrow(hashing, f"{schema}, {hashes}")
+    huge = _normalised(texts.where(size > chunk_bytes), normalise).select("*", *measures)
+    pieces = _chunks(huge, chunk_bytes, *facts).groupBy(*KEYS, "chunk").agg(
+        *[F.first(c).alias(c) for c in facts], F.count(F.lit(1)).cast("int").alias("rows"), F.first("bytes").alias("bytes")
     )
-    many = texts.where(huge).select(*facts).join(sums, KEYS)
+    pieces = pieces.select(*KEYS, *facts, "rows", "chunk", "bytes")
+    sums = pieces.mapInArrow(hashing, f"{schema}, rows int, {hashes}").groupBy(*KEYS).agg(
+        *[F.first(c).alias(c) for c in facts], F.max("rows").alias("rows"),
+        *[(F.sum(f"h{k}") % F.lit(p)).alias(f"h{k}") for k, p in enumerate(primes)],
+    )
+    many = sums.select("*", F.explode(F.sequence(F.lit(1), F.col("rows")))).drop("rows", "col")
     return one.unionByName(many).select(
         "doc_id", *KEYS, "n_chars", "text_sha256", "n_bytes",
         (F.col("h0") * F.lit(1 << 31) + F.col("h1")).alias("f1"),
@@ -132,19 +147,6 @@ def fingerprints(
     )
 
 
-def _with_facts(hashing):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            (hashed,) = hashing(iter([batch]))
-            facts = ["doc_id", *KEYS, "n_chars", "n_bytes", "text_sha256"]
-            sums = ["h0", "h1", "h2", "h3"]
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in facts), *(hashed.column(c) for c in sums)], names=[*facts, *sums]
-            )
-
-    return run
-
-
 def exact_groups(
     docs: DataFrame,
     normalise: Callable[[Column], Column] = strip_space,
@@ -177,8 +179,8 @@ def exact_groups(
         if chunks is None:
             # The texts of rows that share a fingerprint, and of no others.
             shared = members.select(*KEYS).distinct().hint("merge")  # the same plan at every size
-            texts = _texts(docs, normalise, doc_id, text).join(shared, KEYS).dropDuplicates(KEYS)
-            chunks = staging.keep(_chunks(texts, chunk_bytes), "chunks")
+            texts = _texts(docs, doc_id, text).join(shared, KEYS).dropDuplicates(KEYS)
+            chunks = staging.keep(_chunks(_normalised(texts, normalise), chunk_bytes), "chunks")
         pairs = members.select(*KEYS, "g1", "g2").distinct()
         mine = pairs.join(chunks, KEYS)
         theirs = pairs.where("k1 = g1 AND k2 = g2").join(chunks, KEYS).select(

@@ -6,8 +6,9 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from muster.llm.exact_dedup import BASES, PRIMES, _sums, drop_copies, exact_groups
+from muster.llm.exact_dedup import BASES, PRIMES, _sums, drop_copies, exact_groups, strip_space
 from muster.llm.line_dedup import LineRuns, drop_frequent_lines
 
 WHITE = "[\x20\x09-\x0d]"
@@ -42,6 +43,21 @@ def test_huge_texts_combine_from_chunks(odd):
     assert found_groups(exact_groups(odd, chunk_bytes=7)) == brute_groups(texts(odd))
 
 
+def test_a_normalisation_may_lengthen(odd):
+    longer = exact_groups(odd, normalise=lambda text: F.concat(F.lit("0123456789"), strip_space(text)), chunk_bytes=7)
+    same = {(r.doc_id, r.keep_id, r.group_size, r.kept) for r in longer.collect()}
+    assert same == {row[:4] for row in brute_groups(texts(odd))}
+
+
+def test_doc_id_of_another_type(odd):
+    named = odd.withColumn("doc_id", F.concat(F.lit("d"), F.lpad(F.col("doc_id").cast("string"), 3, "0")))
+    for chunk_bytes in (7, 1 << 18):
+        got = exact_groups(named, chunk_bytes=chunk_bytes)
+        assert got.schema["doc_id"].dataType.simpleString() == "string"
+        want = [(i if i is None else f"d{i:03}", k if k is None else f"d{k:03}", *rest) for i, k, *rest in brute_groups(texts(odd))]
+        assert found_groups(got) == sorted(want, key=str)
+
+
 def test_collisions_are_told_apart(odd):
     """Primes so small that most fingerprints of one length collide."""
     assert found_groups(exact_groups(odd, primes=(2, 2, 2, 2), bases=(1, 1, 1, 1))) == brute_groups(texts(odd))
