@@ -5,7 +5,8 @@ from __future__ import annotations
 import numpy as np
 
 _FIRST = 8
-_LANES = 4096
+#: Lanes of the walk: a step costs some twenty calls of numpy, whatever the number of lanes.
+_LANES = 1 << 15
 
 
 def words8(data: np.ndarray) -> np.ndarray:
