@@ -5,13 +5,16 @@ import subprocess
 import sys
 from pathlib import Path
 
+import pytest
+
 ROOT = Path(__file__).resolve().parent.parent
 
 BLOCKED = """
 import sys
+gone = sys.argv[1:]
 class Gone:
     def find_spec(self, name, path=None, target=None):
-        if name == "corpus_pipeline" or name == "muster.llm" or name.startswith("muster.llm."):
+        if any(name == g or name.startswith(g + ".") for g in gone):
             raise ModuleNotFoundError(f"No module named {name!r}", name=name)
 sys.meta_path.insert(0, Gone())
 import __spark_entry__ as e
@@ -21,8 +24,24 @@ assert set(e.oracle_sql()) <= names
 """
 
 
-def test_entry_without_the_subpackage():
-    subprocess.run([sys.executable, "-c", BLOCKED], cwd=ROOT, check=True, env={**os.environ, "PYTHONDONTWRITEBYTECODE": "1"})
+def import_without(*modules):
+    env = {**os.environ, "PYTHONDONTWRITEBYTECODE": "1"}
+    return subprocess.run([sys.executable, "-c", BLOCKED, *modules], cwd=ROOT, env=env, capture_output=True, text=True)
+
+
+@pytest.mark.parametrize("modules", [("corpus_pipeline", "muster.llm"), ("corpus_pipeline",), ("muster.llm",)])
+def test_entry_without_the_subpackage(modules):
+    run = import_without(*modules)
+    assert run.returncode == 0, run.stderr
+
+
+def test_entry_without_a_package_that_only_the_subpackage_needs():
+    run = import_without("public_tokenizers")
+    assert run.returncode == 0 and "no module named 'public_tokenizers'" in run.stderr, run.stderr
+
+
+def test_a_missing_part_of_the_library_is_an_error():
+    assert "ModuleNotFoundError" in import_without("muster.plans.staging").stderr
 
 
 def test_nothing_else_imports_the_subpackage():
