@@ -75,7 +75,11 @@ WITH parts AS (
 SELECT page_id, host, path, rule,
        CASE WHEN rule IN ('com/', 'www.example.com/en/') THEN 'allow'
             WHEN rule IS NOT NULL THEN 'block'
-            WHEN regexp_matches(host || path, '(?:^|[^a-z0-9])(?:ad|ads|adserver|banner|banners|popunder|popup|track|tracker|tracking)(?:[^a-z0-9]|$)')
+            WHEN regexp_matches(host || path, '(?:^|[^a-z0-9])(?:ad|ads|adserver|banner|banners|popunder|popup|track|tracker|tracking'
+              || '|(?:ad|ads|banner|popup|track|tracker|tracking)(?:click|count|engine|frame|iframe|image|pixel|script|serve|server|view|zone)'
+              || '|(?:best|big|cheap|easy|free|instant|online|win)[_-]?(?:bets|betting|casino|jackpot|loans|lottery|pills|poker|slots|viagra)'
+              || '|(?:bets|betting|casino|jackpot|loans|lottery|pills|poker|slots|viagra)[_-]?(?:best|big|cheap|easy|free|instant|online|win)'
+              || ')(?:[^a-z0-9]|$)')
             THEN 'block' ELSE 'allow' END AS verdict
 FROM judged
 """

@@ -1,5 +1,6 @@
 """Quality rules (3) and URL filters (6)."""
 
+import random
 import re
 from collections import Counter
 
@@ -7,7 +8,24 @@ import pytest
 from pyspark.sql import functions as F
 
 from muster.llm.quality import BASE, POLICIES, RULES, Policy, ablations, bit, ledger, passing, verdicts
-from muster.llm.url_filter import Rule, host_rule, rarest_token_index, rule_table, url_verdicts, with_parts
+from muster.llm.url_filter import (
+    GOODS,
+    HOST_RULES,
+    LURES,
+    MARKS,
+    PARTS,
+    SERVED,
+    Rule,
+    candidates,
+    default_rules,
+    host_rule,
+    host_rules,
+    mark_rules,
+    rarest_token_index,
+    rule_table,
+    url_verdicts,
+    with_parts,
+)
 
 WORD = "[^\x20\x09-\x0d]+"
 
@@ -99,6 +117,88 @@ def test_rules_lie_under_their_rarest_token(spark):
     assert host_rule("block", "a.com", "/part/of").tokens == ("a", "com", "part")
 
 
+def made_urls(seed, n):
+    """Urls of words that the rules know, with the separators that do and do not bound them."""
+    rng = random.Random(seed)
+    words = [*MARKS, *PARTS, *LURES, *GOODS, "example", "en", "es", "fr", "x"]
+
+    def run(seps):
+        return "".join(rng.choice(words) + rng.choice(seps) for _ in range(rng.randint(1, 4)))
+
+    ends = [".com", "example.com", "www.example.com", ".net", "net", ".org", "\n", ""]
+    return [f"http://{run(['', '-', '_', '.'])}{rng.choice(ends)}/{rng.choice(['en/', 'es/', 'fr/', ''])}{run(['', '/', '-', '9'])}" for _ in range(n)]
+
+
+def test_every_rule_run_on_every_url(spark):
+    rules = default_rules()
+    assert len(rules) > 400 and len({r.rule for r in rules}) == len(rules)
+    urls = made_urls(3, 400)
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    got = {r.page_id: r for r in url_verdicts(pages).collect()}
+    compiled = [(r, re.compile(r.pattern.replace("$)", r"\Z)"))) for r in rules]
+    seen = set()
+    for i, url in enumerate(urls):
+        host, path, best, action = brute_verdict(url)
+        fits = [r for r, p in compiled if p.search(host + path)]
+        seen |= {r.rule for r in fits}
+        named = max((r for r in fits if r.rank == 0), key=lambda r: (len(r.rule), r.rule), default=None)
+        assert (got[i].host, got[i].path, got[i].rule) == (host, path, named.rule if named else None) == (host, path, best), url
+        assert got[i].verdict == (action or ("block" if fits else "allow")), url
+    assert len(seen) > 60 and {r.verdict for r in got.values()} == {"allow", "block"}
+
+
+def test_marks_need_whole_words(spark):
+    def verdict_of(*targets):
+        pages = spark.createDataFrame([(i, f"http://{t}") for i, t in enumerate(targets)], "page_id long, url string")
+        return [r.verdict for r in sorted(url_verdicts(pages).collect())]
+
+    blocked = ["m.casino-win.example.org/", "free-bets.example.org", "x.org/cheap_pills/1", "x.org/adserver.js", "x.org/freeslots", "ad.x.org"]
+    assert verdict_of(*blocked) == ["block"] * len(blocked)
+    clean = ["x.org/trackers", "winter-casinos.org/", "x.org/best.poker", "download.org/", "x.org/loans", "x.org/pills/free", "x.org/?q=ads"]
+    assert verdict_of(*clean) == ["allow"] * len(clean)
+    assert len(mark_rules()) == len(MARKS) + len(SERVED) * len(PARTS) + 4 * len(LURES) * len(GOODS) - 1  # adserver is of both kinds
+
+
+def test_a_table_of_rules_is_the_list_of_rules(spark):
+    hosts = [*HOST_RULES, ("block", "a+b.(x).com", "/q.r/$"), ("block", "é.org", "/en"), ("allow", "org", ""), ("block", "Upper.ORG", "/A b/")]
+    table = spark.createDataFrame([*hosts, *hosts[:3], ("block", "fr", None), ("block", None, "/"), (None, "org", "/")], "action string, host string, path string")
+    listed = [host_rule(a, h.lower(), p) for a, h, p in hosts] + [host_rule("block", "fr", "/")]
+    urls = [
+        "http://a+b.(x).com/q.r/$1", "http://aab.(x).com/q.r/$", "http://é.org/english", "http://x.é.org/e", "http://organ/", "http://b.org",
+        "http://upper.org/A b/", "http://upper.org/a b/", "http://c.fr/", "http://c.fr", *filter(None, URLS),
+    ]
+    pages = spark.createDataFrame([*enumerate(urls), (99, None)], "page_id long, url string")
+    of_table, of_list = (sorted(map(tuple, url_verdicts(pages, r).collect()), key=str) for r in (host_rules(table), listed))
+    assert of_table == of_list and len(of_table) == len(urls) + 1
+    rules = {i: rule for i, _, _, rule, _ in of_table}
+    assert [rules[i] for i in range(10)] == [
+        "a+b.(x).com/q.r/$", "com/", "é.org/en", "org", None, "org", "upper.org/A b/", "org", "fr/", None,
+    ]
+    by_rule = {r.rule: sorted(r.tokens) for r in host_rules(table).collect()}
+    assert by_rule == {r.rule: sorted(r.tokens) for r in listed}
+
+
+def test_rules_without_a_token_and_no_rules(spark):
+    pages = spark.createDataFrame([(1, "http://x.org/%%"), (2, "http://x.org/%"), (3, None), (4, "http://ads.org/")], "page_id long, url string")
+    bare = [Rule("%%", "block", "%%", ()), Rule("", "allow", "^$", ())]
+    got = {r.page_id: (r.rule, r.verdict) for r in url_verdicts(pages, bare, default="block").collect()}
+    assert got == {1: ("%%", "block"), 2: (None, "block"), 3: ("", "allow"), 4: (None, "block")}
+    for empty in ([], rule_table(spark, [])):
+        assert {(r.rule, r.verdict) for r in url_verdicts(pages, empty).collect()} == {(None, "allow")}
+
+
+def test_few_candidates_for_each_url(spark):
+    urls = made_urls(8, 300)
+    rules = default_rules()
+    parts = with_parts(spark.createDataFrame(list(enumerate(urls)), "page_id long, url string"))
+    fetched = candidates(parts, rule_table(spark, rules)).count()
+    tokens = [set(re.findall("[a-z0-9]+", r.host + r.path)) for r in parts.collect()]
+    held = sum(set(r.tokens) <= t for r in rules for t in tokens)
+    anyone = sum(bool(set(r.tokens) & t) for r in rules for t in tokens)
+    assert held <= fetched < anyone < len(rules) * len(urls)
+    assert fetched < 0.05 * len(rules) * len(urls)
+
+
 @pytest.mark.parametrize("url", ["http://a.b.c.com/x", "http://a.com.net/es/2"])
 def test_no_python_in_the_plan(spark, url):
     plan = url_verdicts(spark.createDataFrame([(1, url)], "page_id long, url string"))._jdf.queryExecution().executedPlan().toString()
