@@ -108,7 +108,7 @@ def _strip(min_chars: int, names: list[str]):
 
 
 class LineRuns:
-    """The levels of one corpus, as bucketed tables in the shared folder."""
+    """The levels of one corpus, as bucketed tables in the shared folder. ``release`` ends their use."""
 
     def __init__(self, spark: SparkSession, min_docs: int, fanout: int = 4):
         self.spark, self.min_docs, self.fanout = spark, min_docs, fanout
@@ -116,16 +116,19 @@ class LineRuns:
         self.buckets, self.written = partitions(spark), 0
         self.levels: list[list[str]] = []
         self.settled_runs: list[str] = []
+        self.named: set[str] = set()
 
     def _write(self, df: DataFrame, *split_by: str) -> str:
         table = f"{self.name}_{self.written}"
         self.written += 1
+        self.named.add(table)
         out = df.repartition(self.buckets, *HASH).write.bucketBy(self.buckets, *HASH).sortBy(*HASH)
         (out.partitionBy(*split_by) if split_by else out).option("path", f"{self.staging.folder}/{table}").saveAsTable(table)
         return table
 
     def _drop(self, table: str) -> None:
-        self.spark.sql(f"DROP TABLE {table}")
+        self.spark.sql(f"DROP TABLE IF EXISTS {table}")
+        self.named.discard(table)
         self.staging.drop(table)
 
     def _run(self, table: str) -> DataFrame:
@@ -182,12 +185,23 @@ class LineRuns:
             return self.spark.createDataFrame([], "h1 long, h2 long, docs long")
         return self._read(self.settled_runs)
 
+    def release(self) -> None:
+        """Take the tables' names out of the catalog. Files of settled runs stay, as ``settled`` reads them."""
+        for table in self.named - set(self.settled_runs):
+            self._drop(table)
+        for table in self.named:
+            self.spark.sql(f"DROP TABLE {table}")
+        self.named, self.levels, self.settled_runs = set(), [], []
+
 
 def drop_frequent_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, batches: int = _BATCHES, fanout: int = _FANOUT, with_text: bool = False) -> DataFrame:
     """doc_id, k1, k2, n_lines, n_dropped, kept_sha256 (and kept_text) of every row."""
     runs = LineRuns(docs.sparkSession, min_docs, fanout)
-    runs.add(docs, batches, min_chars)
-    frequent = runs.settled().select(*HASH)
+    try:
+        runs.add(docs, batches, min_chars)
+        frequent = runs.settled().select(*HASH)
+    finally:
+        runs.release()
     rows = keyed(docs)
     held = rows.select(*KEYS, "text").mapInArrow(_lines_of_documents(min_chars), "k1 long, k2 long, h1 long, h2 long")
     # Straight to the documents: a step that groups by line as well would keep a hot line's rows in one task.

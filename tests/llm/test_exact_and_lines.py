@@ -159,3 +159,24 @@ def test_one_merge_is_enough(odd):
     whole = LineRuns(odd.sparkSession, 10)
     whole.add(odd)
     assert {r[:2] for r in first} == {tuple(r)[:2] for r in whole.settled().collect()}
+
+
+def test_no_table_is_left_in_the_catalog(spark, odd, monkeypatch):
+    def left():
+        return [t.name for t in spark.catalog.listTables() if t.name.startswith(runs)]
+
+    runs = "line_runs_"
+    for table in left():  # of tests that use the levels themselves
+        spark.sql(f"DROP TABLE {table}")
+    got = drop_frequent_lines(odd, 2, 1, batches=5, fanout=2)
+    assert left() == []
+    rows = sorted(((r.doc_id, r.n_lines, r.n_dropped, r.kept_sha256) for r in got.collect()), key=str)
+    assert rows == brute_lines(texts(odd), 2, 1)
+
+    def broken(self, tables, into):
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(LineRuns, "_merge", broken)
+    with pytest.raises(RuntimeError, match="lost"):
+        drop_frequent_lines(odd, 2, 1, batches=5, fanout=2)
+    assert left() == []
