@@ -7,15 +7,28 @@ Spark its true size for later join choices.
 from __future__ import annotations
 
 import uuid
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``; where it is unset, a folder of the warehouse, which a
-    cluster's executors share as well. The session's settings stay as they are."""
+    cluster's executors share as well. On a cluster, a warehouse in the machine's own file system is an error.
+    The session's settings stay as they are."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    return folder.rstrip("/") if folder else spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/staging"
+    if folder:
+        return folder.rstrip("/")
+    folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/staging"
+    if not spark.sparkContext.master.startswith("local") and _files(spark, folder)[1].getScheme() == "file":
+        raise ValueError(f"set spark.checkpoint.dir to a folder all executors share: {folder} may be this machine's own")
+    return folder
+
+
+def _files(spark: SparkSession, folder: str) -> tuple[Any, Any]:
+    """The path and its file system."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
 class Staging:
@@ -33,5 +46,5 @@ class Staging:
 
     def drop(self, name: str = "") -> None:
         """Delete one table, or the whole folder of the run; nothing may read it afterwards."""
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{name}".rstrip("/"))
-        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        path, files = _files(self.spark, f"{self.folder}/{name}".rstrip("/"))
+        files.delete(path, True)

@@ -1,6 +1,7 @@
 """The written report, read back."""
 
 from datetime import date
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 from support import SMALL, rows
 from muster import labels
 from muster.operators import scorecards
+from muster.plans import staging as staging_module
 from muster.plans.staging import Staging, shared_folder
 from muster.sinks import Deck, with_position
 from muster.plans.weekly import WeeklyPack, weekly_report
@@ -148,6 +150,27 @@ def test_staging_uses_the_named_folder(spark):
     assert "FileScan parquet" in kept._jdf.queryExecution().executedPlan().toString()
 
 
+@pytest.mark.parametrize(("master", "warehouse", "refused"), [
+    ("local[4]", "file:/w", False), ("spark://h:7077", "file:/w", True), ("spark://h:7077", "/w/", True), ("yarn", "viewfs://w/w", False),
+])
+def test_staging_without_a_named_folder(spark, monkeypatch, master, warehouse, refused):
+    """The warehouse serves, unless it lies on one machine of a cluster."""
+
+    def schemes(session, folder):
+        return folder, SimpleNamespace(getScheme=lambda: folder.partition("://")[0] if "://" in folder else "file")
+
+    monkeypatch.setattr(staging_module, "_files", schemes)
+    settings = {"spark.sql.warehouse.dir": warehouse}
+    session = SimpleNamespace(conf=settings, sparkContext=SimpleNamespace(master=master))
+    if refused:
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            shared_folder(session)
+    else:
+        assert shared_folder(session) == warehouse.rstrip("/") + "/staging"
+    settings["spark.checkpoint.dir"] = "file:/named/"
+    assert shared_folder(session) == "file:/named"
+
+
 def test_contraception_pack(spark):
     pack = WeeklyPack(sample_inputs(spark, SMALL), AS_OF, SINCE, SERVICE).contraception_pack()
     assert set(pack) == {"trend", "headline", "regional", "icb", "map"}
