@@ -78,7 +78,7 @@ def _first_order(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _typed_membership(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Which orders have a listed customer, the numbers being long on one side and decimal on the other."""
-    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").selectExpr(
+    orders = tune(spark).read.parquet(f"{sf_dir}/orders.parquet").selectExpr(
         "o_orderkey", "case when o_orderkey % 10 <> 0 then o_custkey end as custkey"
     )
     listed = spark.read.parquet(f"{sf_dir}/customer.parquet").selectExpr(

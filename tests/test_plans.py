@@ -5,7 +5,9 @@ import re
 import pytest
 
 from support import SMALL
+from muster.operators.joins import na_join
 from muster.plans import registered
+from muster.plans.session import BROADCAST_BYTES, tune
 from oracle import sql
 
 LAZY = [q for q in registered.queries() if not q.startswith(("landed_", "report_", "deck_", "order_", "stored_"))]
@@ -82,3 +84,41 @@ def test_area_detail_shuffles_its_facts_twice(no_broadcast):
 def test_a_list_stored_by_month_reads_one_month(no_broadcast):
     text = plan(registered.queries()["stored_pharm_list"](no_broadcast, SMALL))
     assert re.search(r"PartitionFilters: \[[^]]*snapshot_month#\d+ = Subquery", text)
+
+
+def _thresholds(spark, *values):
+    """What ``tune`` makes of the two broadcast thresholds; the session's own come back."""
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    old = [spark.conf.get(k, None) for k in keys]
+    try:
+        for key, value in zip(keys, values, strict=True):
+            spark.conf.set(key, value) if value else spark.conf.unset(key)
+        tune(spark)
+        return [spark.conf.get(k, None) for k in keys]
+    finally:
+        for key, value in zip(keys, old, strict=True):
+            spark.conf.set(key, value) if value else spark.conf.unset(key)
+
+
+def test_tuning_only_lowers_the_broadcast_thresholds(spark):
+    bound = str(BROADCAST_BYTES)
+    assert _thresholds(spark, None, None) == [bound, None]
+    assert _thresholds(spark, "10MB", None) == [bound, None]
+    assert _thresholds(spark, "10485760b", "1g") == [bound, bound]
+    assert _thresholds(spark, "-1", "-1") == ["-1", "-1"]
+    assert _thresholds(spark, "64k", "4096") == ["64k", "4096"]
+
+
+def test_a_register_of_many_providers_does_not_pass_through_the_driver(spark, tmp_path):
+    """Its file is far under Spark's own threshold, as its columns compress well; its rows are not."""
+    spark = spark.newSession()  # with Spark's own settings
+    path, n = f"{tmp_path}/register", 200_000
+    spark.range(n).selectExpr("concat('F', id) as fcode", "repeat('x', 200) as area").coalesce(1).write.parquet(path)
+    assert sum(f.stat().st_size for f in (tmp_path / "register").glob("*.parquet")) < 4 << 20
+    register = tune(spark).read.parquet(path)
+    listed = register.select("fcode")
+    register.limit(3).selectExpr("fcode", "1 as seen").write.parquet(f"{path}_few")
+    few = spark.read.parquet(f"{path}_few")
+    for joined in (na_join(listed, register, "fcode", "left"), na_join(listed, register.select("fcode"), "fcode", "left_semi")):
+        assert "BroadcastExchange" not in plan(joined)
+    assert "BroadcastExchange" in plan(na_join(listed, few, "fcode", "left"))
