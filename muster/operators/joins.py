@@ -1,8 +1,8 @@
 """Null-exact joins, keyed de-duplication and distinct counting.
 
 No join here carries a broadcast hint: Spark picks a broadcast only when a side is below
-``spark.sql.autoBroadcastJoinThreshold`` (by file size, or by measured shuffle size under AQE) and
-shuffles otherwise.
+``spark.sql.autoBroadcastJoinThreshold`` (by file size, or by measured shuffle size under AQE), which ``tune``
+lowers, and shuffles otherwise.
 """
 
 from __future__ import annotations
