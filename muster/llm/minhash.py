@@ -187,7 +187,8 @@ def _near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 hit = (places != places[at]).sum(axis=1) <= FAR
                 near |= hit if hit.sum() > 1 else False
         rows = group.filter(pa.array(near))
-        yield pa.RecordBatch.from_arrays([rows.column(c) for c in ("one", "tile", "node")], names=["one", "tile", "node"])
+        names = ["one", "tile", "node", *KEYS]
+        yield pa.RecordBatch.from_arrays([rows.column(c) for c in names], names=names)
 
 
 def linked_sets(sets: list[np.ndarray], num: int, den: int) -> list[tuple[int, int]]:
@@ -275,13 +276,13 @@ def links(rows: DataFrame, texts: DataFrame, nodes: DataFrame, staging: Staging,
     spread = keys.repartition(n, "key").sortWithinPartitions("key", "rank")
     met = staging.keep(spread.mapInArrow(_met, "one long, node long").distinct(), "met")
     dealt = staging.keep(_tiled(met, nodes.select("node", "n"), staging, tile, tile_bytes), "dealt")
-    marked = dealt.join(nodes.select("node", "signature"), "node").repartition(n, "one", "tile").sortWithinPartitions("one", "tile")
-    near = staging.keep(marked.mapInArrow(_near, "one long, tile long, node long"), "near")
-    heads = staging.keep(nodes.join(near.select("node").distinct(), "node").select("node", *KEYS), "heads")
-    made = texts.mapInArrow(_texts_to_sets(size, bitmap(heads, "k1")), "k1 long, k2 long, set binary")
-    # Rows that agree in doc_id and text share their key; one of them is enough.
-    sets = staging.keep(made.join(heads, KEYS).groupBy("node").agg(F.first("set").alias("set")), "sets")
-    full = near.join(sets, "node").repartition(n, "one", "tile").sortWithinPartitions("one", "tile")
+    marked = dealt.join(nodes.select("node", "signature", *KEYS), "node").repartition(n, "one", "tile").sortWithinPartitions("one", "tile")
+    near = staging.keep(marked.mapInArrow(_near, "one long, tile long, node long, k1 long, k2 long"), "near")
+    made = texts.mapInArrow(_texts_to_sets(size, bitmap(near.select("k1").distinct(), "k1")), "k1 long, k2 long, set binary")
+    # Rows that agree in doc_id and text share their key; one of them is enough. The sets are by far the widest rows: they
+    # are dealt twice, by their key and by group, whichever side of a join Spark may broadcast.
+    sets = made.groupBy(*KEYS).agg(F.first("set").alias("set"))
+    full = near.join(sets, KEYS).repartition(n, "one", "tile").sortWithinPartitions("one", "tile")
     return full.select("one", "tile", "node", "set").mapInArrow(_links(num, den), "a long, b long").distinct()
 
 

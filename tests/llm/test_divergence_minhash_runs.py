@@ -217,6 +217,28 @@ def test_shingle_sets_of_short_texts():
     assert found[1] == found[2] and len(set(found)) == 6 and found[5][0] in found[7]
 
 
+@pytest.mark.parametrize("broadcast", ["-1", "262144"])
+def test_sets_are_dealt_twice(spark, odd, broadcast, monkeypatch):
+    """Shuffles of sets do not depend on what Spark may broadcast: one by key, one by group."""
+    plans, keep = [], Staging.keep
+
+    def noted(self, df, name):
+        plans.append(df)
+        return keep(self, df, name)
+
+    monkeypatch.setattr(Staging, "keep", noted)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+    try:
+        near_sets(odd, 3, 85, 100)
+        text = "\n".join(df._jdf.queryExecution().explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")) for df in plans)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    inputs = re.findall(r"^\(\d+\) Exchange\s*\nInput \[\d+\]: \[(.*)\]", text, re.M)
+    sets = [x for x in inputs if re.search(r"\bset#", x) or "valueSet#" in x and "s1#" not in x]
+    assert len(sets) == 2, inputs
+
+
 def test_drop_near_sets_keeps_columns_and_blanks(odd):
     kept = drop_near_sets(odd, 3, 85, 100)
     assert kept.columns == odd.columns
